@@ -21,7 +21,9 @@ handling.  Each level's per-point result is checkpointed to the shared folder
 from __future__ import annotations
 
 import itertools
+import logging
 import math
+import time
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -37,6 +39,7 @@ GROWTH = 4.0
 EARTH_AREA_KM2 = 4 * math.pi * G.EARTH_RADIUS_KM**2
 
 _OFFSETS = list(itertools.product((-1, 0, 1), repeat=3))
+log = logging.getLogger(__name__)
 
 
 def _with_unit(df: DataFrame, lat: str, lon: str, prefix: str = "_") -> DataFrame:
@@ -121,6 +124,7 @@ def nearest(
     found = []
     s = _start_chord(n_events, start_km)
     while True:
+        t_level = time.time()
         final = s >= 2.0
         near = _neighbour_cells(remaining, s)
         cand = near.join(_cells(ev, s), ["_cx", "_cy", "_cz"]).withColumn(
@@ -149,9 +153,11 @@ def nearest(
         # Points with no event in their neighbourhood never reach ``best``.
         unresolved = best.where(~ok).select(*keys, "_plat", "_plon", "_x", "_y", "_z")
         missing = remaining.join(best.select(*keys), keys, "left_anti")
-        remaining = unresolved.unionByName(missing).checkpoint(eager=True)
-        if final or remaining.isEmpty():
+        nxt = unresolved.unionByName(missing)
+        log.info("nearest: level chord %.5f done in %.2fs", s, time.time() - t_level)
+        if final or nxt.isEmpty():
             break
+        remaining = nxt.checkpoint(eager=True)
         s = min(s * GROWTH, 2.0)
 
     out = found[0]

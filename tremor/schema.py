@@ -44,8 +44,10 @@ def _strings(names):
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
-# Landing zone: every column a string, as the CSV header names it.
-RAW = _strings(CATALOG_COLUMNS + ["Time", "Status"])
+# Landing zone: every column a string.  CSV columns bind by position when a
+# schema is given, so this is the column order of the files we write; pass
+# your own ``raw_schema`` for files laid out differently.
+RAW = _strings(["ID", "Date", "Latitude", "Longitude", "Depth", "Magnitude", "Type", "Time", "Status"])
 FEED = _strings(["time", "latitude", "longitude", "mag", "depth", "id"])
 
 QUAKE = StructType(
