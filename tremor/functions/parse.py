@@ -31,8 +31,8 @@ def year_dmy(c) -> Column:
 
 def to_double(c) -> Column:
     """String to double, null on bad input; NaN is treated as missing."""
-    d = _col(c).try_cast("double")
-    return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
+    # nanvl references its input once, so stacked conversions stay linear in size.
+    return F.nanvl(_col(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_double_strict(c) -> Column:

@@ -54,8 +54,17 @@ def with_year(df: DataFrame, rule: str = "any") -> DataFrame:
 
 
 def coerce_numeric(df: DataFrame, columns=schema.NUMERIC_COLUMNS) -> DataFrame:
-    """Numeric columns from strings; unparsable values and NaN become null."""
-    return df.withColumns({c: to_double(c) for c in columns if c in df.columns})
+    """Numeric columns from strings; unparsable values and NaN become null.
+
+    Columns that are already doubles only get the NaN rule.
+    """
+    types = dict(df.dtypes)
+    out = {}
+    for c in columns:
+        if c not in types:
+            continue
+        out[c] = to_double(c) if types[c] == "string" else F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    return df.withColumns(out)
 
 
 def typed(raw: DataFrame) -> DataFrame:
@@ -64,9 +73,22 @@ def typed(raw: DataFrame) -> DataFrame:
     return t.select(*[f.name for f in schema.QUAKE.fields])
 
 
+def evaluate_once(df: DataFrame) -> DataFrame:
+    """Evaluate the current columns once before a following filter.
+
+    Catalyst pushes a filter below a projection by substituting the projected
+    expressions into it, so a null check placed after string parsing parses
+    every value a second time.  A one-element ``inline`` is a generator, which
+    filters do not cross; it stays inside the same codegen stage.  Use it only
+    after expensive derived columns: it also stops filters on plain columns
+    from reaching the scan.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def clean(raw: DataFrame) -> DataFrame:
     """Curated catalogue: typed rows with no missing value in any column."""
-    return typed(raw).na.drop(how="any")
+    return evaluate_once(typed(raw)).na.drop(how="any")
 
 
 def clean_subset(df: DataFrame, subset=("Latitude", "Longitude", "Depth", "Magnitude", "Year")) -> DataFrame:
@@ -77,9 +99,12 @@ def clean_subset(df: DataFrame, subset=("Latitude", "Longitude", "Depth", "Magni
 def trend_base(catalog: DataFrame) -> DataFrame:
     """Dashboard input: re-typed, Year re-derived from Date, rows missing a key value dropped.
 
-    Idempotent on a curated catalogue; also accepts the raw string table.
+    Idempotent on a curated catalogue; also accepts the raw string table.  A
+    typed ``Year`` is kept as is: it was derived from ``Date`` by the same rule.
     """
-    t = coerce_numeric(catalog).withColumn("Year", year_of("Date"))
+    t = coerce_numeric(catalog)
+    if dict(t.dtypes).get("Year") != "int":
+        t = t.withColumn("Year", year_of("Date"))
     return clean_subset(t)
 
 

@@ -18,6 +18,7 @@ from pyspark.sql.types import DoubleType
 
 from tremor.operators import clean as C
 from tremor.operators import geo, ml, stats, trends
+from tremor.plans import store
 from tremor.sources import fixture
 from tremor.sources.sinks import preview as preview_rows
 
@@ -40,10 +41,16 @@ def raw(spark, d):
     return fixture.raw_catalog(spark, d)
 
 
-def curated(spark, d):
+def cleaned(spark, d):
+    """Curated rows computed from the raw catalogue (the ETL's own output)."""
     return C.clean(raw(spark, d))
 
 
+def curated(spark, d):
+    """Curated rows as the dashboard reads them: from the store."""
+    return store.curated_store(spark, d)
+
+
 def base(spark, d):
     return C.trend_base(curated(spark, d))
 
@@ -96,7 +103,7 @@ def q_coerce_numeric(spark, d):
 
 
 def q_clean_catalog(spark, d):
-    return rounded(curated(spark, d))
+    return rounded(cleaned(spark, d))
 
 
 def q_clean_subset(spark, d):
@@ -126,7 +133,7 @@ def q_yearly_join(spark, d):
 
 
 def q_yearly_stats_clean(spark, d):
-    return rounded(stats.yearly_stats_clean(curated(spark, d)))
+    return rounded(stats.yearly_stats_clean(cleaned(spark, d)))
 
 
 def q_trend_stats(spark, d):
