@@ -90,3 +90,13 @@ def test_clean_is_narrow(spark):
 
     plan = C.clean(fixture.raw_catalog(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_display_helpers(spark):
+    from tremor.functions import display
+
+    df = spark.createDataFrame([(0.125, 4.0), (0.135, 6.0), (2.5, 1.234)], "x double, m double")
+    got = df.select(display.round2("x"), display.fmt2("m"), display.marker_radius("m")).collect()
+    assert [r[0] for r in got] == [0.12, 0.14, 2.5]
+    assert [r[1] for r in got] == ["4.00", "6.00", "1.23"]
+    assert [r[2] for r in got] == [8.0, 10.0, 2.468]

@@ -251,3 +251,27 @@ def map_clusters(df: DataFrame, zoom: int = 2) -> DataFrame:
         F.avg("Longitude").alias("center_longitude"),
         F.max("Magnitude").alias("max_magnitude"),
     ).withColumn("zoom", F.lit(zoom))
+
+
+def year_markers(year_rows: DataFrame, places: DataFrame) -> DataFrame:
+    """Map-page markers of one year's events: radius ``min(Magnitude * 2, 10)``,
+    orange, and a popup with the magnitude and the nearest place's label.
+
+    Labels are looked up once per distinct position and joined back on it.
+    """
+    from tremor.functions import display
+
+    labels = place_labels(year_rows, places).select("Latitude", "Longitude", "label")
+    rows = year_rows.where(F.col("Latitude").isNotNull() & F.col("Longitude").isNotNull())
+    return rows.join(labels, ["Latitude", "Longitude"], "left").select(
+        "ID",
+        "Latitude",
+        "Longitude",
+        "Magnitude",
+        display.marker_radius("Magnitude").alias("radius"),
+        F.lit("orange").alias("colour"),
+        F.concat(
+            F.lit("Magnitude: "), F.col("Magnitude").cast("string"), F.lit(" | Location: "),
+            F.coalesce("label", F.lit("Unknown Location")),
+        ).alias("popup"),
+    )

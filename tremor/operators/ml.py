@@ -48,7 +48,16 @@ def model_frame(df: DataFrame, features=schema.FEATURES, label: str = schema.LAB
 
 
 def fit(train: DataFrame, name: str = "RandomForest", features=schema.FEATURES, seed: int = SEED) -> PipelineModel:
-    return Pipeline(stages=[assembler(features), regressor(name, seed=seed)]).fit(train)
+    """Fit assembler + model.  The training rows are cached for the fit's many passes
+    (split finding, tree levels, iterations) unless the caller already cached them."""
+    cached = train.storageLevel.useMemory or train.storageLevel.useDisk
+    if not cached:
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=[assembler(features), regressor(name, seed=seed)]).fit(train)
+    finally:
+        if not cached:
+            train.unpersist()
 
 
 def rmse(model: PipelineModel, test: DataFrame, label: str = schema.LABEL) -> float:

@@ -258,6 +258,10 @@ def q_place_labels(spark, d):
     return geo.place_labels(trends.year_slice(curated(spark, d)), fixture.places(spark, d))
 
 
+def q_year_markers(spark, d):
+    return rounded(geo.year_markers(trends.year_slice(curated(spark, d)), fixture.places(spark, d)))
+
+
 # ---- models ------------------------------------------------------------------
 
 
@@ -331,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_one": q_nearest_one,
     "nearest_batch": q_nearest_batch,
     "place_labels": q_place_labels,
+    "year_markers": q_year_markers,
     "rf_predict": _predict("RandomForest"),
     "lr_predict": _predict("LinearRegression"),
     "dt_predict": _predict("DecisionTree"),

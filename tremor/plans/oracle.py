@@ -218,6 +218,13 @@ SQL: dict[str, str] = {
         FROM (SELECT DISTINCT "Latitude", "Longitude" FROM latest) c, places g) WHERE rn = 1""",
 }
 
+SQL["year_markers"] = f"""SELECT l."ID", {_r('l."Latitude"')} AS "Latitude", {_r('l."Longitude"')} AS "Longitude",
+    {_r('l."Magnitude"')} AS "Magnitude", {_r('least(l."Magnitude" * 2e0, 10e0)')} AS radius, 'orange' AS colour,
+    'Magnitude: ' || CAST(l."Magnitude" AS VARCHAR) || ' | Location: ' || coalesce(p.label, 'Unknown Location') AS popup
+    FROM latest l LEFT JOIN ({SQL["place_labels"]}) p
+    ON l."Latitude" = p."Latitude" AND l."Longitude" = p."Longitude"
+"""
+
 # The three-aggregate plan must give the merged aggregate's rows.
 SQL["yearly_join"] = SQL["yearly_stats"]
 
