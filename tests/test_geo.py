@@ -136,3 +136,17 @@ def test_clusters_sum_to_rows_inside_limit(spark):
     assert c.agg(F.sum("Count")).first()[0] == 4
     # lon 180 clamps into the last column; lat -10 lies in row 2 of 4.
     assert c.agg(F.max("tile_x"), F.max("tile_y")).first() == (3, 2)
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 2_000_000])
+def test_both_join_strategies_agree(spark, broadcast_rows):
+    rng = random.Random(5)
+    events = [(f"e{i:03d}", rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(200)]
+    events += [(f"z{i:03d}", 1.0, 1.0) for i in range(50)]
+    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(30)] + [(77, 1.001, 1.001)]
+    p, e = frames(spark, points, events)
+    got = {r.point_id: r.ID for r in geo.nearest(p, e, broadcast_rows=broadcast_rows).collect()}
+    assert got == brute(points, events, hav_km)
+    assert got[77] == "z000"
+    geo_got = {r.point_id: r.ID for r in geo.nearest(p, e, metric="geodesic", broadcast_rows=broadcast_rows).collect()}
+    assert geo_got[77] == "z000"

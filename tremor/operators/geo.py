@@ -9,12 +9,14 @@ neighbourhood, so the answer is exact.  Points without such a guarantee go to
 the next level with cells four times larger; at chord 2 (the sphere's
 diameter) the neighbourhood is the whole sphere, so the loop always ends.
 
-Events at identical positions are first reduced to the smallest ID (the only
-one that can win a tie), with map-side partial aggregation, so a pile of
-copies at one position costs one row.  The join itself is left to Catalyst and
-AQE: a small exploded point side is broadcast at runtime from measured sizes,
-a large one is shuffled by cell, and skewed cells are split by AQE's skew-join
-handling.  Each level's per-point result is checkpointed to the shared folder
+The point side is counted first; that count is the proven size bound for
+the join strategy.  Below ``broadcast_rows`` exploded rows the points are
+broadcast and the catalogue streams through the join without any shuffle,
+each task keeping only a per-point partial best.  Above it, events at
+identical positions are first reduced to the smallest ID with map-side
+partial aggregation (a pile of copies at one position costs one row), and
+the cell join shuffles both sides, with AQE splitting skewed cells.  Each
+level's per-point result is checkpointed to the shared folder
 (``spark.checkpoint.dir``), which bounds lineage and survives executor loss.
 """
 
@@ -93,6 +95,7 @@ def nearest(
     metric: str = "haversine",
     start_km: float | None = None,
     round_km: int | None = 6,
+    broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """Nearest event to every point: ``point_keys..., event_key, carry..., km``.
 
@@ -107,16 +110,31 @@ def nearest(
     spark = points.sparkSession
     keys = list(point_keys)
     carry = [c for c in carry if c not in (event_key, event_lat, event_lon)]
-    ev = dedupe_positions(events, event_key, event_lat, event_lon, carry)
+    pts_all = points.select(*keys, F.col(point_lat).alias("_plat"), F.col(point_lon).alias("_plon"))
+    valid = pts_all.where(F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
+    invalid = _missing(pts_all.where(F.col("_plat").isNull() | F.col("_plon").isNull()), keys, event_key, carry, metric)
+
+    # The point side is exploded 27-fold; its row count is the size bound
+    # that decides between an explicit broadcast and a shuffle join.
+    n_points = valid.count()
+    small = n_points * len(_OFFSETS) <= broadcast_rows
+    ev = events.select(event_key, event_lat, event_lon, *carry).where(
+        F.col(event_lat).isNotNull() & F.col(event_lon).isNotNull()
+    )
+    if not small:
+        # Shuffle join ahead: collapse identical positions first (map-side),
+        # so a pile of copies at one spot is one row in the shuffle.
+        ev = dedupe_positions(ev, event_key, event_lat, event_lon, carry)
     ev = _with_unit(ev, event_lat, event_lon, "_e").withColumnsRenamed({event_lat: "_elat", event_lon: "_elon"})
-    ev = ev.persist(StorageLevel.MEMORY_AND_DISK)
+    if not small:
+        ev = ev.persist(StorageLevel.MEMORY_AND_DISK)
     n_events = ev.count()
+    if n_events == 0 or n_points == 0:
+        if not small:
+            ev.unpersist()
+        empty = _missing(valid, keys, event_key, carry, metric)
+        return empty.unionByName(invalid)
 
-    pts_all = points.select(*keys, F.col(point_lat).alias("_plat"), F.col(point_lon).alias("_plon"))
-    valid = pts_all.where(F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
-    if n_events == 0:
-        ev.unpersist()
-        return _missing(pts_all, keys, event_key, carry, metric)
     remaining = _with_unit(valid, "_plat", "_plon")
     margin = GEODESIC_MARGIN if metric == "geodesic" else 1.0
     checkpoint_dir(spark)
@@ -127,9 +145,7 @@ def nearest(
         t_level = time.time()
         final = s >= 2.0
         near = _neighbour_cells(remaining, s)
-        cand = near.join(_cells(ev, s), ["_cx", "_cy", "_cz"]).withColumn(
-            "_hkm", G.haversine_km("_plat", "_plon", "_elat", "_elon")
-        )
+        cand = _join_cells(near, ev, s, small).withColumn("_hkm", G.haversine_km("_plat", "_plon", "_elat", "_elon"))
         rank_km = F.round("_hkm", round_km) if round_km is not None else F.col("_hkm")
         best = cand.groupBy(*keys, "_plat", "_plon", "_x", "_y", "_z").agg(
             F.min_by(
@@ -141,7 +157,7 @@ def nearest(
         ok = F.lit(True) if final else G.chord_for_km(F.col("_b._hkm"), margin) <= F.lit(s)
         done = best.where(ok)
         if metric == "geodesic":
-            done = _refine_geodesic(done, ev, s, keys, event_key, carry, round_km)
+            done = _refine_geodesic(done, ev, s, keys, event_key, carry, round_km, small).checkpoint(eager=True)
         else:
             done = done.select(
                 *keys,
@@ -160,13 +176,25 @@ def nearest(
         remaining = nxt.checkpoint(eager=True)
         s = min(s * GROWTH, 2.0)
 
+    if not small:
+        ev.unpersist()
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    invalid = _missing(pts_all.where(F.col("_plat").isNull() | F.col("_plon").isNull()), keys, event_key, carry, metric)
     return out.unionByName(invalid)
 
 
+def _join_cells(near: DataFrame, ev: DataFrame, s: float, small: bool) -> DataFrame:
+    """Equi-join exploded points to events on the cell key.
+
+    ``small``: the point side was counted under the broadcast bound, so it is
+    broadcast and the catalogue streams through without a shuffle.  Otherwise
+    the planner (with AQE's runtime sizes and skew splitting) chooses.
+    """
+    left = F.broadcast(near) if small else near
+    return left.join(_cells(ev, s), ["_cx", "_cy", "_cz"])
+
+
 def _missing(pts: DataFrame, keys, event_key, carry, metric) -> DataFrame:
     cols = [*keys, F.lit(None).cast("string").alias(event_key)]
     cols += [F.lit(None).alias(c) for c in carry]
@@ -176,11 +204,11 @@ def _missing(pts: DataFrame, keys, event_key, carry, metric) -> DataFrame:
     return pts.select(*cols)
 
 
-def _refine_geodesic(done: DataFrame, ev: DataFrame, s: float, keys, event_key, carry, round_km) -> DataFrame:
+def _refine_geodesic(done: DataFrame, ev: DataFrame, s: float, keys, event_key, carry, round_km, small) -> DataFrame:
     """Vincenty distance for every event within the sphere-distance margin of the best."""
     bound = done.select(*keys, "_plat", "_plon", "_x", "_y", "_z", (F.col("_b._hkm") * GEODESIC_MARGIN).alias("_lim"))
     near = _neighbour_cells(bound, s)
-    cand = near.join(_cells(ev, s), ["_cx", "_cy", "_cz"])
+    cand = _join_cells(near, ev, s, small)
     cand = cand.withColumn("_hkm", G.haversine_km("_plat", "_plon", "_elat", "_elon")).where(
         F.col("_hkm") <= F.col("_lim") + F.lit(1e-9)
     )

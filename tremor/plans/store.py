@@ -21,6 +21,8 @@ from tremor.sources import catalog as src
 from tremor.sources import fixture, sinks
 
 _READY = "_SUCCESS"
+# Bumped whenever the stored layout or cleaning rules change.
+LAYOUT_VERSION = 2
 
 
 def _fs(spark: SparkSession, path: str):
@@ -44,7 +46,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def curated_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated catalogue of ``sf_dir``'s raw events, materialised once per input version."""
     source = f"{sf_dir.rstrip('/')}/orders.parquet"
-    key = hashlib.sha1(_signature(spark, source).encode()).hexdigest()[:16]
+    key = hashlib.sha1(f"v{LAYOUT_VERSION}|{_signature(spark, source)}".encode()).hexdigest()[:16]
     root = f"{checkpoint_dir(spark).rstrip('/')}/tremor-store/{key}"
     path = f"{root}/quakes"
     if not _exists(spark, f"{path}/{_READY}"):
