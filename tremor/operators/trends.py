@@ -7,7 +7,7 @@ value, so no cross join and no global window is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremor.functions import display
@@ -61,25 +61,47 @@ def top_quakes(df: DataFrame, n: int = TOP_N) -> DataFrame:
 _EVENT_FIELDS = ("ID", "Date", "Magnitude", "Depth", "Latitude", "Longitude")
 
 
+def tag_extremes(top: DataFrame) -> DataFrame:
+    """Mark each row of a top-n list with its severity roles, in one pass.
+
+    ``top`` must be bounded (the output of ``top_quakes``): the windows below
+    have no partition key and gather the list into one task, which is only
+    acceptable because the limit bounds it at ``n`` rows.  Adds ``_most``
+    (largest magnitude, first ID), ``_least`` (smallest magnitude, first ID)
+    and ``_other`` (magnitude equals neither extreme).
+    """
+    every = Window.partitionBy()
+    down = Window.orderBy(F.desc("Magnitude"), F.asc("ID"))
+    up = Window.orderBy(F.asc("Magnitude"), F.asc("ID"))
+    t = top.withColumns(
+        {
+            "_most": F.row_number().over(down) == 1,
+            "_least": F.row_number().over(up) == 1,
+            "_hi": F.max("Magnitude").over(every),
+            "_lo": F.min("Magnitude").over(every),
+        }
+    )
+    return t.withColumn("_other", (F.col("Magnitude") != F.col("_hi")) & (F.col("Magnitude") != F.col("_lo"))).drop(
+        "_hi", "_lo"
+    )
+
+
+def _roles(tagged: DataFrame, with_other: bool) -> DataFrame:
+    roles = [F.when(F.col("_most"), F.lit("most")), F.when(F.col("_least"), F.lit("least"))]
+    if with_other:
+        roles.append(F.when(F.col("_other"), F.lit("other")))
+    return tagged.withColumn("role", F.explode(F.array_compact(F.array(*roles)))).drop("_most", "_least", "_other")
+
+
 def severity_extremes(top: DataFrame) -> DataFrame:
     """Most and least severe event of a (bounded) list, first ID on ties."""
     fields = [c for c in _EVENT_FIELDS if c in top.columns]
-    row = F.struct(*fields)
-    ext = top.agg(
-        F.min_by(row, F.struct((-F.col("Magnitude")).alias("m"), F.col("ID"))).alias("most"),
-        F.min_by(row, F.struct(F.col("Magnitude").alias("m"), F.col("ID"))).alias("least"),
-    )
-    pairs = F.array(
-        F.struct(F.lit("most").alias("role"), *[F.col(f"most.{c}").alias(c) for c in fields]),
-        F.struct(F.lit("least").alias("role"), *[F.col(f"least.{c}").alias(c) for c in fields]),
-    )
-    return ext.select(F.inline(pairs))
+    return _roles(tag_extremes(top), with_other=False).select("role", *fields)
 
 
 def top_remaining(top: DataFrame) -> DataFrame:
-    """List rows whose magnitude equals neither extreme (anti-join on a 2-row table)."""
-    extremes = severity_extremes(top).select("Magnitude")
-    return top.join(F.broadcast(extremes), ["Magnitude"], "left_anti")
+    """List rows whose magnitude equals neither extreme."""
+    return tag_extremes(top).where("_other").drop("_most", "_least", "_other")
 
 
 def top_centroid(top: DataFrame) -> DataFrame:
@@ -120,11 +142,22 @@ def trend_fitted(df: DataFrame, x: str = "Longitude", y: str = "Magnitude") -> D
 
 
 def trend_rmse(df: DataFrame, x: str = "Longitude", y: str = "Magnitude") -> DataFrame:
-    """Root mean squared residual of the fitted line, with the row count."""
-    fitted = trend_fitted(df, x, y)
-    resid = F.col(y) - F.col("fitted")
-    return fitted.where(F.col("fitted").isNotNull() & F.col(y).isNotNull()).agg(
-        F.sqrt(F.avg(resid * resid)).alias("rmse"), F.count(F.lit(1)).alias("n")
+    """Root mean squared residual of the least-squares line, with the row count.
+
+    One pass: the residual sum of squares of the fitted line is
+    ``Syy - Sxy^2 / Sxx`` (centred sums), so no second scan for residuals.
+    Null when the line is undefined (fewer than two distinct ``x``).
+    """
+    a = df.agg(
+        F.regr_sxx(F.col(y), F.col(x)).alias("sxx"),
+        F.regr_sxy(F.col(y), F.col(x)).alias("sxy"),
+        F.regr_syy(F.col(y), F.col(x)).alias("syy"),
+        F.regr_count(F.col(y), F.col(x)).alias("n"),
+    )
+    sse = F.greatest(F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx"), F.lit(0.0))
+    return a.select(
+        F.when(F.col("sxx") > 0, F.sqrt(sse / F.col("n"))).alias("rmse"),
+        F.when(F.col("sxx") > 0, F.col("n")).otherwise(F.lit(0)).cast("long").alias("n"),
     )
 
 
@@ -151,11 +184,10 @@ def depth_scaled(df: DataFrame, smallest: float = 20.0, largest: float = 200.0)
 def marker_table(top: DataFrame) -> DataFrame:
     """Trends-map markers: the two extremes, then every other listed event.
 
-    Events sharing an extreme's magnitude are not drawn, as on the map.
+    Events sharing an extreme's magnitude are not drawn, as on the map.  One
+    pass over the (bounded) list.
     """
-    ext = severity_extremes(top)
-    rest = top_remaining(top).select(F.lit("other").alias("role"), *ext.columns[1:])
-    return ext.unionByName(rest).select(
+    return _roles(tag_extremes(top), with_other=True).select(
         "role",
         "ID",
         "Latitude",

@@ -18,11 +18,14 @@ TABLES = (
 ).split()
 
 
+STRICT = False
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9) + 0.0
+        return v + 0.0 if STRICT else round(v, 9) + 0.0
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
@@ -73,6 +76,10 @@ def compare(spark, sf_dir: str, names=None) -> dict:
 def main(argv):
     from tremor.session import build_session
 
+    global STRICT
+    if "--strict" in argv:
+        STRICT = True
+        argv = [a for a in argv if a != "--strict"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or None
     spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
