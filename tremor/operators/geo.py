@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.functions import geo as G
+from tremor.functions.agg import mean
 from tremor.session import checkpoint_dir
 
 # Ellipsoid / sphere distance ratio bound with a safety margin,
@@ -266,7 +267,7 @@ def place_labels(coords: DataFrame, places: DataFrame, lat: str = "Latitude", lo
     )
 
 
-def map_clusters(df: DataFrame, zoom: int = 2) -> DataFrame:
+def map_clusters(df: DataFrame, zoom: int = 2, exact_scale: int | None = None) -> DataFrame:
     """Marker clusters as map tiles at ``zoom``: count, centroid and strongest magnitude.
 
     Rows beyond the Web-Mercator latitude limit have no tile and are left out.
@@ -275,8 +276,8 @@ def map_clusters(df: DataFrame, zoom: int = 2) -> DataFrame:
     inside = df.where(G.in_tile_range("Latitude") & F.col("Longitude").isNotNull())
     return inside.groupBy(tx.alias("tile_x"), ty.alias("tile_y")).agg(
         F.count(F.lit(1)).alias("Count"),
-        F.avg("Latitude").alias("center_latitude"),
-        F.avg("Longitude").alias("center_longitude"),
+        mean("Latitude", exact_scale).alias("center_latitude"),
+        mean("Longitude", exact_scale).alias("center_longitude"),
         F.max("Magnitude").alias("max_magnitude"),
     ).withColumn("zoom", F.lit(zoom))
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tremor.functions.agg import mean, zero_like
 from tremor.functions.parse import to_double, year_of
 
 
-def yearly_stats(raw: DataFrame) -> DataFrame:
+def yearly_stats(raw: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Rows per Year before null removal, with mean and max magnitude.
 
     One aggregate over the raw rows: ``Counts`` counts every row of the year,
@@ -23,13 +24,13 @@ def yearly_stats(raw: DataFrame) -> DataFrame:
     t = raw.select(year_of("Date").alias("Year"), to_double("Magnitude").alias("Magnitude"))
     out = t.groupBy("Year").agg(
         F.count(F.lit(1)).alias("Counts"),
-        F.avg("Magnitude").alias("Avg_Magnitude"),
+        mean("Magnitude", exact_scale).alias("Avg_Magnitude"),
         F.max("Magnitude").alias("Max_Magnitude"),
     )
     return out.na.drop(how="any")
 
 
-def yearly_join(raw: DataFrame) -> DataFrame:
+def yearly_join(raw: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """The same figures as three aggregates joined on Year (the ETL's plan shape).
 
     Kept for parity; ``yearly_stats`` computes the same rows with one scan and
@@ -37,26 +38,26 @@ def yearly_join(raw: DataFrame) -> DataFrame:
     """
     t = raw.select(year_of("Date").alias("Year"), to_double("Magnitude").alias("Magnitude"))
     freq = t.groupBy("Year").agg(F.count(F.lit(1)).alias("Counts"))
-    avg = t.groupBy("Year").agg(F.avg("Magnitude").alias("Avg_Magnitude"))
+    avg = t.groupBy("Year").agg(mean("Magnitude", exact_scale).alias("Avg_Magnitude"))
     mx = t.groupBy("Year").agg(F.max("Magnitude").alias("Max_Magnitude"))
     return freq.join(avg, ["Year"], "inner").join(mx, ["Year"], "inner").na.drop(how="any")
 
 
-def yearly_stats_clean(catalog: DataFrame) -> DataFrame:
+def yearly_stats_clean(catalog: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Yearly count, mean and max magnitude over curated rows."""
     return catalog.groupBy("Year").agg(
         F.count(F.lit(1)).alias("Counts"),
-        F.avg("Magnitude").alias("Avg_Magnitude"),
+        mean("Magnitude", exact_scale).alias("Avg_Magnitude"),
         F.max("Magnitude").alias("Max_Magnitude"),
     )
 
 
-def trend_stats(base: DataFrame) -> DataFrame:
+def trend_stats(base: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Per Year: events with an ID, max and mean magnitude."""
     return base.groupBy("Year").agg(
         F.count("ID").alias("Total_Earthquakes"),
         F.max("Magnitude").alias("Max_Magnitude"),
-        F.avg("Magnitude").alias("Avg_Magnitude"),
+        mean("Magnitude", exact_scale).alias("Avg_Magnitude"),
     )
 
 
@@ -86,12 +87,12 @@ def type_share(df: DataFrame) -> DataFrame:
     return counts.withColumn("Share", F.col("Count") * F.lit(100.0) / total)
 
 
-def kpi(df: DataFrame) -> DataFrame:
+def kpi(df: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Home-page key figures of a table, with the empty-input defaults (0)."""
     agg = df.agg(
         F.count(F.lit(1)).alias("total_earthquakes"),
         F.count_distinct("Year").alias("unique_years"),
-        F.avg("Magnitude").alias("average_magnitude"),
+        mean("Magnitude", exact_scale).alias("average_magnitude"),
         F.max("Depth").alias("max_depth"),
         F.count_distinct("Type").alias("unique_types"),
     )
@@ -101,19 +102,19 @@ def kpi(df: DataFrame) -> DataFrame:
         F.when(F.col("unique_years") > 0, F.col("total_earthquakes") / F.col("unique_years"))
         .otherwise(F.lit(0.0))
         .alias("average_yearly"),
-        F.coalesce("average_magnitude", F.lit(0.0)).alias("average_magnitude"),
+        F.coalesce("average_magnitude", zero_like(exact_scale)).alias("average_magnitude"),
         F.coalesce("max_depth", F.lit(0.0)).alias("max_depth"),
         "unique_types",
     )
 
 
-def kpi_year(df: DataFrame) -> DataFrame:
+def kpi_year(df: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Key figures of one year's rows: count, min, max and mean magnitude."""
     return df.agg(
         F.count(F.lit(1)).alias("total_earthquakes"),
         F.min("Magnitude").alias("min_magnitude"),
         F.max("Magnitude").alias("max_magnitude"),
-        F.avg("Magnitude").alias("avg_magnitude"),
+        mean("Magnitude", exact_scale).alias("avg_magnitude"),
     )
 
 

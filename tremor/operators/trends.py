@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremor.functions import display
+from tremor.functions.agg import mean
 
 # Strongest-event list size and default range width (years after the first).
 TOP_N = 50
@@ -104,9 +105,11 @@ def top_remaining(top: DataFrame) -> DataFrame:
     return tag_extremes(top).where("_other").drop("_most", "_least", "_other")
 
 
-def top_centroid(top: DataFrame) -> DataFrame:
+def top_centroid(top: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Plain mean position of a list (no wrap-around at +-180 degrees)."""
-    return top.agg(F.avg("Latitude").alias("avg_latitude"), F.avg("Longitude").alias("avg_longitude"))
+    return top.agg(
+        mean("Latitude", exact_scale).alias("avg_latitude"), mean("Longitude", exact_scale).alias("avg_longitude")
+    )
 
 
 def magnitude_histogram(df: DataFrame, width: float = 0.1) -> DataFrame:

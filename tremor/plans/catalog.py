@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DecimalType, DoubleType
 
 from tremor.operators import clean as C
 from tremor.operators import geo, ml, stats, trends
@@ -24,16 +24,30 @@ from tremor.sources.sinks import preview as preview_rows
 
 
 def rounded(df: DataFrame, places: int = 6, wide: tuple = (), wide_places: int = 9) -> DataFrame:
-    """Round every double column (``wide`` ones to ``wide_places``)."""
+    """Round every double and decimal column (``wide`` ones to ``wide_places``).
+
+    Doubles are rounded as ``round(x * 10^p) / 10^p``: an integer-scale
+    rounding of one binary value, which every engine resolves the same way.
+    Decimals (exact averages) are rounded half-up in decimal, then made double.
+    """
     cols = []
     for f in df.schema.fields:
+        p = wide_places if f.name in wide else places
         if isinstance(f.dataType, DoubleType):
-            cols.append(F.round(F.col(f.name), wide_places if f.name in wide else places).alias(f.name))
+            scale = float(10**p)
+            cols.append((F.round(F.col(f.name) * F.lit(scale), 0) / F.lit(scale)).alias(f.name))
+        elif isinstance(f.dataType, DecimalType):
+            cols.append(F.round(F.col(f.name), p).cast("double").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
 
+# Inputs of the comparable queries carry at most this many decimals, so their
+# averages are computed exactly (see ``functions.agg.mean``).
+EXACT = 4
+
+
 # ---- shared inputs -----------------------------------------------------------
 
 
@@ -125,19 +139,19 @@ def q_preview(spark, d):
 
 
 def q_yearly_stats(spark, d):
-    return rounded(stats.yearly_stats(raw(spark, d)))
+    return rounded(stats.yearly_stats(raw(spark, d), EXACT))
 
 
 def q_yearly_join(spark, d):
-    return rounded(stats.yearly_join(raw(spark, d)))
+    return rounded(stats.yearly_join(raw(spark, d), EXACT))
 
 
 def q_yearly_stats_clean(spark, d):
-    return rounded(stats.yearly_stats_clean(cleaned(spark, d)))
+    return rounded(stats.yearly_stats_clean(cleaned(spark, d), EXACT))
 
 
 def q_trend_stats(spark, d):
-    return rounded(stats.trend_stats(base(spark, d)))
+    return rounded(stats.trend_stats(base(spark, d), EXACT))
 
 
 def q_yearly_counts(spark, d):
@@ -153,17 +167,17 @@ def q_type_share(spark, d):
 
 
 def q_kpi_home(spark, d):
-    return rounded(stats.kpi(curated(spark, d)))
+    return rounded(stats.kpi(curated(spark, d), EXACT))
 
 
 def q_kpi_year(spark, d):
-    return rounded(stats.kpi_year(trends.year_slice(curated(spark, d))))
+    return rounded(stats.kpi_year(trends.year_slice(curated(spark, d)), EXACT))
 
 
 def q_kpi_empty(spark, d):
     cat = curated(spark, d)
     before_first = cat.agg(F.min("Year") - 1).scalar()
-    return rounded(stats.kpi(trends.year_slice(cat, before_first)))
+    return rounded(stats.kpi(trends.year_slice(cat, before_first), EXACT))
 
 
 def q_year_options(spark, d):
@@ -198,7 +212,7 @@ def q_top_remaining(spark, d):
 
 
 def q_top_centroid(spark, d):
-    return rounded(trends.top_centroid(top(spark, d)))
+    return rounded(trends.top_centroid(top(spark, d), EXACT))
 
 
 def q_magnitude_histogram(spark, d):
@@ -238,7 +252,7 @@ def q_marker_table(spark, d):
 
 
 def q_map_clusters(spark, d):
-    return rounded(geo.map_clusters(trends.year_slice(curated(spark, d)), zoom=2))
+    return rounded(geo.map_clusters(trends.year_slice(curated(spark, d)), zoom=2, exact_scale=EXACT))
 
 
 def q_nearest_hav(spark, d):

@@ -96,7 +96,17 @@ def _hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 
 
 def _r(x: str, p: int = 6) -> str:
-    return f"round({x}, {p})"
+    """Round as the Spark side does: integer-scale rounding of the binary value."""
+    return f"(round(({x}) * 1e{p}) / 1e{p} + 0e0)"
+
+
+def _avg(x: str, p: int = 6, scale: int = 4) -> str:
+    """Exact mean of values with at most ``scale`` decimals, rounded half away
+    from zero to ``p`` places, in integer arithmetic."""
+    s = f"sum(CAST(round(({x}) * 1e{scale}) AS HUGEINT))"
+    n = f"nullif(CAST(count({x}) AS HUGEINT), 0)"
+    k = 10 ** (p - scale) if p >= scale else 1
+    return f"(CAST(sign({s}) * ((2 * abs({s}) * {k} + {n}) // (2 * {n})) AS DOUBLE) / 1e{p} + 0e0)"
 
 
 _CURATED_COLS = ', '.join(
@@ -129,14 +139,14 @@ SQL: dict[str, str] = {
         FROM raw""",
     "preview": f'SELECT {_CURATED_COLS} FROM curated ORDER BY "ID" LIMIT 5',
     "yearly_stats": f"""SELECT * FROM (
-        SELECT "Year", count(*) AS "Counts", {_r('avg("Magnitude")')} AS "Avg_Magnitude",
+        SELECT "Year", count(*) AS "Counts", {_avg('"Magnitude"')} AS "Avg_Magnitude",
                {_r('max("Magnitude")')} AS "Max_Magnitude"
         FROM (SELECT {_YEAR_ANY} AS "Year", {_dbl('"Magnitude"')} AS "Magnitude" FROM raw) GROUP BY "Year")
         WHERE "Year" IS NOT NULL AND "Avg_Magnitude" IS NOT NULL AND "Max_Magnitude" IS NOT NULL""",
-    "yearly_stats_clean": f"""SELECT "Year", count(*) AS "Counts", {_r('avg("Magnitude")')} AS "Avg_Magnitude",
+    "yearly_stats_clean": f"""SELECT "Year", count(*) AS "Counts", {_avg('"Magnitude"')} AS "Avg_Magnitude",
         {_r('max("Magnitude")')} AS "Max_Magnitude" FROM curated GROUP BY "Year\"""",
     "trend_stats": f"""SELECT "Year", count("ID") AS "Total_Earthquakes", {_r('max("Magnitude")')} AS "Max_Magnitude",
-        {_r('avg("Magnitude")')} AS "Avg_Magnitude" FROM base GROUP BY "Year\"""",
+        {_avg('"Magnitude"')} AS "Avg_Magnitude" FROM base GROUP BY "Year\"""",
     "yearly_counts": 'SELECT "Year", count(*) AS "Count" FROM curated WHERE "Year" IS NOT NULL GROUP BY "Year" ORDER BY "Year"',
     "type_counts": """SELECT "Type", count(*) AS "Count" FROM base WHERE "Type" IS NOT NULL GROUP BY "Type"
         ORDER BY "Count" DESC, "Type\"""",
@@ -144,19 +154,19 @@ SQL: dict[str, str] = {
         SELECT "Type", count(*) AS "Count" FROM base WHERE "Type" IS NOT NULL GROUP BY "Type")""",
     "kpi_home": f"""SELECT total_earthquakes, unique_years,
         {_r('CASE WHEN unique_years > 0 THEN total_earthquakes / unique_years ELSE 0e0 END')} AS average_yearly,
-        {_r('coalesce(average_magnitude, 0e0)')} AS average_magnitude, {_r('coalesce(max_depth, 0e0)')} AS max_depth,
+        coalesce(average_magnitude, 0e0) AS average_magnitude, {_r('coalesce(max_depth, 0e0)')} AS max_depth,
         unique_types FROM (
         SELECT count(*) AS total_earthquakes, count(DISTINCT "Year") AS unique_years,
-               avg("Magnitude") AS average_magnitude, max("Depth") AS max_depth, count(DISTINCT "Type") AS unique_types
+               {_avg('"Magnitude"')} AS average_magnitude, max("Depth") AS max_depth, count(DISTINCT "Type") AS unique_types
         FROM curated)""",
     "kpi_year": f"""SELECT count(*) AS total_earthquakes, {_r('min("Magnitude")')} AS min_magnitude,
-        {_r('max("Magnitude")')} AS max_magnitude, {_r('avg("Magnitude")')} AS avg_magnitude FROM latest""",
+        {_r('max("Magnitude")')} AS max_magnitude, {_avg('"Magnitude"')} AS avg_magnitude FROM latest""",
     "kpi_empty": f"""SELECT total_earthquakes, unique_years,
         {_r('CASE WHEN unique_years > 0 THEN total_earthquakes / unique_years ELSE 0e0 END')} AS average_yearly,
-        {_r('coalesce(average_magnitude, 0e0)')} AS average_magnitude, {_r('coalesce(max_depth, 0e0)')} AS max_depth,
+        coalesce(average_magnitude, 0e0) AS average_magnitude, {_r('coalesce(max_depth, 0e0)')} AS max_depth,
         unique_types FROM (
         SELECT count(*) AS total_earthquakes, count(DISTINCT "Year") AS unique_years,
-               avg("Magnitude") AS average_magnitude, max("Depth") AS max_depth, count(DISTINCT "Type") AS unique_types
+               {_avg('"Magnitude"')} AS average_magnitude, max("Depth") AS max_depth, count(DISTINCT "Type") AS unique_types
         FROM curated WHERE "Year" = (SELECT min("Year") - 1 FROM curated))""",
     "year_options": 'SELECT DISTINCT "Year" FROM curated WHERE "Year" IS NOT NULL ORDER BY "Year" DESC',
     "year_slice": f"SELECT {_CURATED_COLS} FROM latest",
@@ -166,7 +176,7 @@ SQL: dict[str, str] = {
     "severity_extremes": f"""SELECT role, "ID", "Date", {_r('"Magnitude"')} AS "Magnitude", {_r('"Depth"')} AS "Depth",
         {_r('"Latitude"')} AS "Latitude", {_r('"Longitude"')} AS "Longitude" FROM extremes""",
     "top_remaining": f"SELECT {_CURATED_COLS} FROM remaining",
-    "top_centroid": f"""SELECT {_r('avg("Latitude")')} AS avg_latitude, {_r('avg("Longitude")')} AS avg_longitude FROM top""",
+    "top_centroid": f"""SELECT {_avg('"Latitude"')} AS avg_latitude, {_avg('"Longitude"')} AS avg_longitude FROM top""",
     "magnitude_histogram": f"""SELECT bin, {_r('bin * 0.1e0')} AS bin_start, {_r('(bin + 1) * 0.1e0')} AS bin_end, count(*) AS "Count"
         FROM (SELECT CAST(floor(round("Magnitude" / 0.1e0, 9)) AS BIGINT) AS bin FROM base WHERE "Magnitude" IS NOT NULL)
         GROUP BY bin""",
@@ -197,8 +207,8 @@ SQL: dict[str, str] = {
              ELSE 'Magnitude' END || ': ' || CAST("Magnitude" AS VARCHAR) || ' | Date: ' || "Date" AS popup
         FROM (SELECT role, "ID", "Latitude", "Longitude", "Magnitude", "Date" FROM extremes
               UNION ALL SELECT 'other', "ID", "Latitude", "Longitude", "Magnitude", "Date" FROM remaining)""",
-    "map_clusters": f"""SELECT tile_x, tile_y, count(*) AS "Count", {_r('avg("Latitude")')} AS center_latitude,
-        {_r('avg("Longitude")')} AS center_longitude, {_r('max("Magnitude")')} AS max_magnitude, 2 AS zoom
+    "map_clusters": f"""SELECT tile_x, tile_y, count(*) AS "Count", {_avg('"Latitude"')} AS center_latitude,
+        {_avg('"Longitude"')} AS center_longitude, {_r('max("Magnitude")')} AS max_magnitude, 2 AS zoom
         FROM (SELECT {_TILE_X} AS tile_x, {_TILE_Y} AS tile_y, * FROM latest
               WHERE abs("Latitude") <= 85.0511287798066e0 AND "Longitude" IS NOT NULL)
         GROUP BY tile_x, tile_y""",
