@@ -26,3 +26,16 @@ def mean(c, exact_scale: int | None = None) -> Column:
 def zero_like(exact_scale: int | None) -> Column:
     """A zero of the type ``mean`` returns (for empty-input defaults)."""
     return F.lit(0.0) if exact_scale is None else F.lit(0).cast("decimal(38,20)")
+
+
+def mean_parts(c, exact_scale: int | None = None) -> tuple[Column, Column]:
+    """``(sum, count)`` partials of ``mean``, to be merged in a later aggregate."""
+    col = F.col(c) if isinstance(c, str) else c
+    if exact_scale is not None:
+        col = col.cast(f"decimal({exact_scale + 8},{exact_scale})")
+    return F.sum(col), F.count(col)
+
+
+def mean_of_parts(sum_col: str, count_col: str) -> Column:
+    """Merge ``mean_parts`` columns into the mean (same type as ``mean``)."""
+    return F.sum(sum_col) / F.sum(count_col)

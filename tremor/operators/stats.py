@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.functions.agg import mean, zero_like
+from tremor.functions.agg import mean, mean_of_parts, mean_parts, zero_like
 from tremor.functions.parse import to_double, year_of
 
 
@@ -88,12 +88,21 @@ def type_share(df: DataFrame) -> DataFrame:
 
 
 def kpi(df: DataFrame, exact_scale: int | None = None) -> DataFrame:
-    """Home-page key figures of a table, with the empty-input defaults (0)."""
-    agg = df.agg(
-        F.count(F.lit(1)).alias("total_earthquakes"),
+    """Home-page key figures of a table, with the empty-input defaults (0).
+
+    Two levels: a partial-aggregated rollup per (Year, Type), then the
+    figures over that small table.  The distinct counts run on the rollup, so
+    the rows are not expanded once per distinct aggregate.
+    """
+    m_sum, m_cnt = mean_parts("Magnitude", exact_scale)
+    per = df.groupBy("Year", "Type").agg(
+        F.count(F.lit(1)).alias("n"), m_sum.alias("m_sum"), m_cnt.alias("m_cnt"), F.max("Depth").alias("d_max")
+    )
+    agg = per.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_earthquakes"),
         F.count_distinct("Year").alias("unique_years"),
-        mean("Magnitude", exact_scale).alias("average_magnitude"),
-        F.max("Depth").alias("max_depth"),
+        mean_of_parts("m_sum", "m_cnt").alias("average_magnitude"),
+        F.max("d_max").alias("max_depth"),
         F.count_distinct("Type").alias("unique_types"),
     )
     return agg.select(
