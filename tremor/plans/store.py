@@ -12,11 +12,12 @@ dashboard query.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tremor.operators import clean as C
-from tremor.session import checkpoint_dir
+from tremor.session import shared_dir
 from tremor.sources import catalog as src
 from tremor.sources import fixture, sinks
 
@@ -47,8 +48,17 @@ def curated_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated catalogue of ``sf_dir``'s raw events, materialised once per input version."""
     source = f"{sf_dir.rstrip('/')}/orders.parquet"
     key = hashlib.sha1(f"v{LAYOUT_VERSION}|{_signature(spark, source)}".encode()).hexdigest()[:16]
-    root = f"{checkpoint_dir(spark).rstrip('/')}/tremor-store/{key}"
+    root = f"{shared_dir(spark)}/tremor-store/{key}"
     path = f"{root}/quakes"
     if not _exists(spark, f"{path}/{_READY}"):
-        sinks.write_catalog(C.clean(fixture.raw_catalog(spark, sf_dir)), path)
+        # Write aside, then rename into place: a concurrent or failed writer
+        # never leaves a half-written store at ``path``.
+        attempt = f"{root}/attempt-{uuid.uuid4().hex}"
+        sinks.write_catalog(C.clean(fixture.raw_catalog(spark, sf_dir)), attempt)
+        fs, target = _fs(spark, path)
+        _, staged = _fs(spark, attempt)
+        if not fs.rename(staged, target):
+            fs.delete(staged, True)  # another writer won; its copy is complete
+        if not _exists(spark, f"{path}/{_READY}"):
+            raise RuntimeError(f"curated store at {path} is incomplete")
     return src.read_catalog(spark, path).select("Date", "Latitude", "Longitude", "Type", "Depth", "Magnitude", "ID", "Year")

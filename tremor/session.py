@@ -40,17 +40,38 @@ def apply_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names.
+_LOCAL_SHARED: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Uses ``spark.checkpoint.dir`` when the session sets it; only when it is
-    unset (local tests) falls back to a fresh scratch folder.
+    Only when it is unset and the master is local (tests) is a scratch folder
+    used instead; on a cluster an unset value is an error, never a local path.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        try:
+            configured = spark.conf.get("spark.checkpoint.dir")
+        except Exception:
+            configured = None
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="tremor-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir()
+        return configured.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: tremor checkpoints and stores derived tables there, "
+            "so it must name a folder every executor can reach"
+        )
+    key = sc.applicationId
+    if key not in _LOCAL_SHARED:
+        _LOCAL_SHARED[key] = tempfile.mkdtemp(prefix="tremor-shared-", dir=os.environ.get("TMPDIR", "/tmp"))
+    return _LOCAL_SHARED[key]
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint`` write under the shared folder; return the folder in use."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
+    return sc.getCheckpointDir()
