@@ -150,3 +150,13 @@ def test_both_join_strategies_agree(spark, broadcast_rows):
     assert got[77] == "z000"
     geo_got = {r.point_id: r.ID for r in geo.nearest(p, e, metric="geodesic", broadcast_rows=broadcast_rows).collect()}
     assert geo_got[77] == "z000"
+
+
+def test_few_points_many_events(spark):
+    """Points side smaller than the events: points are broadcast, events stream."""
+    rng = random.Random(9)
+    events = [(f"e{i:04d}", rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(800)]
+    points = [(1, 0.0, 0.0), (2, -45.0, 179.5), (3, 88.0, -30.0)]
+    p, e = frames(spark, points, events)
+    got = {r.point_id: r.ID for r in geo.nearest(p, e).collect()}
+    assert got == brute(points, events, hav_km)

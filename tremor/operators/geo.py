@@ -115,23 +115,35 @@ def nearest(
     valid = pts_all.where(F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
     invalid = _missing(pts_all.where(F.col("_plat").isNull() | F.col("_plon").isNull()), keys, event_key, carry, metric)
 
-    # The point side is exploded 27-fold; its row count is the size bound
-    # that decides between an explicit broadcast and a shuffle join.
+    # Both sides are counted: the counts are the proven size bounds that pick
+    # the join strategy.  The point side is exploded 27-fold.
+    t0 = time.time()
     n_points = valid.count()
-    small = n_points * len(_OFFSETS) <= broadcast_rows
     ev = events.select(event_key, event_lat, event_lon, *carry).where(
         F.col(event_lat).isNotNull() & F.col(event_lon).isNotNull()
     )
-    if not small:
-        # Shuffle join ahead: collapse identical positions first (map-side),
-        # so a pile of copies at one spot is one row in the shuffle.
+    n_raw_events = ev.count()
+    log.info("nearest: %d points, %d events counted in %.2fs", n_points, n_raw_events, time.time() - t0)
+    exploded = n_points * len(_OFFSETS)
+    if exploded <= broadcast_rows and exploded <= n_raw_events:
+        mode = "broadcast_points"  # events stream through, no shuffle of the catalogue
+    elif n_raw_events <= broadcast_rows:
+        mode = "broadcast_events"  # exploded points stream through
+    else:
+        mode = "shuffle"
+    if mode == "shuffle":
+        # Collapse identical positions first (map-side), so a pile of copies
+        # at one spot is one row in the shuffle.
         ev = dedupe_positions(ev, event_key, event_lat, event_lon, carry)
     ev = _with_unit(ev, event_lat, event_lon, "_e").withColumnsRenamed({event_lat: "_elat", event_lon: "_elon"})
-    if not small:
+    if mode == "shuffle":
         ev = ev.persist(StorageLevel.MEMORY_AND_DISK)
-    n_events = ev.count()
+        n_events = ev.count()
+    else:
+        n_events = n_raw_events
+    log.info("nearest: join mode %s", mode)
     if n_events == 0 or n_points == 0:
-        if not small:
+        if mode == "shuffle":
             ev.unpersist()
         empty = _missing(valid, keys, event_key, carry, metric)
         return empty.unionByName(invalid)
@@ -146,7 +158,7 @@ def nearest(
         t_level = time.time()
         final = s >= 2.0
         near = _neighbour_cells(remaining, s)
-        cand = _join_cells(near, ev, s, small).withColumn("_hkm", G.haversine_km("_plat", "_plon", "_elat", "_elon"))
+        cand = _join_cells(near, ev, s, mode).withColumn("_hkm", G.haversine_km("_plat", "_plon", "_elat", "_elon"))
         rank_km = F.round("_hkm", round_km) if round_km is not None else F.col("_hkm")
         best = cand.groupBy(*keys, "_plat", "_plon", "_x", "_y", "_z").agg(
             F.min_by(
@@ -154,11 +166,13 @@ def nearest(
                 F.struct(rank_km.alias("_r"), F.col(event_key)),
             ).alias("_b")
         )
+        t0 = time.time()
         best = best.checkpoint(eager=True)
+        log.info("nearest: best checkpointed in %.2fs", time.time() - t0)
         ok = F.lit(True) if final else G.chord_for_km(F.col("_b._hkm"), margin) <= F.lit(s)
         done = best.where(ok)
         if metric == "geodesic":
-            done = _refine_geodesic(done, ev, s, keys, event_key, carry, round_km, small).checkpoint(eager=True)
+            done = _refine_geodesic(done, ev, s, keys, event_key, carry, round_km, mode).checkpoint(eager=True)
         else:
             done = done.select(
                 *keys,
@@ -177,7 +191,7 @@ def nearest(
         remaining = nxt.checkpoint(eager=True)
         s = min(s * GROWTH, 2.0)
 
-    if not small:
+    if mode == "shuffle":
         ev.unpersist()
     out = found[0]
     for f in found[1:]:
@@ -185,15 +199,20 @@ def nearest(
     return out.unionByName(invalid)
 
 
-def _join_cells(near: DataFrame, ev: DataFrame, s: float, small: bool) -> DataFrame:
+def _join_cells(near: DataFrame, ev: DataFrame, s: float, mode: str) -> DataFrame:
     """Equi-join exploded points to events on the cell key.
 
-    ``small``: the point side was counted under the broadcast bound, so it is
-    broadcast and the catalogue streams through without a shuffle.  Otherwise
-    the planner (with AQE's runtime sizes and skew splitting) chooses.
+    The broadcast modes were chosen from counted sizes, so the broadcast side
+    is bounded; the other side streams through without a shuffle.  In
+    ``shuffle`` mode the planner (with AQE's runtime sizes and skew-join
+    splitting) decides.
     """
-    left = F.broadcast(near) if small else near
-    return left.join(_cells(ev, s), ["_cx", "_cy", "_cz"])
+    cells = _cells(ev, s)
+    if mode == "broadcast_points":
+        return F.broadcast(near).join(cells, ["_cx", "_cy", "_cz"])
+    if mode == "broadcast_events":
+        return near.join(F.broadcast(cells), ["_cx", "_cy", "_cz"])
+    return near.join(cells, ["_cx", "_cy", "_cz"])
 
 
 def _missing(pts: DataFrame, keys, event_key, carry, metric) -> DataFrame:
@@ -205,11 +224,11 @@ def _missing(pts: DataFrame, keys, event_key, carry, metric) -> DataFrame:
     return pts.select(*cols)
 
 
-def _refine_geodesic(done: DataFrame, ev: DataFrame, s: float, keys, event_key, carry, round_km, small) -> DataFrame:
+def _refine_geodesic(done: DataFrame, ev: DataFrame, s: float, keys, event_key, carry, round_km, mode) -> DataFrame:
     """Vincenty distance for every event within the sphere-distance margin of the best."""
     bound = done.select(*keys, "_plat", "_plon", "_x", "_y", "_z", (F.col("_b._hkm") * GEODESIC_MARGIN).alias("_lim"))
     near = _neighbour_cells(bound, s)
-    cand = _join_cells(near, ev, s, small)
+    cand = _join_cells(near, ev, s, mode)
     cand = cand.withColumn("_hkm", G.haversine_km("_plat", "_plon", "_elat", "_elon")).where(
         F.col("_hkm") <= F.col("_lim") + F.lit(1e-9)
     )
