@@ -43,15 +43,26 @@ def year_bounds(df: DataFrame) -> DataFrame:
     )
 
 
+def with_scalar(df: DataFrame, name: str, one_row: DataFrame) -> DataFrame:
+    """Attach a one-row, one-struct result to every row as column ``name``.
+
+    The scalar subquery is bound to a column once: each use of one of its
+    fields then reads the column, so Spark plans and runs the subquery once
+    (field accesses on the subquery expression itself would each become a
+    separate subquery with its own scan).
+    """
+    return df.withColumn(name, one_row.scalar())
+
+
 def year_range(df: DataFrame, lo=None, hi=None) -> DataFrame:
     """Rows with ``lo <= Year <= hi``; missing bounds take the default range."""
-    if lo is None or hi is None:
-        bounds = year_bounds(df).select(F.struct("range_lo", "range_hi")).scalar()
-        lo = bounds["range_lo"] if lo is None else F.lit(lo)
-        hi = bounds["range_hi"] if hi is None else F.lit(hi)
-    else:
-        lo, hi = F.lit(lo), F.lit(hi)
-    return df.where((F.col("Year") >= lo) & (F.col("Year") <= hi))
+    if lo is not None and hi is not None:
+        return df.where((F.col("Year") >= F.lit(lo)) & (F.col("Year") <= F.lit(hi)))
+    bounds = year_bounds(df).select(F.struct("range_lo", "range_hi"))
+    t = with_scalar(df, "_bounds", bounds)
+    lo_c = F.col("_bounds.range_lo") if lo is None else F.lit(lo)
+    hi_c = F.col("_bounds.range_hi") if hi is None else F.lit(hi)
+    return t.where((F.col("Year") >= lo_c) & (F.col("Year") <= hi_c)).drop("_bounds")
 
 
 def top_quakes(df: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -139,9 +150,10 @@ def trend_line(df: DataFrame, x: str = "Longitude", y: str = "Magnitude") -> Dat
 
 def trend_fitted(df: DataFrame, x: str = "Longitude", y: str = "Magnitude") -> DataFrame:
     """Each row with the fitted line evaluated at its ``x``."""
-    fit = trend_line(df, x, y).select(F.struct("slope", "intercept")).scalar()
+    fit = trend_line(df, x, y).select(F.struct("slope", "intercept"))
     keep = [c for c in ("ID",) if c in df.columns]
-    return df.select(*keep, x, y, (fit["slope"] * F.col(x) + fit["intercept"]).alias("fitted"))
+    t = with_scalar(df, "_fit", fit)
+    return t.select(*keep, x, y, (F.col("_fit.slope") * F.col(x) + F.col("_fit.intercept")).alias("fitted"))
 
 
 def trend_rmse(df: DataFrame, x: str = "Longitude", y: str = "Magnitude") -> DataFrame:
@@ -178,9 +190,13 @@ def scatter_points(df: DataFrame) -> DataFrame:
 
 def depth_scaled(df: DataFrame, smallest: float = 20.0, largest: float = 200.0) -> DataFrame:
     """Depth min-max scaled onto ``[smallest, largest]`` as a bubble size."""
-    b = df.agg(F.min("Depth").alias("lo"), F.max("Depth").alias("hi")).select(F.struct("lo", "hi")).scalar()
-    return df.where(F.col("Depth").isNotNull()).select(
-        "ID", "Depth", "Magnitude", display.bubble_scaled("Depth", b["lo"], b["hi"], smallest, largest).alias("size")
+    b = df.agg(F.min("Depth").alias("lo"), F.max("Depth").alias("hi")).select(F.struct("lo", "hi"))
+    t = with_scalar(df.where(F.col("Depth").isNotNull()), "_b", b)
+    return t.select(
+        "ID",
+        "Depth",
+        "Magnitude",
+        display.bubble_scaled("Depth", F.col("_b.lo"), F.col("_b.hi"), smallest, largest).alias("size"),
     )
 
 
