@@ -14,12 +14,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from tremor.session import build_session
 
-    ckpt = tempfile.mkdtemp(prefix="tremor-test-ckpt-")
-    s = build_session(
-        "local[4]",
-        app="tremor-tests",
-        conf={"spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": ckpt},
-    )
+    # spark.checkpoint.dir comes from the session's own configuration when it
+    # has one; tremor.session falls back to a scratch folder only when unset.
+    s = build_session("local[4]", app="tremor-tests", conf={"spark.sql.shuffle.partitions": "8"})
     yield s
     s.stop()
 

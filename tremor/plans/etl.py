@@ -63,3 +63,33 @@ def run_etl_csv(spark: SparkSession, catalog_csv: str, feed_csv: str, out_dir: s
     feed = src.read_raw_csv(spark, feed_csv)
     C.require_columns(raw, ["Date", *schema.NUMERIC_COLUMNS, "Type", "ID"])
     return run_etl(spark, raw, feed, out_dir, **kw)
+
+
+def main(argv=None) -> int:
+    """``python -m tremor.plans.etl CATALOG_CSV FEED_CSV OUT_DIR [--model NAME] [--format FMT]``"""
+    import argparse
+
+    from tremor.session import build_session
+
+    ap = argparse.ArgumentParser(prog="tremor.plans.etl", description="clean, store, summarise, train, score")
+    ap.add_argument("catalog_csv")
+    ap.add_argument("feed_csv")
+    ap.add_argument("out_dir")
+    ap.add_argument("--model", default="RandomForest", choices=list(ml.MODEL_NAMES))
+    ap.add_argument("--format", default="parquet")
+    ap.add_argument("--year", type=int, default=ml.PREDICTION_YEAR)
+    args = ap.parse_args(argv)
+    spark = build_session()
+    res = run_etl_csv(
+        spark, args.catalog_csv, args.feed_csv, args.out_dir, fmt=args.format, model_name=args.model,
+        prediction_year=args.year,
+    )
+    print(f"catalogue {res.catalog_path}\nyearly {res.yearly_path}\npredictions {res.predictions_path}")
+    print(f"model {res.model_path}\nRMSE on the feed = {res.rmse:g}")
+    return 0
+
+
+if __name__ == "__main__":
+    import sys
+
+    sys.exit(main())
