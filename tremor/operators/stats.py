@@ -22,7 +22,12 @@ def yearly_stats(raw: DataFrame, exact_scale: int | None = None) -> DataFrame:
     any magnitude are dropped.
     """
     t = raw.select(year_of("Date").alias("Year"), to_double("Magnitude").alias("Magnitude"))
-    out = t.groupBy("Year").agg(
+    return yearly_stats_typed(t, exact_scale)
+
+
+def yearly_stats_typed(typed_rows: DataFrame, exact_scale: int | None = None) -> DataFrame:
+    """``yearly_stats`` over rows already typed (``Year`` int, ``Magnitude`` double), nulls kept."""
+    out = typed_rows.groupBy("Year").agg(
         F.count(F.lit(1)).alias("Counts"),
         mean("Magnitude", exact_scale).alias("Avg_Magnitude"),
         F.max("Magnitude").alias("Max_Magnitude"),
