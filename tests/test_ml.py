@@ -66,3 +66,34 @@ def test_prediction_table_and_points(spark, data):
 def test_unknown_model():
     with pytest.raises(ValueError):
         ml.regressor("SVM")
+
+
+_FIT_SCRIPT = r"""
+import sys
+sys.path.insert(0, {root!r})
+from tremor.session import build_session
+from tremor.operators import ml
+from tremor.plans.catalog import train_test
+spark = build_session("local[2]", conf={{"spark.sql.shuffle.partitions": "4"}})
+train, test = train_test(spark, {sf!r})
+preds = ml.predict(ml.fit(train, "RandomForest"), test).orderBy("Latitude", "Longitude", "Depth", "Magnitude")
+print("PRED", ",".join(repr(r[0]) for r in preds.select("prediction").collect()))
+"""
+
+
+def test_seeded_fit_repeats_across_processes(data):
+    """A fixed seed gives the same forest in another process (the default seed does not)."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = _FIT_SCRIPT.format(root=root, sf=SF_SMALL)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600)
+    line = [l for l in out.stdout.splitlines() if l.startswith("PRED ")]
+    assert line, out.stderr[-2000:]
+    other = [float(x) for x in line[0][5:].split(",")]
+    train, test = data
+    preds = ml.predict(ml.fit(train, "RandomForest"), test).orderBy("Latitude", "Longitude", "Depth", "Magnitude")
+    mine = [r[0] for r in preds.select("prediction").collect()]
+    assert mine == other
