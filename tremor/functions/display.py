@@ -43,14 +43,21 @@ ROLE_COLOURS = {"most": "red", "least": "blue", "other": "orange"}
 ROLE_RADII = {"most": 12, "least": 12, "other": 5}
 
 
-def role_colour(role) -> Column:
+def _by_role(role, table: dict) -> Column:
     r = _col(role)
-    return F.when(r == "most", "red").when(r == "least", "blue").otherwise("orange")
+    return (
+        F.when(r == "most", F.lit(table["most"]))
+        .when(r == "least", F.lit(table["least"]))
+        .otherwise(F.lit(table["other"]))
+    )
+
+
+def role_colour(role) -> Column:
+    return _by_role(role, ROLE_COLOURS)
 
 
 def role_radius(role) -> Column:
-    r = _col(role)
-    return F.when(r.isin("most", "least"), F.lit(12)).otherwise(F.lit(5))
+    return _by_role(role, ROLE_RADII)
 
 
 # Popup headings per marker role.
@@ -58,12 +65,7 @@ ROLE_HEADINGS = {"most": "Most Severe Earthquake", "least": "Least Severe Earthq
 
 
 def role_heading(role) -> Column:
-    r = _col(role)
-    return (
-        F.when(r == "most", F.lit(ROLE_HEADINGS["most"]))
-        .when(r == "least", F.lit(ROLE_HEADINGS["least"]))
-        .otherwise(F.lit(ROLE_HEADINGS["other"]))
-    )
+    return _by_role(role, ROLE_HEADINGS)
 
 
 def popup_text(magnitude, date, heading=None) -> Column:

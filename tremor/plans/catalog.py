@@ -265,7 +265,7 @@ def q_nearest_hav(spark, d):
 
 def q_nearest_one(spark, d):
     one = fixture.points(spark, d).orderBy("point_id").limit(1)
-    return geo.nearest(one, quakes(spark, d), carry=("Date", "Magnitude", "Depth"), metric="geodesic")
+    return geo.nearest_one(one, quakes(spark, d), carry=("Date", "Magnitude", "Depth"), metric="geodesic")
 
 
 def q_nearest_batch(spark, d):
