@@ -1,9 +1,7 @@
 """Cleaning rules on hand-written rows: nulls, NaN, dates, missing columns."""
 
-import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from tremor import schema
 from tremor.operators import clean as C
