@@ -125,3 +125,11 @@ def test_marker_table_roles(cat):
     roles = Counter(r.role for r in m.collect())
     assert roles["most"] == 1 and roles["least"] == 1
     assert roles["other"] == trends.top_remaining(top).count()
+
+
+def test_two_level_top_n_equals_plain(cat):
+    plain = [tuple(r) for r in trends.top_quakes(cat, 50, buckets=0).collect()]
+    two = [tuple(r) for r in trends.top_quakes(cat.repartition(16), 50, buckets=4).collect()]
+    assert plain == two
+    plan = trends.top_quakes(cat.repartition(16), 50, buckets=4)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
