@@ -85,20 +85,32 @@ def vincenty_np(lat1, lon1, lat2, lon2, max_iter: int = 200, tol: float = 1e-12)
     su1, cu1, su2, cu2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
     lam = big_l.copy()
     done = np.zeros(lam.shape, dtype=bool)
-    sin_s = cos_s = sig = cos2a = cos2sm = np.zeros_like(lam)
+    sin_s = np.zeros_like(lam)
+    cos_s = np.zeros_like(lam)
+    sig = np.zeros_like(lam)
+    cos2a = np.zeros_like(lam)
+    cos2sm = np.zeros_like(lam)
     for _ in range(max_iter):
+        # Each pair keeps the terms of the iteration in which it converged, so
+        # its result never depends on the other pairs in the batch.
+        live = ~done
         sl, cl = np.sin(lam), np.cos(lam)
-        sin_s = np.sqrt((cu2 * sl) ** 2 + (cu1 * su2 - su1 * cu2 * cl) ** 2)
-        cos_s = su1 * su2 + cu1 * cu2 * cl
-        sig = np.arctan2(sin_s, cos_s)
+        s_s = np.sqrt((cu2 * sl) ** 2 + (cu1 * su2 - su1 * cu2 * cl) ** 2)
+        c_s = su1 * su2 + cu1 * cu2 * cl
+        sg = np.arctan2(s_s, c_s)
         with np.errstate(invalid="ignore", divide="ignore"):
-            sin_a = np.where(sin_s == 0, 0.0, cu1 * cu2 * sl / sin_s)
-            cos2a = 1 - sin_a**2
-            cos2sm = np.where(cos2a == 0, 0.0, cos_s - 2 * su1 * su2 / cos2a)
-        c = f / 16 * cos2a * (4 + f * (4 - 3 * cos2a))
-        new = big_l + (1 - c) * f * sin_a * (sig + c * sin_s * (cos2sm + c * cos_s * (-1 + 2 * cos2sm**2)))
-        converged = np.abs(new - lam) < tol
-        lam = np.where(done, lam, new)
+            sin_a = np.where(s_s == 0, 0.0, cu1 * cu2 * sl / s_s)
+            c2a = 1 - sin_a**2
+            c2sm = np.where(c2a == 0, 0.0, c_s - 2 * su1 * su2 / c2a)
+        c = f / 16 * c2a * (4 + f * (4 - 3 * c2a))
+        new = big_l + (1 - c) * f * sin_a * (sg + c * s_s * (c2sm + c * c_s * (-1 + 2 * c2sm**2)))
+        sin_s = np.where(live, s_s, sin_s)
+        cos_s = np.where(live, c_s, cos_s)
+        sig = np.where(live, sg, sig)
+        cos2a = np.where(live, c2a, cos2a)
+        cos2sm = np.where(live, c2sm, cos2sm)
+        converged = live & (np.abs(new - lam) < tol)
+        lam = np.where(live, new, lam)
         done |= converged
         if done.all():
             break

@@ -45,6 +45,13 @@ _OFFSETS = list(itertools.product((-1, 0, 1), repeat=3))
 log = logging.getLogger(__name__)
 
 
+def _round_km(km, places: int):
+    """Distance rounded as ``round(km * 10^p) / 10^p`` (one binary value rounded
+    at integer scale, which every engine resolves the same way)."""
+    scale = float(10**places)
+    return F.round(km * F.lit(scale), 0) / F.lit(scale)
+
+
 def _with_unit(df: DataFrame, lat: str, lon: str, prefix: str = "_") -> DataFrame:
     x, y, z = G.unit_xyz(lat, lon)
     return df.withColumns({f"{prefix}x": x, f"{prefix}y": y, f"{prefix}z": z})
@@ -159,7 +166,7 @@ def nearest(
         final = s >= 2.0
         near = _neighbour_cells(remaining, s)
         cand = _join_cells(near, ev, s, mode).withColumn("_hkm", G.haversine_km("_plat", "_plon", "_elat", "_elon"))
-        rank_km = F.round("_hkm", round_km) if round_km is not None else F.col("_hkm")
+        rank_km = _round_km(F.col("_hkm"), round_km) if round_km is not None else F.col("_hkm")
         best = cand.groupBy(*keys, "_plat", "_plon", "_x", "_y", "_z").agg(
             F.min_by(
                 F.struct(F.col(event_key).alias("_k"), F.col("_hkm"), *[F.col(c) for c in carry]),
@@ -178,7 +185,7 @@ def nearest(
                 *keys,
                 F.col("_b._k").alias(event_key),
                 *[F.col(f"_b.{c}").alias(c) for c in carry],
-                (F.round("_b._hkm", round_km) if round_km is not None else F.col("_b._hkm")).alias("km"),
+                (_round_km(F.col("_b._hkm"), round_km) if round_km is not None else F.col("_b._hkm")).alias("km"),
             )
         found.append(done)
         # Points with no event in their neighbourhood never reach ``best``.
@@ -236,7 +243,7 @@ def _refine_geodesic(done: DataFrame, ev: DataFrame, s: float, keys, event_key,
     cand = cand.withColumn("_gkm", gkm).withColumn("_approx", F.isnan("_gkm"))
     dist = F.when(F.col("_approx"), F.col("_hkm")).otherwise(F.col("_gkm"))
     cand = cand.withColumn("_km", dist)
-    rank_km = F.round("_km", round_km) if round_km is not None else F.col("_km")
+    rank_km = _round_km(F.col("_km"), round_km) if round_km is not None else F.col("_km")
     best = cand.groupBy(*keys).agg(
         F.min_by(
             F.struct(F.col(event_key).alias("_k"), F.col("_km"), F.col("_approx"), *[F.col(c) for c in carry]),
@@ -247,7 +254,7 @@ def _refine_geodesic(done: DataFrame, ev: DataFrame, s: float, keys, event_key,
         *keys,
         F.col("_b._k").alias(event_key),
         *[F.col(f"_b.{c}").alias(c) for c in carry],
-        (F.round("_b._km", round_km) if round_km is not None else F.col("_b._km")).alias("km"),
+        (_round_km(F.col("_b._km"), round_km) if round_km is not None else F.col("_b._km")).alias("km"),
         F.col("_b._approx").alias("approx"),
     )
 

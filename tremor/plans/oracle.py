@@ -213,18 +213,18 @@ SQL: dict[str, str] = {
               WHERE abs("Latitude") <= 85.0511287798066e0 AND "Longitude" IS NOT NULL)
         GROUP BY tile_x, tile_y""",
     "nearest_hav": f"""SELECT point_id, "ID", "Magnitude", km FROM (
-        SELECT p.point_id, q."ID", q."Magnitude", round({_hav('p.latitude', 'p.longitude', 'q."Latitude"', 'q."Longitude"')}, 6) AS km,
+        SELECT p.point_id, q."ID", q."Magnitude", {_r(_hav('p.latitude', 'p.longitude', 'q."Latitude"', 'q."Longitude"'))} AS km,
                row_number() OVER (PARTITION BY p.point_id ORDER BY
-                   round({_hav('p.latitude', 'p.longitude', 'q."Latitude"', 'q."Longitude"')}, 6), q."ID") AS rn
+                   {_r(_hav('p.latitude', 'p.longitude', 'q."Latitude"', 'q."Longitude"'))}, q."ID") AS rn
         FROM points p, quakes q) WHERE rn = 1""",
     "place_labels": f"""SELECT "Latitude", "Longitude", place_id, label, km FROM (
         SELECT c."Latitude", c."Longitude", g.place_id,
                CASE WHEN coalesce(g.city, g.town, g.village) IS NOT NULL
                     THEN coalesce(g.city, g.town, g.village) || ', ' || coalesce(g.country, 'Unknown')
                     ELSE coalesce(g.country, 'Unknown') END AS label,
-               round({_hav('c."Latitude"', 'c."Longitude"', 'g.latitude', 'g.longitude')}, 6) AS km,
+               {_r(_hav('c."Latitude"', 'c."Longitude"', 'g.latitude', 'g.longitude'))} AS km,
                row_number() OVER (PARTITION BY c."Latitude", c."Longitude" ORDER BY
-                   round({_hav('c."Latitude"', 'c."Longitude"', 'g.latitude', 'g.longitude')}, 6), g.place_id) AS rn
+                   {_r(_hav('c."Latitude"', 'c."Longitude"', 'g.latitude', 'g.longitude'))}, g.place_id) AS rn
         FROM (SELECT DISTINCT "Latitude", "Longitude" FROM latest) c, places g) WHERE rn = 1""",
 }
 
@@ -235,9 +235,83 @@ SQL["year_markers"] = f"""SELECT l."ID", {_r('l."Latitude"')} AS "Latitude", {_r
     ON l."Latitude" = p."Latitude" AND l."Longitude" = p."Longitude"
 """
 
+
+# Vincenty (1975) on WGS-84 for every (point, event) pair by brute force: a
+# recursive CTE iterates lambda per pair and freezes the pair's terms in the
+# iteration where it converges (|new - old| < 1e-12, at most 200 rounds);
+# pairs that never converge fall back to the sphere distance and are flagged.
+_F = "(1e0 / 298.257223563e0)"
+_A = "6378137e0"
+_B = f"((1e0 - {_F}) * {_A})"
+
+
+def _vincenty_nearest(points_where: str = "") -> str:
+    return f""",
+vpairs AS (
+  SELECT p.point_id, q."ID", q."Date", q."Magnitude", q."Depth",
+         {_hav('p.latitude', 'p.longitude', 'q."Latitude"', 'q."Longitude"')} AS hav_km,
+         radians(q."Longitude") - radians(p.longitude) AS big_l,
+         atan((1e0 - {_F}) * tan(radians(p.latitude))) AS u1,
+         atan((1e0 - {_F}) * tan(radians(q."Latitude"))) AS u2
+  FROM (SELECT * FROM points {points_where}) p, quakes q
+  WHERE p.latitude IS NOT NULL AND p.longitude IS NOT NULL),
+vstart AS (SELECT point_id, "ID", big_l, sin(u1) AS su1, cos(u1) AS cu1, sin(u2) AS su2, cos(u2) AS cu2 FROM vpairs),
+vit AS (
+  SELECT point_id, "ID", big_l, su1, cu1, su2, cu2, big_l AS lam, 0 AS it, false AS done,
+         0e0 AS sin_s, 0e0 AS cos_s, 0e0 AS sig, 0e0 AS cos2a, 0e0 AS cos2sm
+  FROM vstart
+  UNION ALL
+  SELECT point_id, "ID", big_l, su1, cu1, su2, cu2, nw, it + 1, abs(nw - lam) < 1e-12, s_s, c_s, sg, c2a, c2sm
+  FROM (
+    SELECT *, big_l + (1e0 - c) * {_F} * sin_a * (sg + c * s_s * (c2sm + c * c_s * (-1e0 + 2e0 * (c2sm * c2sm)))) AS nw
+    FROM (
+      SELECT *, {_F} / 16e0 * c2a * (4e0 + {_F} * (4e0 - 3e0 * c2a)) AS c
+      FROM (
+        SELECT *, CASE WHEN c2a = 0 THEN 0e0 ELSE c_s - 2e0 * su1 * su2 / c2a END AS c2sm
+        FROM (
+          SELECT *, 1e0 - sin_a * sin_a AS c2a
+          FROM (
+            SELECT *, atan2(s_s, c_s) AS sg, CASE WHEN s_s = 0 THEN 0e0 ELSE cu1 * cu2 * sl / s_s END AS sin_a
+            FROM (
+              SELECT *, sqrt((cu2 * sl) * (cu2 * sl) + (cu1 * su2 - su1 * cu2 * cl) * (cu1 * su2 - su1 * cu2 * cl)) AS s_s,
+                     su1 * su2 + cu1 * cu2 * cl AS c_s
+              FROM (SELECT point_id, "ID", big_l, su1, cu1, su2, cu2, lam, it, sin(lam) AS sl, cos(lam) AS cl
+                    FROM vit WHERE NOT done AND it < 200)))))))),
+vend AS (
+  SELECT point_id, "ID", done, sin_s, cos_s, sig, cos2sm,
+         cos2a * ({_A} * {_A} - {_B} * {_B}) / ({_B} * {_B}) AS u_sq
+  FROM vit WHERE done OR it = 200),
+vdist AS (
+  SELECT point_id, "ID",
+         CASE WHEN done THEN (CASE WHEN sin_s = 0 THEN 0e0 ELSE {_B} * big_a * (sig - d_sig) END) / 1000e0 END AS gkm
+  FROM (
+    SELECT *, big_b * sin_s * (cos2sm + big_b / 4e0 * (cos_s * (-1e0 + 2e0 * (cos2sm * cos2sm))
+              - big_b / 6e0 * cos2sm * (-3e0 + 4e0 * (sin_s * sin_s)) * (-3e0 + 4e0 * (cos2sm * cos2sm)))) AS d_sig
+    FROM (
+      SELECT *, 1e0 + u_sq / 16384e0 * (4096e0 + u_sq * (-768e0 + u_sq * (320e0 - 175e0 * u_sq))) AS big_a,
+             u_sq / 1024e0 * (256e0 + u_sq * (-128e0 + u_sq * (74e0 - 47e0 * u_sq))) AS big_b
+      FROM vend))),
+vranked AS (
+  SELECT v.point_id, v."ID", v."Date", v."Magnitude", v."Depth",
+         coalesce(d.gkm, v.hav_km) AS km, d.gkm IS NULL AS approx,
+         row_number() OVER (PARTITION BY v.point_id ORDER BY {_r('coalesce(d.gkm, v.hav_km)')}, v."ID") AS rn
+  FROM vpairs v JOIN vdist d ON v.point_id = d.point_id AND v."ID" = d."ID")
+SELECT point_id, "ID", "Date", "Magnitude", "Depth", {_r('km')} AS km, approx FROM vranked WHERE rn = 1
+"""
+
+
 # The three-aggregate plan must give the merged aggregate's rows.
 SQL["yearly_join"] = SQL["yearly_stats"]
 
 
+RECURSIVE_SQL = {
+    "nearest_batch": _vincenty_nearest(),
+    "nearest_one": _vincenty_nearest("WHERE point_id = (SELECT min(point_id) FROM points)"),
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: BASE + v for k, v in SQL.items()}
+    out = {k: BASE + v for k, v in SQL.items()}
+    rec = BASE.replace("WITH\n", "WITH RECURSIVE\n", 1).rstrip()
+    out.update({k: rec + v for k, v in RECURSIVE_SQL.items()})
+    return out
