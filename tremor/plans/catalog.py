@@ -286,7 +286,9 @@ def q_year_markers(spark, d):
 def _predict(name):
     def run(spark, d):
         train, test = train_test(spark, d)
-        return ml.predict(ml.fit(train, name), test)
+        # Predictions at 4 places: solver paths (normal equations, trees) agree
+        # far below that, so another engine's closed form can be compared.
+        return rounded(ml.predict(ml.fit(train, name), test), wide=("prediction",), wide_places=4)
 
     run.__name__ = f"q_{name}_predict"
     return run

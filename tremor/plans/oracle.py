@@ -300,6 +300,42 @@ SELECT point_id, "ID", "Date", "Magnitude", "Depth", {_r('km')} AS km, approx FR
 """
 
 
+# Ordinary least squares of Magnitude on (Latitude, Longitude, Depth): Spark's
+# LinearRegression with its defaults (no regularisation) solves the normal
+# equations, so its predictions equal the closed form below up to solver
+# rounding; predictions are compared at 4 decimals.
+_LR_TRAIN = f"""train_raw AS ({_raw_select('WHERE o_orderkey % 5 <> 0')}),
+train_typed AS ({_typed('train_raw')}),
+train AS (SELECT "Latitude" AS x1, "Longitude" AS x2, "Depth" AS x3, "Magnitude" AS y
+          FROM train_typed WHERE {_NOT_NULL}),
+mom AS (
+  SELECT avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(y) AS my,
+         var_pop(x1) AS a, covar_pop(x1, x2) AS b, covar_pop(x1, x3) AS c,
+         var_pop(x2) AS d, covar_pop(x2, x3) AS e, var_pop(x3) AS f,
+         covar_pop(x1, y) AS g1, covar_pop(x2, y) AS g2, covar_pop(x3, y) AS g3
+  FROM train),
+inv AS (
+  SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - d * c) AS det FROM mom),
+coef AS (
+  SELECT m1, m2, m3, my,
+         ((d * f - e * e) * g1 + (c * e - b * f) * g2 + (b * e - c * d) * g3) / det AS w1,
+         ((c * e - b * f) * g1 + (a * f - c * c) * g2 + (b * c - a * e) * g3) / det AS w2,
+         ((b * e - c * d) * g1 + (b * c - a * e) * g2 + (a * d - b * b) * g3) / det AS w3
+  FROM inv),
+test AS (
+  SELECT {_dbl('"Latitude"')} AS "Latitude", {_dbl('"Longitude"')} AS "Longitude",
+         {_dbl('"Depth"')} AS "Depth", {_dbl('"Magnitude"')} AS "Magnitude" FROM feed)
+"""
+
+SQL_LR = f""",
+{_LR_TRAIN}
+SELECT {_r('t."Latitude"')} AS "Latitude", {_r('t."Longitude"')} AS "Longitude", {_r('t."Depth"')} AS "Depth",
+       {_r('t."Magnitude"')} AS "Magnitude",
+       {_r('k.my + k.w1 * (t."Latitude" - k.m1) + k.w2 * (t."Longitude" - k.m2) + k.w3 * (t."Depth" - k.m3)', 4)} AS prediction
+FROM test t, coef k
+WHERE t."Latitude" IS NOT NULL AND t."Longitude" IS NOT NULL AND t."Depth" IS NOT NULL AND t."Magnitude" IS NOT NULL
+"""
+
 # The three-aggregate plan must give the merged aggregate's rows.
 SQL["yearly_join"] = SQL["yearly_stats"]
 
@@ -314,4 +350,5 @@ def oracle_sql() -> dict[str, str]:
     out = {k: BASE + v for k, v in SQL.items()}
     rec = BASE.replace("WITH\n", "WITH RECURSIVE\n", 1).rstrip()
     out.update({k: rec + v for k, v in RECURSIVE_SQL.items()})
+    out["lr_predict"] = BASE.rstrip() + SQL_LR
     return out
