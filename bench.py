@@ -1,12 +1,14 @@
 """Benchmark the headline catalogue queries.
 
-Runs each query once to warm up, then ``BENCH_REPS`` timed runs, and prints
-one JSON line with the median seconds per query and their sum.  Every run
+Runs every query ``BENCH_WARMUPS`` times to warm up, then ``BENCH_REPS``
+interleaved timed rounds, and prints one JSON line with the median seconds per
+query and their sum.  Every run
 executes the whole plan through the ``noop`` sink, so nothing is collected to
 the driver and the timing is Spark's, not Python's.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8), ``BENCH_REPS`` (default 3), ``BENCH_QUERIES`` (comma list).
+(default 8), ``BENCH_REPS`` (default 5), ``BENCH_WARMUPS`` (default 2),
+``BENCH_QUERIES`` (comma list).
 """
 
 from __future__ import annotations
@@ -52,7 +54,8 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
+    warmups = int(os.environ.get("BENCH_WARMUPS", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = build_session(
         f"local[{cpus}]",
@@ -62,17 +65,21 @@ def main() -> None:
             "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
         },
     )
-    times = {}
-    for name in names:
-        build = QUERIES[name]
-        run(build(spark, sf_dir))  # warm-up: JVM code paths, Python workers, file listing
-        samples = []
-        for _ in range(reps):
+    # Warm-up rounds over every query (JIT-compiled code paths, Python
+    # workers, file listings, the curated store), then timed rounds that
+    # interleave the queries so machine drift spreads evenly over them.
+    for _ in range(warmups):
+        for name in names:
+            run(QUERIES[name](spark, sf_dir))
+    samples = {name: [] for name in names}
+    for _ in range(reps):
+        for name in names:
             t0 = time.perf_counter()
-            run(build(spark, sf_dir))
-            samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 4)
-        print(f"# {name}: {times[name]:.3f}s", file=sys.stderr, flush=True)
+            run(QUERIES[name](spark, sf_dir))
+            samples[name].append(time.perf_counter() - t0)
+    times = {name: round(statistics.median(xs), 4) for name, xs in samples.items()}
+    for name, t in times.items():
+        print(f"# {name}: {t:.3f}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
@@ -84,6 +91,7 @@ def main() -> None:
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
                 "reps": reps,
+                "warmups": warmups,
             }
         )
     )

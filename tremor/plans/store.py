@@ -16,6 +16,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tremor import schema
 from tremor.operators import clean as C
 from tremor.session import shared_dir
 from tremor.sources import catalog as src
@@ -44,10 +45,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+# Store DataFrames already opened in this process, by (application, store key).
+# A published store never changes, so its file listing can be reused; a new
+# input version has a new key.
+_OPENED: dict[tuple[str, str], DataFrame] = {}
+
+
 def curated_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated catalogue of ``sf_dir``'s raw events, materialised once per input version."""
     source = f"{sf_dir.rstrip('/')}/orders.parquet"
     key = hashlib.sha1(f"v{LAYOUT_VERSION}|{_signature(spark, source)}".encode()).hexdigest()[:16]
+    opened = _OPENED.get((spark.sparkContext.applicationId, key))
+    if opened is not None:
+        return opened
     root = f"{shared_dir(spark)}/tremor-store/{key}"
     path = f"{root}/quakes"
     if not _exists(spark, f"{path}/{_READY}"):
@@ -61,4 +71,7 @@ def curated_store(spark: SparkSession, sf_dir: str) -> DataFrame:
             fs.delete(staged, True)  # another writer won; its copy is complete
         if not _exists(spark, f"{path}/{_READY}"):
             raise RuntimeError(f"curated store at {path} is incomplete")
-    return src.read_catalog(spark, path).select("Date", "Latitude", "Longitude", "Type", "Depth", "Magnitude", "ID", "Year")
+    # The schema is known (it is what ``clean`` writes), so no footer is read to infer it.
+    df = spark.read.schema(schema.QUAKE).parquet(path).select(*[f.name for f in schema.QUAKE.fields])
+    _OPENED[(spark.sparkContext.applicationId, key)] = df
+    return df

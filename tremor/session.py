@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Python call-site capture on every Column call makes building a plan cost
+    # about 4x more py4j time; error messages lose the Python line, nothing else.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -16,35 +16,57 @@ from pyspark.sql import functions as F
 HOLDOUT_MOD = 5
 
 
+_OPENED: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One test table.  The opened DataFrame is reused while the file's path,
+    size and modification time are unchanged (no repeated listing or footer
+    reads); a changed file is opened afresh."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    st = fs.getFileStatus(p)
+    key = (spark.sparkContext.applicationId, path, st.getLen(), st.getModificationTime(), st.isDirectory())
+    df = _OPENED.get(key)
+    if df is None:
+        df = _OPENED[key] = spark.read.parquet(path)
+    return df
+
+
+# The raw-catalogue mapping from ``orders`` (FIXTURES.md), as
+# Spark SQL.  Doubles are written ``10e0`` (``10.0`` would be a decimal).
+RAW_SQL = {
+    "ID": "concat('eq_', cast(o_orderkey as string))",
+    "Date": (
+        "case when o_orderkey % 101 = 0 then '31/31/1999' "
+        "when o_orderkey % 103 = 0 then cast(null as string) "
+        "when o_orderkey % 17 = 0 then date_format(o_orderdate, 'yyyy-MM-dd') "
+        "else date_format(o_orderdate, 'dd/MM/yyyy') end"
+    ),
+    "Latitude": (
+        "case when o_orderkey % 97 = 0 then 'n/a' "
+        "else cast((((o_custkey * 7919 + o_orderkey * 31) % 1801) - 900) / 10e0 as string) end"
+    ),
+    "Longitude": "cast((((o_custkey * 104729 + o_orderkey * 17) % 3601) - 1800) / 10e0 as string)",
+    "Depth": "cast(cast(floor(o_totalprice) as bigint) % 7000 / 10e0 as string)",
+    "Magnitude": (
+        "case when o_orderkey % 89 = 0 then cast(null as string) "
+        "else cast((11000 + cast(floor(o_totalprice) as bigint) % 7001) / 2000e0 as string) end"
+    ),
+    "Type": (
+        "case when o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM') then 'Earthquake' "
+        "else o_orderpriority end"
+    ),
+    # Two of the columns the ETL drops, so that the drop does real work.
+    "Time": "date_format(o_orderdate, 'HH:mm:ss')",
+    "Status": "o_orderstatus",
+}
 
 
 def _raw_columns(o: DataFrame) -> list:
-    k = F.col("o_orderkey")
-    price = F.floor(F.col("o_totalprice")).cast("long")
-    lat = ((F.col("o_custkey") * 7919 + k * 31) % 1801 - 900) / F.lit(10.0)
-    lon = ((F.col("o_custkey") * 104729 + k * 17) % 3601 - 1800) / F.lit(10.0)
-    return [
-        F.concat(F.lit("eq_"), k.cast("string")).alias("ID"),
-        F.when(k % 101 == 0, F.lit("31/31/1999"))
-        .when(k % 103 == 0, F.lit(None).cast("string"))
-        .when(k % 17 == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
-        .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
-        .alias("Date"),
-        F.when(k % 97 == 0, F.lit("n/a")).otherwise(lat.cast("string")).alias("Latitude"),
-        lon.cast("string").alias("Longitude"),
-        ((price % 7000) / F.lit(10.0)).cast("string").alias("Depth"),
-        F.when(k % 89 == 0, F.lit(None).cast("string"))
-        .otherwise(((F.lit(11000) + price % 7001) / F.lit(2000.0)).cast("string"))
-        .alias("Magnitude"),
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"), F.lit("Earthquake"))
-        .otherwise(F.col("o_orderpriority"))
-        .alias("Type"),
-        # Two of the columns the ETL drops, so that the drop does real work.
-        F.date_format("o_orderdate", "HH:mm:ss").alias("Time"),
-        F.col("o_orderstatus").alias("Status"),
-    ]
+    return [F.expr(sql).alias(name) for name, sql in RAW_SQL.items()]
 
 
 def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
