@@ -125,6 +125,10 @@ def nearest(
     # Both sides are counted: the counts are the proven size bounds that pick
     # the join strategy.  The point side is exploded 27-fold.
     t0 = time.time()
+    checkpoint_dir(spark)
+    # The point side may be derived (e.g. distinct positions of a year); it is
+    # written once to the shared folder and every later step reads that copy.
+    valid = _with_unit(valid, "_plat", "_plon").checkpoint(eager=True)
     n_points = valid.count()
     ev = events.select(event_key, event_lat, event_lon, *carry).where(
         F.col(event_lat).isNotNull() & F.col(event_lon).isNotNull()
@@ -152,12 +156,11 @@ def nearest(
     if n_events == 0 or n_points == 0:
         if mode == "shuffle":
             ev.unpersist()
-        empty = _missing(valid, keys, event_key, carry, metric)
+        empty = _missing(valid.drop("_x", "_y", "_z"), keys, event_key, carry, metric)
         return empty.unionByName(invalid)
 
-    remaining = _with_unit(valid, "_plat", "_plon")
+    remaining = valid
     margin = GEODESIC_MARGIN if metric == "geodesic" else 1.0
-    checkpoint_dir(spark)
 
     found = []
     s = _start_chord(n_events, start_km)
