@@ -63,6 +63,7 @@ def main() -> None:
         conf={
             "spark.sql.shuffle.partitions": str(max(cpus, 8)),
             "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+            **({"spark.buffer.pageSize": os.environ["BENCH_PAGE_SIZE"]} if os.environ.get("BENCH_PAGE_SIZE") else {}),
         },
     )
     # Warm-up rounds over every query (JIT-compiled code paths, Python
