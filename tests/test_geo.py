@@ -159,3 +159,11 @@ def test_few_points_many_events(spark):
     p, e = frames(spark, points, events)
     got = {r.point_id: r.ID for r in geo.nearest(p, e).collect()}
     assert got == brute(points, events, hav_km)
+
+
+def test_missing_rows_keep_event_types(spark):
+    p = spark.createDataFrame([(1, None, 2.0), (2, 1.0, 1.0)], "point_id long, latitude double, longitude double")
+    e = spark.createDataFrame([(7, 1.0, 1.5, "x")], "place_id long, lat double, lon double, label string")
+    out = geo.nearest(p, e, event_key="place_id", event_lat="lat", event_lon="lon", carry=("label",))
+    assert dict(out.dtypes) == {"point_id": "bigint", "place_id": "bigint", "label": "string", "km": "double"}
+    assert {r.point_id: r.place_id for r in out.collect()} == {1: None, 2: 7}

@@ -120,7 +120,10 @@ def nearest(
     carry = [c for c in carry if c not in (event_key, event_lat, event_lon)]
     pts_all = points.select(*keys, F.col(point_lat).alias("_plat"), F.col(point_lon).alias("_plon"))
     valid = pts_all.where(F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
-    invalid = _missing(pts_all.where(F.col("_plat").isNull() | F.col("_plon").isNull()), keys, event_key, carry, metric)
+    types = {f.name: f.dataType for f in events.schema.fields if f.name in (event_key, *carry)}
+    invalid = _missing(
+        pts_all.where(F.col("_plat").isNull() | F.col("_plon").isNull()), keys, event_key, carry, metric, types
+    )
 
     # Both sides are counted: the counts are the proven size bounds that pick
     # the join strategy.  The point side is exploded 27-fold.
@@ -156,7 +159,7 @@ def nearest(
     if n_events == 0 or n_points == 0:
         if mode == "shuffle":
             ev.unpersist()
-        empty = _missing(valid.drop("_x", "_y", "_z"), keys, event_key, carry, metric)
+        empty = _missing(valid.drop("_x", "_y", "_z"), keys, event_key, carry, metric, types)
         return empty.unionByName(invalid)
 
     remaining = valid
@@ -225,9 +228,11 @@ def _join_cells(near: DataFrame, ev: DataFrame, s: float, mode: str) -> DataFram
     return near.join(cells, ["_cx", "_cy", "_cz"])
 
 
-def _missing(pts: DataFrame, keys, event_key, carry, metric) -> DataFrame:
-    cols = [*keys, F.lit(None).cast("string").alias(event_key)]
-    cols += [F.lit(None).alias(c) for c in carry]
+def _missing(pts: DataFrame, keys, event_key, carry, metric, types: dict | None = None) -> DataFrame:
+    """Points without an answer: event columns null, typed like the events'."""
+    types = types or {}
+    cols = [*keys, F.lit(None).cast(types.get(event_key, "string")).alias(event_key)]
+    cols += [F.lit(None).cast(types[c]).alias(c) if c in types else F.lit(None).alias(c) for c in carry]
     cols.append(F.lit(None).cast("double").alias("km"))
     if metric == "geodesic":
         cols.append(F.lit(None).cast("boolean").alias("approx"))
