@@ -2,7 +2,8 @@
 
 Single-row results (bounds, fitted lines) are attached to rows as scalar
 subqueries: Spark computes them once as a small aggregate and inlines the
-value, so no cross join and no global window is needed.
+value, so no cross join and no window over unbounded input is needed.  The
+only key-less windows run over the output of a top-n limit (at most n rows).
 """
 
 from __future__ import annotations
