@@ -89,9 +89,13 @@ def select_best(compared: DataFrame) -> DataFrame:
     return compared.orderBy("rmse", "pos").limit(1)
 
 
-def prediction_table(model: PipelineModel, test: DataFrame, year: int = PREDICTION_YEAR) -> DataFrame:
-    """``Latitude, Longitude, Pred_Magnitude, Year, RMSE`` for the holdout rows."""
-    err = rmse(model, test)
+def prediction_table(
+    model: PipelineModel, test: DataFrame, year: int = PREDICTION_YEAR, err: float | None = None
+) -> DataFrame:
+    """``Latitude, Longitude, Pred_Magnitude, Year, RMSE`` for the holdout rows
+    (``err``: the model's RMSE on ``test`` when already known)."""
+    if err is None:
+        err = rmse(model, test)
     return model.transform(test).select(
         "Latitude",
         "Longitude",

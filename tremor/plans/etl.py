@@ -60,10 +60,9 @@ def run_etl(
     model = ml.fit(train, model_name)
     sinks.save_model(model, paths["model"])
 
-    preds = ml.prediction_table(model, test, prediction_year)
-    sinks.write_table(preds, paths["pred_results"], fmt)
-    rmse = preds.select("RMSE").first()[0] if preds.take(1) else float("nan")
-    return EtlResult(paths["quakes"], paths["quake_freq"], paths["pred_results"], paths["model"], rmse)
+    err = ml.rmse(model, test)
+    sinks.write_table(ml.prediction_table(model, test, prediction_year, err), paths["pred_results"], fmt)
+    return EtlResult(paths["quakes"], paths["quake_freq"], paths["pred_results"], paths["model"], err)
 
 
 def run_etl_csv(spark: SparkSession, catalog_csv: str, feed_csv: str, out_dir: str, **kw) -> EtlResult:
