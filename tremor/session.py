@@ -46,14 +46,27 @@ def apply_conf(spark: SparkSession) -> None:
 _LOCAL_SHARED: dict[str, str] = {}
 
 
+def jvm_context(spark: SparkSession):
+    """The SparkContext of a classic session, or None (e.g. a Spark Connect client)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def session_key(spark: SparkSession) -> str:
+    sc = jvm_context(spark)
+    return sc.applicationId if sc is not None else f"session-{id(spark)}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when it is unset and the master is local (tests) is a scratch folder
     used instead; on a cluster an unset value is an error, never a local path.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    sc = jvm_context(spark)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir")
@@ -61,6 +74,8 @@ def shared_dir(spark: SparkSession) -> str:
             configured = None
     if configured:
         return configured.rstrip("/")
+    if sc is None:
+        raise RuntimeError("spark.checkpoint.dir is not set on the server")
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: tremor checkpoints and stores derived tables there, "
@@ -74,7 +89,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint`` write under the shared folder; return the folder in use."""
-    sc = spark.sparkContext
+    sc = jvm_context(spark)
+    if sc is None:
+        # A remote client: the server's own spark.checkpoint.dir is used.
+        return shared_dir(spark)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
     return sc.getCheckpointDir()

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor.session import jvm_context
+
 # Holdout share of the catalogue, by key residue.
 HOLDOUT_MOD = 5
 
@@ -24,11 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     size and modification time are unchanged (no repeated listing or footer
     reads); a changed file is opened afresh."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    sc = jvm_context(spark)
+    if sc is None:
+        return spark.read.parquet(path)
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
     st = fs.getFileStatus(p)
-    key = (spark.sparkContext.applicationId, path, st.getLen(), st.getModificationTime(), st.isDirectory())
+    key = (sc.applicationId, path, st.getLen(), st.getModificationTime(), st.isDirectory())
     df = _OPENED.get(key)
     if df is None:
         df = _OPENED[key] = spark.read.parquet(path)
