@@ -97,3 +97,10 @@ def test_seeded_fit_repeats_across_processes(data):
     preds = ml.predict(ml.fit(train, "RandomForest"), test).orderBy("Latitude", "Longitude", "Depth", "Magnitude")
     mine = [r[0] for r in preds.select("prediction").collect()]
     assert mine == other
+
+
+def test_parallel_compare_equals_sequential(data):
+    train, test = data
+    par = [tuple(r) for r in ml.compare(train, test, parallelism=4).orderBy("pos").collect()]
+    seq = [tuple(r) for r in ml.compare(train, test, parallelism=1).orderBy("pos").collect()]
+    assert par == seq
