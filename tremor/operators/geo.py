@@ -173,7 +173,7 @@ def nearest(
         near = _neighbour_cells(remaining, s)
         cand = _join_cells(near, ev, s, mode).withColumn("_hkm", G.haversine_km("_plat", "_plon", "_elat", "_elon"))
         rank_km = _round_km(F.col("_hkm"), round_km) if round_km is not None else F.col("_hkm")
-        best = cand.groupBy(*keys, "_plat", "_plon", "_x", "_y", "_z").agg(
+        best = cand.groupBy(*keys).agg(
             F.min_by(
                 F.struct(F.col(event_key).alias("_k"), F.col("_hkm"), *[F.col(c) for c in carry]),
                 F.struct(rank_km.alias("_r"), F.col(event_key)),
@@ -185,7 +185,8 @@ def nearest(
         ok = F.lit(True) if final else G.chord_for_km(F.col("_b._hkm"), margin) <= F.lit(s)
         done = best.where(ok)
         if metric == "geodesic":
-            done = _refine_geodesic(done, ev, s, keys, event_key, carry, round_km, mode).checkpoint(eager=True)
+            located = done.join(remaining.select(*keys, "_plat", "_plon", "_x", "_y", "_z"), keys)
+            done = _refine_geodesic(located, ev, s, keys, event_key, carry, round_km, mode).checkpoint(eager=True)
         else:
             done = done.select(
                 *keys,
@@ -194,10 +195,9 @@ def nearest(
                 (_round_km(F.col("_b._hkm"), round_km) if round_km is not None else F.col("_b._hkm")).alias("km"),
             )
         found.append(done)
-        # Points with no event in their neighbourhood never reach ``best``.
-        unresolved = best.where(~ok).select(*keys, "_plat", "_plon", "_x", "_y", "_z")
-        missing = remaining.join(best.select(*keys), keys, "left_anti")
-        nxt = unresolved.unionByName(missing)
+        # Still open: points without a guaranteed answer, including those with
+        # no event in their neighbourhood at all (they never reach ``best``).
+        nxt = remaining.join(best.where(ok).select(*keys), keys, "left_anti")
         log.info("nearest: level chord %.5f done in %.2fs", s, time.time() - t_level)
         if final or nxt.isEmpty():
             break
