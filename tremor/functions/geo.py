@@ -129,3 +129,16 @@ def vincenty_np(lat1, lon1, lat2, lon2, max_iter: int = 200, tol: float = 1e-12)
 def geodesic_km(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
     """Ellipsoidal distance in km; null where Vincenty does not converge."""
     return pd.Series(vincenty_np(lat1.to_numpy(), lon1.to_numpy(), lat2.to_numpy(), lon2.to_numpy()))
+
+
+# Ship this module's Python code inside the pickled UDF (by value), so
+# executors need numpy and pandas but not this package on their path.
+def _pickle_by_value() -> None:
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_pickle_by_value()
