@@ -167,3 +167,25 @@ def test_missing_rows_keep_event_types(spark):
     out = geo.nearest(p, e, event_key="place_id", event_lat="lat", event_lon="lon", carry=("label",))
     assert dict(out.dtypes) == {"point_id": "bigint", "place_id": "bigint", "label": "string", "km": "double"}
     assert {r.point_id: r.place_id for r in out.collect()} == {1: None, 2: 7}
+
+
+def test_geodesic_udf_runs_without_package_on_executors(tmp_path):
+    """The Vincenty UDF travels by value: a driver started elsewhere, with the
+    package only on its own path, still runs geodesic search."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from tremor.session import build_session\n"
+        "from tremor.operators import geo\n"
+        "s = build_session('local[2]')\n"
+        "p = s.createDataFrame([(1, 10.0, 20.0)], 'point_id long, latitude double, longitude double')\n"
+        "e = s.createDataFrame([('a', 10.5, 20.5), ('b', -40.0, 100.0)], 'ID string, Latitude double, Longitude double')\n"
+        "print('NEAREST', geo.nearest(p, e, metric='geodesic').first().ID)\n"
+    ) % root
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=600)
+    assert "NEAREST a" in out.stdout, out.stderr[-2000:]
