@@ -3,10 +3,12 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import decontam, langid, packing, simhash
+from tremor.llm import decontam, langid, lines, packing, secretscan, simhash, suffixes, tokens, units, vectors
 
-# Name and length of the tokenizer vocabulary the packing uses.
+# The public vocabularies for packing and for counts, the shortest run of lines deleted.
 WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
+MIN_LINES = 2
 
 
 def vocabulary(name: str) -> str:
@@ -23,11 +25,29 @@ def op1_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
 
 
+def op2_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lines.dedup_lines(docs, min_lines=MIN_LINES, found="r")
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return found.select("doc_id", "r.n_lines", "r.n_deleted", "r.n_runs", "r.longest_run", kept.alias("kept_sha256"))
+
+
+def op3_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    return tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), public_tokenizers.PATTERN)
+
+
 def op4_simhash(spark, sf_dir):
     found = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op5_repeated_bytes(spark, sf_dir):
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), depth=400, with_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, out="r")
@@ -41,6 +61,27 @@ def op6_decontamination(spark, sf_dir):
     )
 
 
+def op7_secret_scan(spark, sf_dir):
+    found = secretscan.scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(secretscan.as_text(F.col("base")), 256).alias("base_sha256"),
+        secretscan.as_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_embedding_near_dedup(spark, sf_dir):
+    return vectors.embedding_components(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+def op9_substring_dedup(spark, sf_dir):
+    found = units.dedup_units(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = langid.held_out(F.col("doc_id"))
@@ -50,5 +91,42 @@ def op10_language_id(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_simhash, op6_decontamination, op10_language_id)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op2_line_dedup,
+        op3_token_counts,
+        op4_simhash,
+        op5_repeated_bytes,
+        op6_decontamination,
+        op7_secret_scan,
+        op8_embedding_near_dedup,
+        op9_substring_dedup,
+        op10_language_id,
+    )
+}
+
+# Line dedup is the one operator whose whole result SQL can state: windows of
+# MIN_LINES non-blank lines that occur at an earlier place cover what goes.
+ORACLE_SQL = {
+    "op2_line_dedup": """
+WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
+raw AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM d),
+li AS (SELECT doc_id, text, x, line, row_number() OVER (PARTITION BY doc_id, text ORDER BY line) AS seq FROM raw WHERE trim(x, ' ') <> ''),
+w AS (SELECT doc_id, text, line, seq, x, lead(x) OVER (PARTITION BY doc_id, text ORDER BY seq) AS y FROM li),
+rep AS (SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY doc_id NULLS FIRST, seq) AS nth FROM w WHERE y IS NOT NULL),
+gone AS (
+  SELECT DISTINCT w.doc_id, w.text, w.line, w.seq
+  FROM w JOIN rep r ON w.doc_id = r.doc_id AND w.text = r.text AND (w.seq = r.seq OR w.seq = r.seq + 1) WHERE r.nth > 1),
+isl AS (SELECT *, seq - row_number() OVER (PARTITION BY doc_id, text ORDER BY seq) AS run FROM gone),
+runs AS (SELECT doc_id, text, run, count(*) AS n FROM isl GROUP BY ALL),
+per AS (SELECT doc_id, text, sum(n)::BIGINT AS n_deleted, count(*) AS n_runs, max(n) AS longest_run FROM runs GROUP BY ALL),
+kept AS (
+  SELECT raw.doc_id, raw.text, string_agg(raw.x, chr(10) ORDER BY raw.line) AS t
+  FROM raw LEFT JOIN gone g ON raw.doc_id = g.doc_id AND raw.text = g.text AND raw.line = g.line WHERE g.line IS NULL GROUP BY ALL)
+SELECT o.doc_id, coalesce(len(string_split(o.text, chr(10))), 0)::BIGINT AS n_lines, coalesce(p.n_deleted, 0) AS n_deleted,
+  coalesce(p.n_runs, 0) AS n_runs, coalesce(p.longest_run, 0) AS longest_run, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM documents o LEFT JOIN per p ON o.doc_id = p.doc_id AND o.text = p.text LEFT JOIN kept k ON o.doc_id = k.doc_id AND o.text = k.text
+""",
+}
