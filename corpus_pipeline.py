@@ -10,9 +10,9 @@ None; the tests hold the stages against brute force.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import decontam, langid, packing, simhash
+from tremor.llm import decontam, langid, lines, packing, simhash
 from tremor.llm.common import fresh, stage_table
-from tremor.llm.queries import WORD_VOCABULARY, table, vocabulary
+from tremor.llm.queries import MIN_LINES, WORD_VOCABULARY, table, vocabulary
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,6 +23,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return marked.where(~F.col(f"{found}.rejected")).drop(found)
 
 
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs leave the texts; a text that loses all its words goes."""
+    found = fresh(docs, "_found")
+    marked = lines.dedup_lines(docs, min_lines=MIN_LINES, found=found)
+    changed = F.col(f"{found}.n_deleted") > 0
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        marked = marked.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
+    return marked.where(~changed | (F.trim("text") != "")).drop(found)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return simhash.keep_one_of_each(docs, shingle=4, max_bits=4)
@@ -42,6 +53,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", language),
+    ("line_dedup", repeated_lines),
     ("simhash_near_dedup", near_copies),
     ("benchmark_decontamination", benchmark_leaks),
     ("best_fit_packing", packed),
