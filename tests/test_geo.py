@@ -49,14 +49,13 @@ def test_haversine_edges_match_brute_force(spark):
     assert got[0] == "e1" and got[1] == "e1" and got[2] == "e3" and got[3] == "e4"
 
 
-@pytest.mark.parametrize("start_km", [None, 5.0, 20000.0])
-def test_random_matches_brute_force(spark, start_km):
+def test_random_matches_brute_force(spark):
     rng = random.Random(7)
     events = [(f"e{i:03d}", rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(300)]
     events += [("dup_b", 12.0, 34.0), ("dup_a", 12.0, 34.0)]
     points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(40)] + [(99, 12.0, 34.0)]
     p, e = frames(spark, points, events)
-    got = {r.point_id: r.ID for r in geo.nearest(p, e, start_km=start_km).collect()}
+    got = {r.point_id: r.ID for r in geo.nearest(p, e).collect()}
     assert got == brute(points, events, hav_km)
     assert got[99] == "dup_a"
 
@@ -70,10 +69,9 @@ def test_geodesic_matches_brute_force(spark):
     def vin(a, b, c, d):
         return float(G.vincenty_np([a], [b], [c], [d])[0])
 
-    got = {r.point_id: (r.ID, r.km, r.approx) for r in geo.nearest(p, e, metric="geodesic").collect()}
+    got = {r.point_id: (r.ID, r.km) for r in geo.nearest(p, e, metric="geodesic").collect()}
     want = brute(points, events, vin)
     assert {k: v[0] for k, v in got.items()} == want
-    assert not any(v[2] for v in got.values())
 
 
 def test_vincenty_known_distance():
@@ -96,7 +94,7 @@ def test_missing_coordinates_and_empty_catalogue(spark):
     assert {r.point_id: r.ID for r in none} == {1: None, 2: None}
 
 
-def test_hot_position_collapses_before_join(spark):
+def test_hot_position(spark):
     """A third of the catalogue at one position reduces to one candidate row."""
     hot = spark.range(3000).select(F.format_string("h%05d", "id").alias("ID"), F.lit(5.0).alias("Latitude"), F.lit(5.0).alias("Longitude"))
     rest = spark.range(6000).select(
@@ -105,9 +103,9 @@ def test_hot_position_collapses_before_join(spark):
         (F.col("id") % 359 - 179.0).alias("Longitude"),
     )
     ev = hot.unionByName(rest)
-    assert geo.dedupe_positions(ev, "ID", "Latitude", "Longitude").where("Latitude = 5.0 AND Longitude = 5.0").count() == 1
     p = spark.createDataFrame([(1, 5.01, 5.01)], "point_id long, latitude double, longitude double")
     assert geo.nearest(p, ev).first().ID == "h00000"
+    assert geo.nearest(p, ev, metric="geodesic").first().ID == "h00000"
 
 
 def test_place_label_rules(spark):
@@ -126,29 +124,119 @@ def test_place_label_rules(spark):
     assert {r.label for r in empty} == {"Unknown Location"}
 
 
-def test_clusters_sum_to_rows_inside_limit(spark):
+def test_clusters_sum_to_all_rows(spark):
     df = spark.createDataFrame(
         [(0.0, 0.0, 5.0), (89.0, 0.0, 6.0), (-10.0, 180.0, 7.0), (-10.0, -180.0, 7.5), (45.0, 90.0, 6.5)],
         "Latitude double, Longitude double, Magnitude double",
     )
     c = geo.map_clusters(df, zoom=2)
-    assert c.agg(F.sum("Count")).first()[0] == 4
-    # lon 180 clamps into the last column; lat -10 lies in row 2 of 4.
-    assert c.agg(F.max("tile_x"), F.max("tile_y")).first() == (3, 2)
+    assert c.agg(F.sum("Count")).first()[0] == 5
+    # lon 180 clamps into the last column; lat -10 lies in row 2 of 4; lat 89 in row 0.
+    assert c.agg(F.max("tile_x"), F.max("tile_y"), F.min("tile_y")).first() == (3, 2, 0)
+    south = df.selectExpr("-90.0 as Latitude", "Longitude", "Magnitude")
+    assert {r.tile_y for r in geo.map_clusters(south, zoom=2).collect()} == {3}
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 2_000_000])
-def test_both_join_strategies_agree(spark, broadcast_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_both_join_strategies_agree(spark, threshold, monkeypatch):
+    monkeypatch.setattr(geo, "PAIRS_PER_TASK", 50)
     rng = random.Random(5)
     events = [(f"e{i:03d}", rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(200)]
     events += [(f"z{i:03d}", 1.0, 1.0) for i in range(50)]
     points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(30)] + [(77, 1.001, 1.001)]
     p, e = frames(spark, points, events)
-    got = {r.point_id: r.ID for r in geo.nearest(p, e, broadcast_rows=broadcast_rows).collect()}
-    assert got == brute(points, events, hav_km)
-    assert got[77] == "z000"
-    geo_got = {r.point_id: r.ID for r in geo.nearest(p, e, metric="geodesic", broadcast_rows=broadcast_rows).collect()}
-    assert geo_got[77] == "z000"
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = {r.point_id: r.ID for r in geo.nearest(p, e).collect()}
+        assert got == brute(points, events, hav_km)
+        assert got[77] == "z000"
+        geo_got = {r.point_id: r.ID for r in geo.nearest(p, e, metric="geodesic").collect()}
+        assert geo_got[77] == "z000"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_every_point_gets_a_row_and_the_position_of_its_event(spark):
+    points = [(1, 0.0, 0.0), (1, 50.0, 50.0), (2, float("nan"), 3.0), (3, 0.0, float("inf")), (1, 0.0, 0.0)]
+    events = [("a", 1.0, 1.0), ("b", 49.0, 49.0), ("c", float("nan"), 0.0), (None, None, 0.0)]
+    p, e = frames(spark, points, events)
+    out = geo.nearest(p, e, carry=("Latitude",))
+    assert out.columns == ["point_id", "ID", "Latitude", "Longitude", "km"]
+    got = sorted((r.point_id, r.ID or "", r.Latitude, r.Longitude) for r in out.collect())
+    assert got == [(1, "a", 1.0, 1.0), (1, "a", 1.0, 1.0), (1, "b", 49.0, 49.0), (2, "", None, None), (3, "", None, None)]
+    with pytest.raises(ValueError):
+        geo.nearest(p.withColumnRenamed("point_id", "ID"), e, point_keys=("ID",))
+
+
+def test_geodesic_nearest_among_antipodal_events(spark):
+    """Vincenty does not converge for the first two; the third is nearer than both."""
+    p, e = frames(spark, [(1, 0.0, 0.0)], [("1", 0.5, 179.7), ("2", 0.3, 179.6), ("3", 1.0, 178.0)])
+    row = geo.nearest(p, e, metric="geodesic").first()
+    assert (row.ID, row.km) == ("3", pytest.approx(19780.597975, abs=1e-5))
+    p, e = frames(spark, [(1, 0.0, 0.0)], [("1", 0.0, 180.0)])
+    meridian = 20003.931458623  # half the ellipsoid's meridian
+    assert geo.nearest(p, e, metric="geodesic").first().km == pytest.approx(meridian, abs=1e-5)
+
+
+def test_waypoint_distance_equals_vincenty_where_that_converges():
+    rng = random.Random(3)
+    for _ in range(30):
+        a, b = (rng.uniform(-70, 70), 0.0), (rng.uniform(-70, 70), rng.uniform(150, 175))
+        want = float(G.vincenty_np([a[0]], [a[1]], [b[0]], [b[1]])[0])
+        if 11_000 < want < 19_500:  # on the far half of the globe, but not nearly antipodal
+            assert G.antipodal_km(*a, *b) == pytest.approx(want, abs=1e-6)
+
+
+def swarm_events(n, rng):
+    """Clustered: three dense swarms of distinct positions and a few lone events."""
+    centres = [(10.0, 10.0, 0.02), (-33.0, 151.0, 0.5), (64.0, -18.0, 2.0)]
+    out = []
+    for i in range(n):
+        lat, lon, s = centres[i % 3]
+        out.append((f"e{i:05d}", lat + rng.gauss(0, s), lon + rng.gauss(0, s)))
+    return out + [("far", -70.0, -120.0), ("pole", 90.0, 0.0)]
+
+
+def test_swarms_and_far_points(spark):
+    rng = random.Random(13)
+    events = swarm_events(6000, rng)
+    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(20)] + [(90, 10.0, 10.0), (91, -33.1, 151.2), (92, -80.0, -100.0)]
+    p, e = frames(spark, points, events)
+    assert {r.point_id: r.ID for r in geo.nearest(p, e).collect()} == brute(points, events, hav_km)
+
+
+def test_search_reads_the_events_twice_and_leaves_most_of_them(spark, tmp_path):
+    rng = random.Random(17)
+    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(10)]
+    p, e = frames(spark, points, swarm_events(20_000, rng))
+    at = str(tmp_path / "events")
+    e.repartition(4).write.parquet(at)
+    ev = spark.read.parquet(at)
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for part in rows:
+            reads.add(len(part))
+            yield part
+
+    counted = ev.mapInPandas(seen, ev.schema)
+    geo.nearest(p, counted).collect()
+    assert reads.value == 2 * ev.count()
+    pyramid = geo.build_pyramid(ev, "Latitude", "Longitude")
+    rid = p.selectExpr("point_id as _rid", "latitude as _plat", "longitude as _plon")
+    cand = geo.near_candidates(rid, pyramid, 1.0)
+    assert cand.selectExpr("sum(_events)").first()[0] < 0.2 * len(points) * ev.count()
+
+
+def test_dense_cells_are_opened(spark):
+    """A swarm of distinct positions is cut down to cells of bounded size."""
+    rng = random.Random(19)
+    events = [(f"e{i:05d}", 10 + rng.gauss(0, 0.3), 10 + rng.gauss(0, 0.3)) for i in range(20_000)]
+    _, e = frames(spark, [(1, 0.0, 0.0)], events)
+    pyramid = geo.build_pyramid(e, "Latitude", "Longitude")
+    leaves = [int(n) for cells in pyramid.values() for n, leaf in zip(cells["n"], cells["leaf"]) if leaf]
+    assert sum(leaves) == len(events) and max(leaves) <= 1024
 
 
 def test_few_points_many_events(spark):
@@ -165,7 +253,9 @@ def test_missing_rows_keep_event_types(spark):
     p = spark.createDataFrame([(1, None, 2.0), (2, 1.0, 1.0)], "point_id long, latitude double, longitude double")
     e = spark.createDataFrame([(7, 1.0, 1.5, "x")], "place_id long, lat double, lon double, label string")
     out = geo.nearest(p, e, event_key="place_id", event_lat="lat", event_lon="lon", carry=("label",))
-    assert dict(out.dtypes) == {"point_id": "bigint", "place_id": "bigint", "label": "string", "km": "double"}
+    assert dict(out.dtypes) == {
+        "point_id": "bigint", "place_id": "bigint", "label": "string", "lat": "double", "lon": "double", "km": "double"
+    }
     assert {r.point_id: r.place_id for r in out.collect()} == {1: None, 2: 7}
 
 

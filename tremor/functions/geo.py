@@ -55,17 +55,15 @@ def chord_for_km(km: Column, margin: float = 1.0) -> Column:
 
 
 def tile_xy(lat, lon, zoom: int) -> tuple[Column, Column]:
-    """Web-Mercator (slippy map) tile of a point at ``zoom``."""
+    """Web-Mercator (slippy map) tile of a point at ``zoom``; positions nearer to a
+    pole than the map reaches belong to its first or last row."""
     n = float(2**zoom)
-    p = F.radians(_col(lat))
+    limit = F.lit(MERCATOR_LAT_LIMIT)
+    p = F.radians(F.greatest(F.least(_col(lat), limit), -limit))
     x = F.floor((_col(lon) + F.lit(180.0)) / F.lit(360.0) * F.lit(n))
     y = F.floor((F.lit(1.0) - F.ln(F.tan(p) + F.lit(1.0) / F.cos(p)) / F.lit(math.pi)) / F.lit(2.0) * F.lit(n))
     top = F.lit(int(n) - 1)
-    return F.least(x.cast("long"), top), F.least(y.cast("long"), top)
-
-
-def in_tile_range(lat) -> Column:
-    return F.abs(_col(lat)) <= F.lit(MERCATOR_LAT_LIMIT)
+    return F.least(x.cast("long"), top), F.greatest(F.least(y.cast("long"), top), F.lit(0))
 
 
 def place_label(city, town, village, country) -> Column:
@@ -125,10 +123,50 @@ def vincenty_np(lat1, lon1, lat2, lon2, max_iter: int = 200, tol: float = 1e-12)
     return np.where(done, metres / 1000.0, np.nan)
 
 
+def _waypoint(lat, lon, azimuth) -> tuple[np.ndarray, np.ndarray]:
+    """The position a quarter of the sphere away in the direction ``azimuth`` (radians), in degrees."""
+    p, a = np.radians(lat), azimuth
+    return np.degrees(np.arcsin(np.cos(p) * np.cos(a))), np.degrees(np.radians(lon) + np.arctan2(np.sin(a), -np.sin(p) * np.cos(a)))
+
+
+def antipodal_km(lat1: float, lon1: float, lat2: float, lon2: float, grid: int = 144, rounds: int = 60) -> float:
+    """Ellipsoidal distance of two nearly antipodal points.
+
+    Any path between them crosses the circle of points a quarter of the sphere
+    from the first, so the distance is the least sum, over that circle, of the
+    two distances to a waypoint; there Vincenty always converges.  A grid of
+    directions, then a golden-section search around its local minima.
+    """
+    def through(azimuth):
+        lat, lon = _waypoint(lat1, lon1, azimuth)
+        n = np.ones_like(azimuth)
+        return vincenty_np(lat1 * n, lon1 * n, lat, lon) + vincenty_np(lat, lon, lat2 * n, lon2 * n)
+
+    step = 2 * math.pi / grid
+    at = np.arange(grid) * step
+    total = through(at)
+    low = (total <= np.roll(total, 1)) & (total <= np.roll(total, -1))
+    a, b, g = at[low] - step, at[low] + step, (math.sqrt(5) - 1) / 2
+    for _ in range(rounds):
+        c, d = b - g * (b - a), a + g * (b - a)
+        left = through(c) <= through(d)
+        a, b = np.where(left, a, c), np.where(left, d, b)
+    return float(through((a + b) / 2).min())
+
+
+def geodesic_np(lat1, lon1, lat2, lon2) -> np.ndarray:
+    """Ellipsoidal distance in km: Vincenty, and ``antipodal_km`` where it does not converge."""
+    args = [np.asarray(v, dtype="float64") for v in (lat1, lon1, lat2, lon2)]
+    km = vincenty_np(*args)
+    for i in np.flatnonzero(np.isnan(km) & np.isfinite(sum(args))):
+        km[i] = antipodal_km(*(float(v[i]) for v in args))
+    return km
+
+
 @F.pandas_udf(DoubleType())
 def geodesic_km(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
-    """Ellipsoidal distance in km; null where Vincenty does not converge."""
-    return pd.Series(vincenty_np(lat1.to_numpy(), lon1.to_numpy(), lat2.to_numpy(), lon2.to_numpy()))
+    """Ellipsoidal distance in km."""
+    return pd.Series(geodesic_np(lat1.to_numpy(), lon1.to_numpy(), lat2.to_numpy(), lon2.to_numpy()))
 
 
 # Ship this module's Python code inside the pickled UDF (by value), so

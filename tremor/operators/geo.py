@@ -1,48 +1,54 @@
 """Spatial operators: nearest event, nearest place, map-tile clusters.
 
-Nearest search never pairs every point with every event.  Positions become
-unit-sphere vectors (no seam at +-180 degrees or at the poles) and fall into
-cubic cells of side ``s``; each query point is looked up in its 3x3x3 cell
-neighbourhood through an equi-join on the cell key.  If the best candidate's
-chord is at most ``s``, every closer event would have to lie in that
-neighbourhood, so the answer is exact.  Points without such a guarantee go to
-the next level with cells four times larger; at chord 2 (the sphere's
-diameter) the neighbourhood is the whole sphere, so the loop always ends.
-
-The point side is counted first; that count is the proven size bound for
-the join strategy.  Below ``broadcast_rows`` exploded rows the points are
-broadcast and the catalogue streams through the join without any shuffle,
-each task keeping only a per-point partial best.  Above it, events at
-identical positions are first reduced to the smallest ID with map-side
-partial aggregation (a pile of copies at one position costs one row), and
-the cell join shuffles both sides, with AQE splitting skewed cells.  Each
-level's per-point result is checkpointed to the shared folder
-(``spark.checkpoint.dir``), which bounds lineage and survives executor loss.
+Nearest search reads the events twice.  Positions become unit-sphere vectors
+(no seam at +-180 degrees or at the poles) and fall into cubic cells.
+
+1. One aggregate over the events: occupied cells of the finest grid, each with
+   its count and the position of one of its events.  Its result is a scratch
+   table; coarser grids are rolled up from it.  A cell with more than
+   ``max(1024, events / 1000)`` events is opened into the cells of the next
+   grid, so dense regions are cut finely and the pyramid has at most a few
+   hundred thousand cells whatever the input (``MAX_PYRAMID``, checked).
+2. Each point descends the pyramid (branch and bound): the nearest of the
+   cells' positions is an upper bound, the distance to a cell's cube a lower
+   one, and the leaves within the bound are the point's candidates.
+3. One equi-join of the candidates with the events' cells, and one aggregate
+   per point.  The planner broadcasts the candidates if their true size is
+   below its threshold and shuffles both sides otherwise, into a number of
+   partitions that follows the estimated work; it splits skewed cells.
+
+No step pairs a point with all events unless they all lie within its bound.
 """
 
 from __future__ import annotations
 
-import itertools
-import logging
 import math
-import time
+import sys
+from collections.abc import Iterator
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tremor.functions import display
 from tremor.functions import geo as G
 from tremor.functions.agg import mean
-from tremor.session import checkpoint_dir
-
-# Ellipsoid / sphere distance ratio bound with a safety margin,
-# cell growth per level, and the Earth's surface area in km^2.
-GEODESIC_MARGIN = 1.02
-GROWTH = 4.0
-EARTH_AREA_KM2 = 4 * math.pi * G.EARTH_RADIUS_KM**2
-
-_OFFSETS = list(itertools.product((-1, 0, 1), repeat=3))
-log = logging.getLogger(__name__)
+from tremor.scratch import drop_scratch, scratch_table
+
+# The ratio of a path's length on the ellipsoid and on the sphere lies between
+# b^2 / (a R) = 0.99442 and a^2 / (b R) = 1.00449, so the nearest event on the
+# ellipsoid is at most their quotient farther on the sphere than the nearest there.
+GEODESIC_MARGIN = 1.0102
+# Grids: 2^level cells along each axis of the cube [-1, 1]^3.  The finest has
+# cells of 0.8 km.
+LEVELS = (4, 7, 10, 13)
+MAX_PYRAMID = 400_000
+# Chords are compared with this slack, far above their rounding errors and
+# above the rounding of distances that ties are decided on.
+SLACK = 1e-9
+PAIRS_PER_TASK = 2_000_000
 
 
 def _round_km(km, places: int):
@@ -52,41 +58,121 @@ def _round_km(km, places: int):
     return F.round(km * F.lit(scale), 0) / F.lit(scale)
 
 
-def _with_unit(df: DataFrame, lat: str, lon: str, prefix: str = "_") -> DataFrame:
-    x, y, z = G.unit_xyz(lat, lon)
-    return df.withColumns({f"{prefix}x": x, f"{prefix}y": y, f"{prefix}z": z})
-
-
-def _cells(df: DataFrame, s: float) -> DataFrame:
-    """Event side: the one cell holding each event (unit vector in ``_ex, _ey, _ez``)."""
-    return df.withColumns({f"_c{a}": F.floor(F.col(f"_e{a}") / F.lit(s)).cast("long") for a in "xyz"})
+def _known(lat: str, lon: str) -> Column:
+    """Both coordinates are there: neither null nor NaN nor infinite."""
+    at = F.abs(F.col(lat)) + F.abs(F.col(lon))
+    return at.isNotNull() & ~F.isnan(at) & (at < F.lit(float("inf")))
 
 
-def _neighbour_cells(df: DataFrame, s: float) -> DataFrame:
-    offs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a, b, c in _OFFSETS])
-    base = {f"_c{a}": F.floor(F.col(f"_{a}") / F.lit(s)).cast("long") for a in "xyz"}
-    d = df.withColumns(base).withColumn("_o", F.explode(offs))
-    return d.withColumns(
-        {"_cx": F.col("_cx") + F.col("_o.a"), "_cy": F.col("_cy") + F.col("_o.b"), "_cz": F.col("_cz") + F.col("_o.c")}
-    ).drop("_o")
+def _cell(level: int) -> Column:
+    """The cell of a unit vector ``_x, _y, _z``: its three places as one number."""
+    n = 1 << level
+    i = [F.least(F.floor((F.col(f"_{a}") + 1.0) * (n / 2)).cast("long"), F.lit(n - 1)) for a in "xyz"]
+    return F.shiftleft(i[0], 2 * level) + F.shiftleft(i[1], level) + i[2]
 
 
-def _start_chord(n_events: int, start_km: float | None) -> float:
-    if start_km is None:
-        # Twice the mean spacing of events spread evenly over the sphere.
-        start_km = 2.0 * math.sqrt(EARTH_AREA_KM2 / max(n_events, 1))
-    return 2.0 * math.sin(min(start_km / G.EARTH_RADIUS_KM, math.pi) / 2)
+def _parent(cell: Column, level: int, up: int) -> Column:
+    mask = (1 << level) - 1
+    i = [F.shiftright(cell, 2 * level), F.shiftright(cell, level).bitwiseAND(F.lit(mask)), cell.bitwiseAND(F.lit(mask))]
+    i = [F.shiftright(x, level - up) for x in i]
+    return F.shiftleft(i[0], 2 * up) + F.shiftleft(i[1], up) + i[2]
 
 
-def dedupe_positions(events: DataFrame, key: str, lat: str, lon: str, carry=()) -> DataFrame:
-    """One row per distinct position: the smallest key and its carried columns."""
-    row = F.struct(F.col(key).alias("k"), *[F.col(c).alias(c) for c in carry])
-    d = (
-        events.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-        .groupBy(lat, lon)
-        .agg(F.min_by(row, F.col(key)).alias("_r"))
-    )
-    return d.select(F.col("_r.k").alias(key), lat, lon, *[F.col(f"_r.{c}").alias(c) for c in carry])
+def _with_unit(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    x, y, z = G.unit_xyz(lat, lon)
+    return df.withColumns({"_x": x, "_y": y, "_z": z})
+
+
+def build_pyramid(events: DataFrame, lat: str, lon: str, most: int = 1024) -> dict[int, pd.DataFrame]:
+    """Cells by level: key, parent, leaf, n, and an event's unit vector.  Empty if there are no events."""
+    finest = LEVELS[-1]
+    ev = _with_unit(events.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")), "_lat", "_lon")
+    one = [F.first(c).alias(c) for c in ("_x", "_y", "_z")]  # all of the same event
+    tables = {finest: scratch_table(ev.groupBy(_cell(finest).alias("cell")).agg(F.count(F.lit(1)).alias("n"), *one), "cells")}
+    for fine, level in zip(LEVELS[::-1], LEVELS[-2::-1]):
+        up = tables[fine].groupBy(_parent(F.col("cell"), fine, level).alias("cell")).agg(F.sum("n").alias("n"), *one)
+        tables[level] = scratch_table(up, "cells")
+    spark, opened, pyramid = events.sparkSession, None, {}
+    limit = None
+    for above, level in zip((None, *LEVELS), LEVELS):
+        cells = tables[level]
+        if above is not None:
+            cells = cells.withColumn("parent", _parent(F.col("cell"), level, above))
+            cells = cells.join(spark.createDataFrame([(k,) for k in opened], "parent long"), "parent")
+        found = cells.limit(MAX_PYRAMID + 1).toPandas()
+        if len(found) + sum(map(len, pyramid.values())) > MAX_PYRAMID:
+            raise RuntimeError(f"more than {MAX_PYRAMID} cells in the pyramid")
+        if limit is None:
+            limit = max(most, int(found["n"].sum()) // 1000)
+            found["parent"] = -1
+        found["leaf"] = (found["n"] <= limit) | (level == finest)
+        pyramid[level] = found
+        opened = [int(k) for k in found.loc[~found["leaf"], "cell"]]
+        if not opened:
+            break
+    drop_scratch(*tables.values())
+    return {level: cells for level, cells in pyramid.items() if len(cells)}
+
+
+def _boxes(cells: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    mask = (1 << level) - 1
+    i = np.stack([cells >> (2 * level), (cells >> level) & mask, cells & mask], axis=1)
+    side = 2.0 / (1 << level)
+    return i * side - 1.0, (i + 1) * side - 1.0
+
+
+class Descent:
+    """Branch and bound over a pyramid: the leaves that can hold a point's nearest event."""
+
+    def __init__(self, pyramid: dict[int, pd.DataFrame], margin: float):
+        self.margin, self.grids, self.children = margin, {}, {}
+        for level, cells in pyramid.items():
+            key = cells["cell"].to_numpy(np.int64)
+            low, high = _boxes(key, level)
+            self.grids[level] = (key, low, high, cells[["_x", "_y", "_z"]].to_numpy(float), cells["leaf"].to_numpy(bool), cells["n"].to_numpy(np.int64))
+            order = np.argsort(cells["parent"].to_numpy(), kind="stable")
+            parent, first = np.unique(cells["parent"].to_numpy()[order], return_index=True)
+            self.children[level] = dict(zip(parent.tolist(), np.split(order, first[1:]), strict=True))
+
+    def reach(self, chord: float) -> float:
+        """The chord within which the nearest event must lie, given an event at ``chord``."""
+        angle = 2 * math.asin(min(1.0, chord / 2)) * self.margin
+        return 2 * math.sin(min(angle, math.pi) / 2) + SLACK
+
+    def leaves(self, p: np.ndarray) -> tuple[list[tuple[int, int, int]], float]:
+        """``(level, cell, events)`` of the candidates and the final reach."""
+        best, found, todo = 4.0, [], [-1]
+        for level, (key, low, high, at, leaf, n) in self.grids.items():
+            rows = np.concatenate([self.children[level].get(k, np.zeros(0, np.int64)) for k in todo]).astype(np.int64)
+            gap = np.maximum(np.maximum(low[rows] - p, p - high[rows]), 0.0)
+            near = np.sqrt((gap * gap).sum(axis=1))
+            best = min(best, float(np.sqrt(((at[rows] - p) ** 2).sum(axis=1)).min(initial=4.0)))
+            reach = self.reach(best)
+            rows, near = rows[near <= reach], near[near <= reach]
+            end = leaf[rows]
+            found += [(level, int(key[r]), int(n[r]), d) for r, d in zip(rows[end], near[end], strict=True)]
+            todo = key[rows[~end]].tolist()
+            if not todo:
+                break
+        reach = self.reach(best)
+        return [(level, cell, n) for level, cell, n, d in found if d <= reach], reach
+
+
+def _candidates(points: DataFrame, pyramid: dict[int, pd.DataFrame], margin: float) -> DataFrame:
+    """``(_rid, _plat, _plon, _reach, _level, _cell, _events)`` for every candidate leaf of every point."""
+    shared = points.sparkSession.sparkContext.broadcast(pyramid)  # at most MAX_PYRAMID cells
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        descent = Descent(shared.value, margin)
+        for part in parts:
+            rows = []
+            for rid, lat, lon, x, y, z in part.itertuples(index=False):
+                leaves, reach = descent.leaves(np.array([x, y, z]))
+                rows += [(rid, lat, lon, reach, *leaf) for leaf in leaves]
+            yield pd.DataFrame(rows, columns=["_rid", "_plat", "_plon", "_reach", "_level", "_cell", "_events"])
+
+    placed = _with_unit(points.select("_rid", "_plat", "_plon"), "_plat", "_plon")
+    return placed.mapInPandas(run, "_rid long, _plat double, _plon double, _reach double, _level int, _cell long, _events long")
 
 
 def nearest(
@@ -101,170 +187,84 @@ def nearest(
     event_lon: str = "Longitude",
     carry=(),
     metric: str = "haversine",
-    start_km: float | None = None,
     round_km: int | None = 6,
-    broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
-    """Nearest event to every point: ``point_keys..., event_key, carry..., km``.
-
-    ``metric="haversine"`` ranks on the mean sphere; ``"geodesic"`` ranks on the
-    WGS-84 ellipsoid (Vincenty), refining every event within 1.02x the best
-    sphere distance, and reports ``approx`` = true where Vincenty did not
-    converge and the sphere distance stands in.  Ties go to the smallest event
-    key; distances are compared after rounding to ``round_km`` places so that
-    ties do not hinge on the last bit.  Points with a missing coordinate are
-    returned with null event columns.
+    """Nearest event to every point: ``point_keys..., event_key, carry..., event_lat, event_lon, km``.
+
+    One row per row of ``points``, whether or not its keys are unique.
+    ``metric="haversine"`` ranks on the mean sphere, ``"geodesic"`` on the
+    WGS-84 ellipsoid.  Ties go to the smallest event key, then position;
+    distances are compared after rounding to ``round_km`` places so that ties
+    do not hinge on the last bit.  A coordinate that is null, NaN or infinite
+    is missing: such events are left out, such points have null event columns,
+    as all points have if there is no event.
     """
-    spark = points.sparkSession
+    if metric not in ("haversine", "geodesic"):
+        raise ValueError(f"unknown metric {metric!r}")
     keys = list(point_keys)
-    carry = [c for c in carry if c not in (event_key, event_lat, event_lon)]
-    pts_all = points.select(*keys, F.col(point_lat).alias("_plat"), F.col(point_lon).alias("_plon"))
-    valid = pts_all.where(F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
-    types = {f.name: f.dataType for f in events.schema.fields if f.name in (event_key, *carry)}
-    invalid = _missing(
-        pts_all.where(F.col("_plat").isNull() | F.col("_plon").isNull()), keys, event_key, carry, metric, types
-    )
-
-    # Both sides are counted: the counts are the proven size bounds that pick
-    # the join strategy.  The point side is exploded 27-fold.
-    t0 = time.time()
-    checkpoint_dir(spark)
-    # The point side may be derived (e.g. distinct positions of a year); it is
-    # written once to the shared folder and every later step reads that copy.
-    valid = _with_unit(valid, "_plat", "_plon").checkpoint(eager=True)
-    n_points = valid.count()
-    ev = events.select(event_key, event_lat, event_lon, *carry).where(
-        F.col(event_lat).isNotNull() & F.col(event_lon).isNotNull()
-    )
-    n_raw_events = ev.count()
-    log.info("nearest: %d points, %d events counted in %.2fs", n_points, n_raw_events, time.time() - t0)
-    exploded = n_points * len(_OFFSETS)
-    if exploded <= broadcast_rows and exploded <= n_raw_events:
-        mode = "broadcast_points"  # events stream through, no shuffle of the catalogue
-    elif n_raw_events <= broadcast_rows:
-        mode = "broadcast_events"  # exploded points stream through
-    else:
-        mode = "shuffle"
-    if mode == "shuffle":
-        # Collapse identical positions first (map-side), so a pile of copies
-        # at one spot is one row in the shuffle.
-        ev = dedupe_positions(ev, event_key, event_lat, event_lon, carry)
-    ev = _with_unit(ev, event_lat, event_lon, "_e").withColumnsRenamed({event_lat: "_elat", event_lon: "_elon"})
-    if mode == "shuffle":
-        ev = ev.persist(StorageLevel.MEMORY_AND_DISK)
-        n_events = ev.count()
-    else:
-        n_events = n_raw_events
-    log.info("nearest: join mode %s", mode)
-    if n_events == 0 or n_points == 0:
-        if mode == "shuffle":
-            ev.unpersist()
-        empty = _missing(valid.drop("_x", "_y", "_z"), keys, event_key, carry, metric, types)
-        return empty.unionByName(invalid)
-
-    remaining = valid
-    margin = GEODESIC_MARGIN if metric == "geodesic" else 1.0
-
-    found = []
-    s = _start_chord(n_events, start_km)
-    while True:
-        t_level = time.time()
-        final = s >= 2.0
-        near = _neighbour_cells(remaining, s)
-        cand = _join_cells(near, ev, s, mode).withColumn("_hkm", G.haversine_km("_plat", "_plon", "_elat", "_elon"))
-        rank_km = _round_km(F.col("_hkm"), round_km) if round_km is not None else F.col("_hkm")
-        best = cand.groupBy(*keys).agg(
-            F.min_by(
-                F.struct(F.col(event_key).alias("_k"), F.col("_hkm"), *[F.col(c) for c in carry]),
-                F.struct(rank_km.alias("_r"), F.col(event_key)),
-            ).alias("_b")
-        )
-        t0 = time.time()
-        best = best.checkpoint(eager=True)
-        log.info("nearest: best checkpointed in %.2fs", time.time() - t0)
-        ok = F.lit(True) if final else G.chord_for_km(F.col("_b._hkm"), margin) <= F.lit(s)
-        done = best.where(ok)
-        if metric == "geodesic":
-            located = done.join(remaining.select(*keys, "_plat", "_plon", "_x", "_y", "_z"), keys)
-            done = _refine_geodesic(located, ev, s, keys, event_key, carry, round_km, mode).checkpoint(eager=True)
-        else:
-            done = done.select(
-                *keys,
-                F.col("_b._k").alias(event_key),
-                *[F.col(f"_b.{c}").alias(c) for c in carry],
-                (_round_km(F.col("_b._hkm"), round_km) if round_km is not None else F.col("_b._hkm")).alias("km"),
-            )
-        found.append(done)
-        # Still open: points without a guaranteed answer, including those with
-        # no event in their neighbourhood at all (they never reach ``best``).
-        nxt = remaining.join(best.where(ok).select(*keys), keys, "left_anti")
-        log.info("nearest: level chord %.5f done in %.2fs", s, time.time() - t_level)
-        if final or nxt.isEmpty():
-            break
-        remaining = nxt.checkpoint(eager=True)
-        s = min(s * GROWTH, 2.0)
-
-    if mode == "shuffle":
-        ev.unpersist()
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.unionByName(invalid)
-
-
-def _join_cells(near: DataFrame, ev: DataFrame, s: float, mode: str) -> DataFrame:
-    """Equi-join exploded points to events on the cell key.
-
-    The broadcast modes were chosen from counted sizes, so the broadcast side
-    is bounded; the other side streams through without a shuffle.  In
-    ``shuffle`` mode the planner (with AQE's runtime sizes and skew-join
-    splitting) decides.
-    """
-    cells = _cells(ev, s)
-    if mode == "broadcast_points":
-        return F.broadcast(near).join(cells, ["_cx", "_cy", "_cz"])
-    if mode == "broadcast_events":
-        return near.join(F.broadcast(cells), ["_cx", "_cy", "_cz"])
-    return near.join(cells, ["_cx", "_cy", "_cz"])
-
-
-def _missing(pts: DataFrame, keys, event_key, carry, metric, types: dict | None = None) -> DataFrame:
-    """Points without an answer: event columns null, typed like the events'."""
-    types = types or {}
-    cols = [*keys, F.lit(None).cast(types.get(event_key, "string")).alias(event_key)]
-    cols += [F.lit(None).cast(types[c]).alias(c) if c in types else F.lit(None).alias(c) for c in carry]
-    cols.append(F.lit(None).cast("double").alias("km"))
+    columns = list(dict.fromkeys([event_key, *carry, event_lat, event_lon]))
+    clash = [c for c in keys if c in (*columns, "km")]
+    if clash:
+        raise ValueError(f"point keys named like event columns: {clash}")
+    pts = points.select(*keys, F.col(point_lat).alias("_plat"), F.col(point_lon).alias("_plon"))
+    pts = scratch_table(pts.withColumn("_rid", F.monotonically_increasing_id()), "points")
+    ev = events.select(*columns).where(_known(event_lat, event_lon))
+    kinds = {f.name: f.dataType for f in ev.schema.fields}
+    pyramid = build_pyramid(ev, event_lat, event_lon)
+    placed = pts.where(_known("_plat", "_plon"))
+    if not pyramid:
+        nothing = [F.lit(None).cast(kinds[c]).alias(c) for c in columns]
+        return pts.select(*keys, *nothing, F.lit(None).cast("double").alias("km"))
+
+    best = _best(placed, ev, pyramid, columns, event_key, event_lat, event_lon, metric, round_km)
+    return pts.join(best, "_rid", "left").select(*keys, *columns, "km")
+
+
+def _best(placed, ev, pyramid, columns, event_key, event_lat, event_lon, metric, round_km) -> DataFrame:
+    cand = near_candidates(placed, pyramid, GEODESIC_MARGIN if metric == "geodesic" else 1.0)
+    pairs = candidate_pairs(cand, ev, sorted(pyramid), columns, event_lat, event_lon)
+    km = F.col("_hkm")
     if metric == "geodesic":
-        cols.append(F.lit(None).cast("boolean").alias("approx"))
-    return pts.select(*cols)
-
-
-def _refine_geodesic(done: DataFrame, ev: DataFrame, s: float, keys, event_key, carry, round_km, mode) -> DataFrame:
-    """Vincenty distance for every event within the sphere-distance margin of the best."""
-    bound = done.select(*keys, "_plat", "_plon", "_x", "_y", "_z", (F.col("_b._hkm") * GEODESIC_MARGIN).alias("_lim"))
-    near = _neighbour_cells(bound, s)
-    cand = _join_cells(near, ev, s, mode)
-    cand = cand.withColumn("_hkm", G.haversine_km("_plat", "_plon", "_elat", "_elon")).where(
-        F.col("_hkm") <= F.col("_lim") + F.lit(1e-9)
-    )
-    gkm = G.geodesic_km("_plat", "_plon", "_elat", "_elon")
-    cand = cand.withColumn("_gkm", gkm).withColumn("_approx", F.isnan("_gkm"))
-    dist = F.when(F.col("_approx"), F.col("_hkm")).otherwise(F.col("_gkm"))
-    cand = cand.withColumn("_km", dist)
-    rank_km = _round_km(F.col("_km"), round_km) if round_km is not None else F.col("_km")
-    best = cand.groupBy(*keys).agg(
-        F.min_by(
-            F.struct(F.col(event_key).alias("_k"), F.col("_km"), F.col("_approx"), *[F.col(c) for c in carry]),
-            F.struct(rank_km.alias("_r"), F.col(event_key)),
-        ).alias("_b")
-    )
-    return best.select(
-        *keys,
-        F.col("_b._k").alias(event_key),
-        *[F.col(f"_b.{c}").alias(c) for c in carry],
-        (_round_km(F.col("_b._km"), round_km) if round_km is not None else F.col("_b._km")).alias("km"),
-        F.col("_b._approx").alias("approx"),
-    )
+        # Of events at one position only the first can be the answer.
+        at = ["_rid", event_lat, event_lon]
+        first = F.min_by(F.struct("_plat", "_plon", "_hkm", *[c for c in columns if c not in at]), event_key).alias("_f")
+        pairs = scratch_table(pairs.groupBy(*at).agg(first).select(*at, "_f.*"), "pairs")
+        limit = pairs.groupBy("_rid").agg((F.min("_hkm") * GEODESIC_MARGIN + 1e-6).alias("_lim"))
+        pairs = pairs.join(limit, "_rid").where("_hkm <= _lim")
+        km = G.geodesic_km("_plat", "_plon", event_lat, event_lon)
+    pairs = pairs.withColumn("km", km)
+    if round_km is not None:
+        pairs = pairs.withColumn("km", _round_km(F.col("km"), round_km))
+    order = F.struct("km", event_key, event_lat, event_lon)
+    row = F.struct(*columns, "km")
+    return pairs.groupBy("_rid").agg(F.min_by(row, order).alias("_b")).select("_rid", "_b.*")
+
+
+def near_candidates(placed: DataFrame, pyramid: dict[int, pd.DataFrame], margin: float) -> DataFrame:
+    """Candidate leaves as a scratch table, dealt by leaf to tasks of about ``PAIRS_PER_TASK`` pairs."""
+    n = placed.count()
+    spread = placed.repartition(max(1, -(-n // 2000)), "_rid")
+    cand = scratch_table(_candidates(spread, pyramid, margin), "candidates")
+    pairs = cand.agg(F.sum("_events")).first()[0] or 0
+    tasks = -(-pairs // PAIRS_PER_TASK)
+    return cand.repartition(tasks, "_level", "_cell") if tasks > 1 and not _small(cand) else cand
+
+
+def _small(table: DataFrame) -> bool:
+    """Below the size up to which the planner broadcasts a table."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= limit
+
+
+def candidate_pairs(cand: DataFrame, ev: DataFrame, levels, columns, event_lat: str, event_lon: str) -> DataFrame:
+    """Events in the candidate leaves, within each point's reach, with the sphere distance ``_hkm``."""
+    cells = F.explode(F.array(*[F.struct(F.lit(v).alias("_level"), _cell(v).alias("_cell")) for v in levels]))
+    placed = _with_unit(ev, event_lat, event_lon).select(*columns, cells.alias("_c")).select(*columns, "_c._level", "_c._cell")
+    pairs = placed.join(cand, ["_level", "_cell"])
+    pairs = pairs.withColumn("_hkm", G.haversine_km("_plat", "_plon", event_lat, event_lon))
+    within = 2 * F.sin(F.col("_hkm") / (2 * G.EARTH_RADIUS_KM)) <= F.col("_reach")
+    return pairs.where(within).select("_rid", "_plat", "_plon", *columns, "_hkm")
 
 
 def nearest_one(point: DataFrame, events: DataFrame, **kw) -> DataFrame:
@@ -278,7 +278,7 @@ def place_labels(coords: DataFrame, places: DataFrame, lat: str = "Latitude", lo
     ``"City, Country"`` from the first present of city/town/village, else the
     country; ``"Unknown Location"`` when the gazetteer offers no entry.
     """
-    distinct = coords.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(lat, lon).distinct()
+    distinct = coords.where(_known(lat, lon)).select(lat, lon).distinct()
     gaz = places.select(
         "place_id",
         F.col("latitude").alias("_glat"),
@@ -304,10 +304,11 @@ def place_labels(coords: DataFrame, places: DataFrame, lat: str = "Latitude", lo
 def map_clusters(df: DataFrame, zoom: int = 2, exact_scale: int | None = None) -> DataFrame:
     """Marker clusters as map tiles at ``zoom``: count, centroid and strongest magnitude.
 
-    Rows beyond the Web-Mercator latitude limit have no tile and are left out.
+    Rows beyond the Web-Mercator latitude limit belong to the tile row at that
+    pole, so the counts add up to all rows with a position.
     """
     tx, ty = G.tile_xy("Latitude", "Longitude", zoom)
-    inside = df.where(G.in_tile_range("Latitude") & F.col("Longitude").isNotNull())
+    inside = df.where(_known("Latitude", "Longitude"))
     return inside.groupBy(tx.alias("tile_x"), ty.alias("tile_y")).agg(
         F.count(F.lit(1)).alias("Count"),
         mean("Latitude", exact_scale).alias("center_latitude"),
@@ -316,17 +317,23 @@ def map_clusters(df: DataFrame, zoom: int = 2, exact_scale: int | None = None) -
     ).withColumn("zoom", F.lit(zoom))
 
 
+def with_place(rows: DataFrame, places: DataFrame, lat: str = "Latitude", lon: str = "Longitude") -> DataFrame:
+    """``rows`` with the ``label`` of the nearest place.
+
+    Labels are looked up once per distinct position and joined back on it; the
+    join is an outer one on the rows' side, so that a position with very many
+    rows can be split over tasks.
+    """
+    labels = place_labels(rows, places, lat, lon).select(lat, lon, "label")
+    joined = rows.join(labels, [lat, lon], "left")
+    return joined.withColumn("label", F.coalesce("label", F.lit("Unknown Location"))).select(*rows.columns, "label")
+
+
 def year_markers(year_rows: DataFrame, places: DataFrame) -> DataFrame:
     """Map-page markers of one year's events: radius ``min(Magnitude * 2, 10)``,
     orange, and a popup with the magnitude and the nearest place's label.
-
-    Labels are looked up once per distinct position and joined back on it.
     """
-    from tremor.functions import display
-
-    labels = place_labels(year_rows, places).select("Latitude", "Longitude", "label")
-    rows = year_rows.where(F.col("Latitude").isNotNull() & F.col("Longitude").isNotNull())
-    return rows.join(labels, ["Latitude", "Longitude"], "left").select(
+    return with_place(year_rows.where(_known("Latitude", "Longitude")), places).select(
         "ID",
         "Latitude",
         "Longitude",
@@ -335,6 +342,10 @@ def year_markers(year_rows: DataFrame, places: DataFrame) -> DataFrame:
         F.lit("orange").alias("colour"),
         F.concat(
             F.lit("Magnitude: "), F.col("Magnitude").cast("string"), F.lit(" | Location: "),
-            F.coalesce("label", F.lit("Unknown Location")),
+            F.col("label"),
         ).alias("popup"),
     )
+
+
+# The descent runs in tasks: its code travels by value, as ``functions.geo`` does.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
