@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -60,7 +61,7 @@ def test_batch_job_end_to_end(spark, tmp_dir):
     norm = lambda df: sorted((r[0], r[1], round(r[2], 9), r[3]) for r in df.select(*cols).collect())
     assert norm(freq) == norm(stats.yearly_stats(raw))
     cat = spark.read.parquet(res.catalog_path)
-    assert sorted(cat.columns) == sorted(c.name for c in schema.QUAKE.fields)
+    assert sorted(cat.columns) == sorted([*(c.name for c in schema.QUAKE.fields), "Network"])
     assert cat.count() == C.clean(raw).count()
     preds = spark.read.parquet(res.predictions_path)
     assert preds.columns == ["Latitude", "Longitude", "Pred_Magnitude", "Year", "RMSE"]
@@ -87,3 +88,70 @@ def test_streaming_ingest_matches_batch(spark, tmp_dir):
     q.awaitTermination(120)
     total = spark.read.parquet(f"{tmp_dir}/store").count()
     assert 0 < first < total == C.clean(raw).count()
+
+
+README_ORDER = ["Date", "Latitude", "Longitude", "Depth", "Magnitude", "Type", "ID"]
+
+
+def two_rows(spark):
+    rows = [("15/01/2023", "35.6762", "139.6503", "10.5", "5.2", "Earthquake", "eq_001"), ("16/01/2023", "1.0", "2.0", "3.0", "4.0", "Earthquake", "eq_002")]
+    return spark.createDataFrame(rows, schema.strings(README_ORDER))
+
+
+def test_csv_columns_bind_by_header_name(spark, tmp_dir):
+    sinks.export_csv(two_rows(spark), f"{tmp_dir}/a")
+    picked = src.read_raw_csv(spark, f"{tmp_dir}/a", schema.strings(list(reversed(README_ORDER))))
+    assert picked.where("ID = 'eq_001' and Latitude = '35.6762'").count() == 1
+    assert C.clean(picked).count() == C.clean(src.read_raw_csv(spark, f"{tmp_dir}/a")).count() == 2
+
+
+def test_csv_missing_column_and_mixed_headers_fail(spark, tmp_dir):
+    sinks.export_csv(two_rows(spark).drop("Depth"), f"{tmp_dir}/a")
+    with pytest.raises(ValueError, match="Depth"):
+        src.read_raw_csv(spark, f"{tmp_dir}/a", schema.strings(README_ORDER))
+    sinks.export_csv(two_rows(spark).coalesce(1), f"{tmp_dir}/mixed/one")
+    sinks.export_csv(two_rows(spark).coalesce(1).select(*reversed(README_ORDER)), f"{tmp_dir}/mixed/two")
+    with pytest.raises(Exception, match="(?i)header"):
+        src.read_raw_csv(spark, f"{tmp_dir}/mixed/*").collect()
+
+
+def test_ingest_binds_by_header_and_refuses_missing_columns(spark, tmp_dir):
+    sinks.export_csv(two_rows(spark), f"{tmp_dir}/in/a")
+    start_ingest(spark, f"{tmp_dir}/in/*/*.csv", f"{tmp_dir}/store", f"{tmp_dir}/ckpt").awaitTermination(120)
+    assert spark.read.parquet(f"{tmp_dir}/store").count() == 2
+    sinks.export_csv(two_rows(spark).drop("Magnitude"), f"{tmp_dir}/bad/a")
+    with pytest.raises(C.MissingColumns):
+        start_ingest(spark, f"{tmp_dir}/bad/*/*.csv", f"{tmp_dir}/store2", f"{tmp_dir}/ckpt2")
+
+
+def test_other_columns_survive_cleaning_and_count_as_missing(spark):
+    rows = two_rows(spark).withColumn("Felt Reports", F.when(F.col("ID") == "eq_001", F.lit("12"))).withColumn("Status", F.lit(None).cast("string"))
+    cat = C.clean(rows)
+    assert "Felt Reports" in cat.columns and "Status" not in cat.columns
+    assert [r.ID for r in cat.collect()] == ["eq_001"]
+
+
+def test_store_is_rebuilt_when_a_file_below_changes(spark, tmp_dir):
+    from tremor.plans import store
+
+    os.makedirs(f"{tmp_dir}/t/deep")
+    for name in ("a", "deep/b"):
+        with open(f"{tmp_dir}/t/{name}", "w") as f:
+            f.write("x")
+    before = store._signature(spark, f"{tmp_dir}/t")
+    os.utime(f"{tmp_dir}/t/deep/b", (1, 1))
+    assert store._signature(spark, f"{tmp_dir}/t") != before
+
+
+def test_scratch_tables_and_stores_can_be_dropped(spark, tmp_dir):
+    from tremor.plans import store
+    from tremor.scratch import drop_scratch, scratch_table
+
+    t = scratch_table(spark.range(5).toDF("x"), "t")
+    path = t.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and t.count() == 5
+    drop_scratch(t, None)
+    assert not os.path.exists(path)
+    store.curated_store(spark, SF_SMALL)
+    store.drop_stores(spark, keep=SF_SMALL)
+    assert store.year_counts(spark, SF_SMALL).agg(F.sum("Count")).first()[0] == store.curated_store(spark, SF_SMALL).count()

@@ -104,3 +104,36 @@ def test_parallel_compare_equals_sequential(data):
     par = [tuple(r) for r in ml.compare(train, test, parallelism=4).orderBy("pos").collect()]
     seq = [tuple(r) for r in ml.compare(train, test, parallelism=1).orderBy("pos").collect()]
     assert par == seq
+
+
+def test_tree_models_do_not_depend_on_the_input_layout(spark):
+    train, test = train_test(spark, SF_SMALL)
+    rows = ml.model_frame(train)
+    errs = []
+    for parts in (1, 5):
+        laid = ml.stable_layout(rows.repartition(parts), 4)
+        errs.append(ml.rmse(ml.fit(laid, "RandomForest"), test))
+    assert errs[0] == pytest.approx(errs[1], abs=1e-12)
+
+
+def test_tree_leaves_hold_the_mean_of_their_rows(spark):
+    """A regression tree's prediction is the mean label of the training rows it puts in the same leaf."""
+    train, _ = train_test(spark, SF_SMALL)
+    scored = ml.predict(ml.fit(train, "DecisionTree"), train)
+    leaves = scored.groupBy("prediction").avg("Magnitude").collect()
+    assert len(leaves) > 5
+    assert all(r[0] == pytest.approx(r[1], abs=1e-9) for r in leaves)
+
+
+def test_forest_is_the_mean_of_its_trees_and_boosting_their_weighted_sum(spark):
+    train, test = train_test(spark, SF_SMALL)
+    rows = test.limit(20)
+    for name in ("RandomForest", "GBT"):
+        model = ml.fit(train, name)
+        frame, stage = model.stages[0].transform(rows), model.stages[-1]
+        feats = [r.features for r in frame.collect()]
+        got = [r.prediction for r in stage.transform(frame).collect()]
+        for f, p in zip(feats, got):
+            parts = [t.predict(f) for t in stage.trees]
+            want = sum(parts) / len(parts) if name == "RandomForest" else sum(w * x for w, x in zip(stage.treeWeights, parts))
+            assert p == pytest.approx(want, abs=1e-9)

@@ -74,6 +74,7 @@ def test_severity_extremes_first_on_ties(spark):
         [("b", "d1", 7.0, 1.0, 0.0, 0.0), ("a", "d2", 7.0, 1.0, 0.0, 0.0), ("d", "d3", 5.0, 1.0, 0.0, 0.0), ("c", "d4", 5.0, 1.0, 0.0, 0.0)],
         "ID string, Date string, Magnitude double, Depth double, Latitude double, Longitude double",
     )
+    df = trends.top_quakes(df)
     ext = {r.role: r.ID for r in trends.severity_extremes(df).collect()}
     assert ext == {"most": "a", "least": "c"}
     assert trends.top_remaining(df).count() == 0
@@ -133,3 +134,16 @@ def test_two_level_top_n_equals_plain(cat):
     assert plain == two
     plan = trends.top_quakes(cat.repartition(16), 50, buckets=4)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_severity_roles_need_a_bounded_list(spark):
+    wide = spark.range(20_000).selectExpr("cast(id as string) as ID", "cast(id as double) as Magnitude")
+    with pytest.raises(ValueError):
+        trends.severity_extremes(wide)
+    assert {r.role: r.ID for r in trends.severity_extremes(trends.top_quakes(wide)).collect()} == {"most": "19999", "least": "19950"}
+
+
+def test_exact_mean_keeps_all_decimals(spark):
+    df = spark.createDataFrame([(1.000049, 3.0, 5.5), (1.000049, 3.0, 5.5)], "Latitude double, Longitude double, Magnitude double")
+    assert float(trends.top_centroid(df, exact_scale=12).first().avg_latitude) == 1.000049
+    assert trends.top_centroid(df).first().avg_latitude == pytest.approx(1.000049, abs=1e-15)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor import schema
-from tremor.functions.parse import to_double, year_dmy, year_of
+from tremor.functions.parse import to_double, to_double_strict, year_dmy, year_of
 
 
 class MissingColumns(ValueError):
@@ -36,8 +36,17 @@ def drop_store_key(df: DataFrame, key: str = "_id") -> DataFrame:
 
 
 def project_catalog(raw: DataFrame) -> DataFrame:
-    """The seven catalogue columns of a raw table, still strings."""
-    return drop_unused(raw).select(*schema.CATALOG_COLUMNS)
+    """A raw table without the ETL's dropped columns and the store's key, still strings.
+
+    The seven catalogue columns come first, then any other column the source has.
+    """
+    kept = drop_store_key(drop_unused(require_columns(raw, schema.CATALOG_COLUMNS)))
+    return kept.select(*schema.CATALOG_COLUMNS, *[f"`{c}`" for c in kept.columns if c not in schema.CATALOG_COLUMNS])
+
+
+def catalog_columns(raw: DataFrame) -> DataFrame:
+    """The seven catalogue columns alone."""
+    return require_columns(raw, schema.CATALOG_COLUMNS).select(*schema.CATALOG_COLUMNS)
 
 
 def harmonize_feed(feed: DataFrame) -> DataFrame:
@@ -68,9 +77,11 @@ def coerce_numeric(df: DataFrame, columns=schema.NUMERIC_COLUMNS) -> DataFrame:
 
 
 def typed(raw: DataFrame) -> DataFrame:
-    """Raw catalogue -> typed rows in the curated column order, nulls kept."""
+    """Raw catalogue -> typed rows in the curated column order (the source's other
+    columns after them, as they are), nulls kept."""
     t = coerce_numeric(with_year(project_catalog(raw)))
-    return t.select(*[f.name for f in schema.QUAKE.fields])
+    first = [f.name for f in schema.QUAKE.fields]
+    return t.select(*first, *[f"`{c}`" for c in t.columns if c not in first])
 
 
 def evaluate_once(df: DataFrame) -> DataFrame:
@@ -87,7 +98,8 @@ def evaluate_once(df: DataFrame) -> DataFrame:
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """Curated catalogue: typed rows with no missing value in any column."""
+    """Curated catalogue: typed rows with no missing value in any column, the
+    source's other columns included."""
     return evaluate_once(typed(raw)).na.drop(how="any")
 
 
@@ -109,16 +121,9 @@ def clean_subset(df: DataFrame, subset=("Latitude", "Longitude", "Depth", "Magni
     return df.na.drop(how="any", subset=list(subset))
 
 
-def trend_base(catalog: DataFrame) -> DataFrame:
-    """Dashboard input: re-typed, Year re-derived from Date, rows missing a key value dropped.
-
-    Idempotent on a curated catalogue; also accepts the raw string table.  A
-    typed ``Year`` is kept as is: it was derived from ``Date`` by the same rule.
-    """
-    t = coerce_numeric(catalog)
-    if dict(t.dtypes).get("Year") != "int":
-        t = t.withColumn("Year", year_of("Date"))
-    return clean_subset(t)
+def strict_numeric(df: DataFrame, columns=schema.NUMERIC_COLUMNS) -> DataFrame:
+    """Numeric columns by a strict cast: text that is no number is an error, not a null."""
+    return df.withColumns({c: to_double_strict(c) for c in columns})
 
 
 def validate_points(df: DataFrame, columns=("latitude", "longitude", "depth")) -> DataFrame:

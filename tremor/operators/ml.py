@@ -2,7 +2,10 @@
 
 Training and scoring are distributed Spark ML jobs; only the fitted model
 and a handful of scalar metrics reach the driver.  Every estimator gets a
-fixed seed so that two runs in two processes give the same model.
+fixed seed, but bootstrap samples and split candidates are drawn per
+partition, so a tree model also depends on how the training rows are laid out.
+``stable_layout`` fixes that: the same rows then give the same model in any
+session.
 """
 
 from __future__ import annotations
@@ -47,6 +50,11 @@ def model_frame(df: DataFrame, features=schema.FEATURES, label: str = schema.LAB
     return df.select(*features, label).na.drop(how="any")
 
 
+def stable_layout(train: DataFrame, partitions: int) -> DataFrame:
+    """Training rows dealt by their values to a fixed number of partitions, sorted within."""
+    return train.repartition(partitions, *train.columns).sortWithinPartitions(*train.columns)
+
+
 def fit(train: DataFrame, name: str = "RandomForest", features=schema.FEATURES, seed: int = SEED) -> PipelineModel:
     """Fit assembler + model.  The training rows are cached for the fit's many passes
     (split finding, tree levels, iterations) unless the caller already cached them."""
@@ -74,8 +82,8 @@ def compare(
 ) -> DataFrame:
     """Fit each model on ``train``, score ``test``: ``pos, model, rmse, accepted``.
 
-    The training set is cached for the fits and released afterwards.  Up to
-    ``parallelism`` models are fitted at once from a thread pool, as Spark ML's
+    Training and test rows are cached for the fits and scores (each model reads
+    both) and released afterwards.  Up to ``parallelism`` models are fitted at once from a thread pool, as Spark ML's
     own tuning estimators do, so their jobs share the cluster instead of
     queueing; seeds make the result independent of the interleaving.
     """
@@ -84,7 +92,7 @@ def compare(
     from pyspark.util import inheritable_thread_target
 
     spark = train.sparkSession
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = train.persist(StorageLevel.MEMORY_AND_DISK), test.persist(StorageLevel.MEMORY_AND_DISK)
 
     @inheritable_thread_target(spark)
     def one(item):
@@ -96,6 +104,7 @@ def compare(
             rows = sorted(pool.map(one, list(enumerate(names))))
     finally:
         train.unpersist()
+        test.unpersist()
     df = spark.createDataFrame(rows, "pos int, model string, rmse double")
     return df.withColumn("accepted", F.col("rmse") < F.lit(RMSE_TARGET))
 

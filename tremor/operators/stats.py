@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tremor.functions import display
 from tremor.functions.agg import mean, mean_of_parts, mean_parts, zero_like
 from tremor.functions.parse import to_double, year_of
 
@@ -122,6 +123,17 @@ def kpi(df: DataFrame, exact_scale: int | None = None) -> DataFrame:
     )
 
 
+def kpi_text(figures: DataFrame) -> DataFrame:
+    """The home page's figures as shown: counts as text, the yearly mean rounded to
+    two places (half to even), magnitude and depth as two-decimal text."""
+    return figures.select(
+        F.col("total_earthquakes").cast("string").alias("total"),
+        display.round2("average_yearly").alias("average_yearly"),
+        display.fmt2("average_magnitude").alias("average_magnitude"),
+        display.fmt2("max_depth").alias("max_depth"),
+    )
+
+
 def kpi_year(df: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Key figures of one year's rows: count, min, max and mean magnitude."""
     return df.agg(

@@ -17,6 +17,8 @@ from tremor.functions.agg import mean
 # Strongest-event list size and default range width (years after the first).
 TOP_N = 50
 RANGE_YEARS = 5
+# The longest list whose rows are compared in one task.
+MAX_LIST = 10_000
 
 
 def latest_year(df: DataFrame) -> Column:
@@ -24,10 +26,13 @@ def latest_year(df: DataFrame) -> Column:
     return df.agg(F.max("Year")).scalar()
 
 
-def year_slice(df: DataFrame, year=None) -> DataFrame:
-    """Rows of one year (default: the newest); prunes Year partitions when stored by Year."""
+def year_slice(df: DataFrame, year=None, years: DataFrame | None = None) -> DataFrame:
+    """Rows of one year (default: the newest); prunes Year partitions when stored by Year.
+
+    ``years``: a small table of the years that occur, read for the default in place of ``df``.
+    """
     if year is None:
-        target = latest_year(df)
+        target = latest_year(df if years is None else years)
     else:
         target = year if isinstance(year, Column) else F.lit(year)
     return df.where(F.col("Year") == target)
@@ -55,11 +60,11 @@ def with_scalar(df: DataFrame, name: str, one_row: DataFrame) -> DataFrame:
     return df.withColumn(name, one_row.scalar())
 
 
-def year_range(df: DataFrame, lo=None, hi=None) -> DataFrame:
-    """Rows with ``lo <= Year <= hi``; missing bounds take the default range."""
+def year_range(df: DataFrame, lo=None, hi=None, years: DataFrame | None = None) -> DataFrame:
+    """Rows with ``lo <= Year <= hi``; missing bounds take the default range (of ``years``, if given)."""
     if lo is not None and hi is not None:
         return df.where((F.col("Year") >= F.lit(lo)) & (F.col("Year") <= F.lit(hi)))
-    bounds = year_bounds(df).select(F.struct("range_lo", "range_hi"))
+    bounds = year_bounds(df if years is None else years).select(F.struct("range_lo", "range_hi"))
     t = with_scalar(df, "_bounds", bounds)
     lo_c = F.col("_bounds.range_lo") if lo is None else F.lit(lo)
     hi_c = F.col("_bounds.range_hi") if hi is None else F.lit(hi)
@@ -98,11 +103,14 @@ def tag_extremes(top: DataFrame) -> DataFrame:
     """Mark each row of a top-n list with its severity roles, in one pass.
 
     ``top`` must be bounded (the output of ``top_quakes``): the windows below
-    have no partition key and gather the list into one task, which is only
-    acceptable because the limit bounds it at ``n`` rows.  Adds ``_most``
+    have no partition key and gather the list into one task.  A frame whose
+    plan does not prove at most ``MAX_LIST`` rows is refused.  Adds ``_most``
     (largest magnitude, first ID), ``_least`` (smallest magnitude, first ID)
     and ``_other`` (magnitude equals neither extreme).
     """
+    bound = top._jdf.queryExecution().optimizedPlan().maxRows()
+    if bound.isEmpty() or int(bound.get()) > MAX_LIST:
+        raise ValueError(f"severity roles need a list of at most {MAX_LIST} rows: pass the output of top_quakes")
     every = Window.partitionBy()
     down = Window.orderBy(F.desc("Magnitude"), F.asc("ID"))
     up = Window.orderBy(F.asc("Magnitude"), F.asc("ID"))

@@ -40,15 +40,14 @@ FEATURES = ["Latitude", "Longitude", "Depth"]
 LABEL = "Magnitude"
 
 
-def _strings(names):
+def strings(names) -> StructType:
+    """A schema of string columns."""
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
-# Landing zone: every column a string.  CSV columns bind by position when a
-# schema is given, so this is the column order of the files we write; pass
-# your own ``raw_schema`` for files laid out differently.
-RAW = _strings(["ID", "Date", "Latitude", "Longitude", "Depth", "Magnitude", "Type", "Time", "Status"])
-FEED = _strings(["time", "latitude", "longitude", "mag", "depth", "id"])
+# Landing zone: every column a string.  The readers bind CSV columns by header name.
+RAW = strings(["ID", "Date", "Latitude", "Longitude", "Depth", "Magnitude", "Type", "Time", "Status"])
+FEED = strings(["time", "latitude", "longitude", "mag", "depth", "id"])
 
 QUAKE = StructType(
     [

@@ -54,11 +54,6 @@ def jvm_context(spark: SparkSession):
         return None
 
 
-def session_key(spark: SparkSession) -> str:
-    sc = jvm_context(spark)
-    return sc.applicationId if sc is not None else f"session-{id(spark)}"
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

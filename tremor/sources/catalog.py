@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tremor import schema
 from tremor.functions.parse import to_double
 
 
 def read_raw_csv(spark: SparkSession, path: str, raw_schema=None) -> DataFrame:
-    """Raw catalogue CSV with a header; every column a string (no inference pass)."""
-    reader = spark.read.option("header", True)
-    if raw_schema is not None:
-        reader = reader.schema(raw_schema)
-    else:
-        # Header names only: strings everywhere, no sampling pass over the data.
-        reader = reader.option("inferSchema", False)
-    return reader.csv(path)
+    """Raw catalogue CSV with a header; every column a string (no inference pass).
+
+    Columns bind by header name.  With ``raw_schema`` its columns are picked
+    from the files' own, whatever their order; one that is missing is an error,
+    and so is a file in the folder whose header differs from the first one's
+    (``enforceSchema`` off: Spark would bind it by position otherwise).
+    """
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    names = reader.csv(path).columns
+    header = StructType([StructField(n, StringType()) for n in names])
+    df = reader.option("enforceSchema", False).schema(header).csv(path)
+    if raw_schema is None:
+        return df
+    missing = [n for n in raw_schema.names if n not in names]
+    if missing:
+        raise ValueError(f"missing columns: {missing}; the files have {names}")
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in raw_schema.fields])
 
 
 def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:

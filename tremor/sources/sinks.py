@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def write_catalog(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", cluster=("Type", "ID")) -> None:
+def write_catalog(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", salts: int = 64) -> None:
     """Curated catalogue, partitioned by Year so year filters prune files.
 
-    Rows are range-partitioned on ``Year`` then ``cluster`` before the write:
-    each task holds a contiguous key range, so it writes one or two Year
-    folders instead of one file per Year it happens to contain, and a year
-    holding a large share of the rows is spread over many tasks by the range
-    sampler.  Sorting within tasks on the same keys gives tight parquet
-    min/max statistics, so ``Type`` filters skip row groups.
+    Rows are range-partitioned on (Year, Type, salt), the salt being a hash of
+    the ID: each task holds a contiguous range, so it writes one or two Year
+    folders, and a year or type with a large share of the rows is spread over
+    up to ``salts`` tasks by the range sampler.  Rows within a file are sorted
+    on (Year, Type), so ``Type`` filters skip row groups; there is no sort on
+    the ID.  The sampler reads its input once more: pass a stored table, not a
+    parse (see ``plans.store`` and ``plans.etl``).
     """
-    keys = ["Year", *[c for c in cluster if c in df.columns]]
-    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    salt = F.pmod(F.xxhash64("ID"), F.lit(salts)) if "ID" in df.columns else F.lit(0)
+    out = df.repartitionByRange("Year", "Type", salt).sortWithinPartitions("Year", "Type")
     out.write.mode(mode).format(fmt).partitionBy("Year").save(path)
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tremor import schema
 from tremor.operators import clean as C
@@ -22,11 +23,21 @@ def start_ingest(
     landing_dir: str,
     store_dir: str,
     checkpoint: str,
-    raw_schema=schema.RAW,
+    raw_schema=None,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    reader = spark.readStream.schema(raw_schema).option("header", True)
+    """Start the job.  Columns bind by header name: the layout is that of the files
+    already in ``landing_dir`` (or ``raw_schema``), a file with another header
+    fails the query, and a layout without the catalogue's columns is refused.
+    """
+    if raw_schema is None:
+        names = spark.read.option("header", True).csv(landing_dir).columns
+        raw_schema = StructType([StructField(n, StringType()) for n in names])
+    missing = [c for c in schema.CATALOG_COLUMNS if c not in raw_schema.names]
+    if missing:
+        raise C.MissingColumns(f"missing columns: {missing}; have {raw_schema.names}")
+    reader = spark.readStream.schema(raw_schema).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     curated = C.clean(reader.csv(landing_dir))
