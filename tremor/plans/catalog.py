@@ -1,7 +1,8 @@
 """The named query catalogue: one builder per operator, over the test tables.
 
-Each builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame.  Inputs
-come from ``sources.fixture`` (raw catalogue from ``orders``, points from
+Each builder takes ``(spark, sf_dir)`` and returns a DataFrame.  Most are lazy;
+the nearest-event, place-label, model and file round-trip builders run jobs
+when called, and the first use of the curated store writes it.  Inputs come from ``sources.fixture`` (raw catalogue from ``orders``, points from
 ``nation``, gazetteer from ``supplier``), so every query's work grows with the
 tables.  Derived doubles are rounded (6 places; 9 for slopes and
 correlations) so that an independent engine can be compared value by value;
@@ -10,16 +11,21 @@ the operators themselves return exact values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
+from tremor import schema
+from tremor.functions import display
 from tremor.operators import clean as C
 from tremor.operators import geo, ml, stats, trends
 from tremor.plans import store
-from tremor.sources import fixture
+from tremor.session import shared_dir
+from tremor.sources import catalog as read
+from tremor.sources import fixture, sinks
 from tremor.sources.sinks import preview as preview_rows
 
 
@@ -43,9 +49,9 @@ def rounded(df: DataFrame, places: int = 6, wide: tuple = (), wide_places: int =
     return df.select(*cols)
 
 
-# Inputs of the comparable queries carry at most this many decimals, so their
-# averages are computed exactly (see ``functions.agg.mean``).
-EXACT = 4
+# Decimals in which the comparable queries sum (see ``functions.agg.mean``): more
+# than a coordinate or magnitude read from text carries, so nothing is rounded away.
+EXACT = 12
 
 
 # ---- shared inputs -----------------------------------------------------------
@@ -67,14 +73,17 @@ def curated(spark, d):
 
 def base(spark, d):
     """Dashboard input.  The store was written by ``clean`` (typed, no nulls,
-    NaN already removed), so the dashboard's re-typing ``trend_base`` is the
-    identity on it and is not re-applied: filters on plain columns then reach
-    the scan, and year bounds read only the Year partition column."""
+    NaN already removed), so typing and dropping rows again would change nothing
+    and is not done: filters on plain columns then reach the scan."""
     return curated(spark, d)
 
 
 def in_range(spark, d):
-    return trends.year_range(base(spark, d))
+    return trends.year_range(base(spark, d), years=store.year_counts(spark, d))
+
+
+def latest(spark, d):
+    return trends.year_slice(curated(spark, d), years=store.year_counts(spark, d))
 
 
 def top(spark, d):
@@ -86,7 +95,7 @@ def quakes(spark, d):
 
 
 def train_test(spark, d):
-    train = ml.model_frame(C.clean(fixture.raw_training(spark, d)))
+    train = ml.stable_layout(ml.model_frame(C.clean(fixture.raw_training(spark, d))), 16)
     test = ml.model_frame(C.harmonize_feed(fixture.raw_feed(spark, d)))
     return train, test
 
@@ -106,8 +115,12 @@ def q_project_catalog(spark, d):
     return C.project_catalog(raw(spark, d))
 
 
+def q_catalog_columns(spark, d):
+    return C.catalog_columns(raw(spark, d))
+
+
 def q_harmonize_feed(spark, d):
-    return rounded(C.harmonize_feed(fixture.raw_feed(spark, d)))
+    return rounded(C.harmonize_feed(fixture.raw_feed(spark, d, holdout=False)))
 
 
 def q_parse_year(spark, d):
@@ -175,24 +188,27 @@ def q_kpi_home(spark, d):
 
 
 def q_kpi_year(spark, d):
-    return rounded(stats.kpi_year(trends.year_slice(curated(spark, d)), EXACT))
+    return rounded(stats.kpi_year(latest(spark, d), EXACT))
 
 
 def q_kpi_empty(spark, d):
-    cat = curated(spark, d)
-    before_first = cat.agg(F.min("Year") - 1).scalar()
-    return rounded(stats.kpi(trends.year_slice(cat, before_first), EXACT))
+    before_first = store.year_counts(spark, d).agg(F.min("Year") - 1).scalar()
+    return rounded(stats.kpi(trends.year_slice(curated(spark, d), before_first), EXACT))
+
+
+def q_kpi_text(spark, d):
+    return stats.kpi_text(stats.kpi(curated(spark, d)))
 
 
 def q_year_options(spark, d):
-    return stats.year_options(curated(spark, d))
+    return stats.year_options(store.year_counts(spark, d))
 
 
 # ---- trends ------------------------------------------------------------------
 
 
 def q_year_slice(spark, d):
-    return rounded(trends.year_slice(curated(spark, d)))
+    return rounded(latest(spark, d))
 
 
 def q_year_range(spark, d):
@@ -200,7 +216,7 @@ def q_year_range(spark, d):
 
 
 def q_default_year_range(spark, d):
-    return trends.year_bounds(base(spark, d))
+    return trends.year_bounds(store.year_counts(spark, d))
 
 
 def q_top_quakes(spark, d):
@@ -227,6 +243,10 @@ def q_trend_line(spark, d):
     return rounded(trends.trend_line(in_range(spark, d)), wide=("slope", "intercept"))
 
 
+def q_trend_line_all(spark, d):
+    return rounded(trends.trend_line(base(spark, d)), wide=("slope", "intercept"))
+
+
 def q_trend_fitted(spark, d):
     return rounded(trends.trend_fitted(in_range(spark, d)))
 
@@ -256,7 +276,7 @@ def q_marker_table(spark, d):
 
 
 def q_map_clusters(spark, d):
-    return rounded(geo.map_clusters(trends.year_slice(curated(spark, d)), zoom=2, exact_scale=EXACT))
+    return rounded(geo.map_clusters(latest(spark, d), zoom=2, exact_scale=EXACT))
 
 
 def q_nearest_hav(spark, d):
@@ -272,12 +292,36 @@ def q_nearest_batch(spark, d):
     return geo.nearest(fixture.points(spark, d), quakes(spark, d), carry=("Date", "Magnitude", "Depth"), metric="geodesic")
 
 
+def q_nearest_text(spark, d):
+    out = geo.nearest(fixture.points(spark, d), quakes(spark, d), carry=("Date", "Magnitude", "Depth"), metric="geodesic")
+    return out.withColumn("popup", display.popup_text("Magnitude", "Date"))
+
+
+def q_nearest_edge(spark, d):
+    """Repeated keys, NaN and missing coordinates, points on the far side of the globe."""
+    p = fixture.points(spark, d)
+    case = F.col("point_id") % 5
+    far = case == 3  # the antipodes of the events' region
+    edge = p.select(
+        (F.col("point_id") % 10).alias("point_id"),
+        F.when(case == 1, F.lit(float("nan"))).when(case == 2, F.lit(None))
+        .when(far, -(F.col("latitude") / 90) - 45).otherwise(F.col("latitude")).alias("latitude"),
+        F.when(far, F.col("longitude") / 180 - 120).otherwise(F.col("longitude")).alias("longitude"),
+    )
+    region = quakes(spark, d).where(F.col("Latitude").between(40, 50) & F.col("Longitude").between(50, 70))
+    return geo.nearest(edge, region, metric="haversine")
+
+
+def q_extremes_labelled(spark, d):
+    return rounded(geo.with_place(trends.severity_extremes(top(spark, d)), fixture.places(spark, d)))
+
+
 def q_place_labels(spark, d):
-    return geo.place_labels(trends.year_slice(curated(spark, d)), fixture.places(spark, d))
+    return geo.place_labels(latest(spark, d), fixture.places(spark, d))
 
 
 def q_year_markers(spark, d):
-    return rounded(geo.year_markers(trends.year_slice(curated(spark, d)), fixture.places(spark, d)))
+    return rounded(geo.year_markers(latest(spark, d), fixture.places(spark, d)))
 
 
 # ---- models ------------------------------------------------------------------
@@ -313,6 +357,84 @@ def q_score_points(spark, d):
     return ml.score_points(ml.fit(train, "RandomForest"), fixture.points(spark, d))
 
 
+def linear(spark, d):
+    train, test = train_test(spark, d)
+    return ml.fit(train, "LinearRegression"), test
+
+
+def q_lr_metrics(spark, d):
+    train, test = train_test(spark, d)
+    return rounded(ml.compare(train, test, ("LinearRegression",)).drop("pos"), wide=("rmse",), wide_places=4)
+
+
+def q_lr_prediction_table(spark, d):
+    return rounded(ml.prediction_table(*linear(spark, d)), wide=("Pred_Magnitude", "RMSE"), wide_places=4)
+
+
+def q_lr_score_points(spark, d):
+    scored = ml.score_points(linear(spark, d)[0], fixture.points(spark, d))
+    return rounded(scored, wide=("Pred_Magnitude",), wide_places=4)
+
+
+# ---- files: what is written comes back --------------------------------------
+
+
+def place(spark, name):
+    return f"{shared_dir(spark)}/scratch/{name}-{uuid.uuid4().hex}"
+
+
+_RAW = ["ID", "Date", "Latitude", "Longitude", "Depth", "Magnitude", "Type", "Network"]
+
+
+def q_csv_strings(spark, d):
+    """Written with one column order, read by header name in another."""
+    at = place(spark, "landing")
+    sinks.export_csv(raw(spark, d).select(*reversed(_RAW)), at)
+    return read.read_raw_csv(spark, at, schema.strings(_RAW))
+
+
+def q_csv_typed(spark, d):
+    at = place(spark, "landing")
+    sinks.export_csv(raw(spark, d).select(*_RAW), at)
+    return rounded(read.read_typed_csv(spark, at))
+
+
+def q_csv_export(spark, d):
+    at = place(spark, "export")
+    sinks.export_csv(latest(spark, d), at)
+    return rounded(read.read_typed_csv(spark, at).withColumn("Year", F.col("Year").cast("int")))
+
+
+def q_stored_yearly_stats(spark, d):
+    at = place(spark, "yearly")
+    sinks.write_table(stats.yearly_stats(raw(spark, d), EXACT), at, "orc")
+    return rounded(read.read_catalog(spark, at, "orc"))
+
+
+def q_stored_predictions(spark, d):
+    at = place(spark, "predictions")
+    sinks.write_table(ml.prediction_table(*linear(spark, d)), at)
+    return rounded(read.read_catalog(spark, at), wide=("Pred_Magnitude", "RMSE"), wide_places=4)
+
+
+def q_stored_model(spark, d):
+    at = place(spark, "model")
+    model, test = linear(spark, d)
+    sinks.save_model(model, at)
+    return rounded(ml.predict(read.load_model(at), test), wide=("prediction",), wide_places=4)
+
+
+def q_store_key_dropped(spark, d):
+    at = place(spark, "keyed")
+    sinks.write_table(curated(spark, d).withColumn("_id", F.sha1("ID")), at)
+    return rounded(read.read_catalog(spark, at))
+
+
+def q_strict_cast(spark, d):
+    text = curated(spark, d).select("ID", *[F.col(c).cast("string").alias(c) for c in schema.NUMERIC_COLUMNS])
+    return rounded(C.strict_numeric(text))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_catalog": q_scan_catalog,
     "scan_type_filter": q_scan_type_filter,
@@ -364,4 +486,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_select": q_model_select,
     "prediction_table": q_prediction_table,
     "score_points": q_score_points,
+    "lr_metrics": q_lr_metrics,
+    "lr_prediction_table": q_lr_prediction_table,
+    "lr_score_points": q_lr_score_points,
+    "catalog_columns": q_catalog_columns,
+    "kpi_text": q_kpi_text,
+    "trend_line_all": q_trend_line_all,
+    "nearest_text": q_nearest_text,
+    "nearest_edge": q_nearest_edge,
+    "extremes_labelled": q_extremes_labelled,
+    "csv_strings": q_csv_strings,
+    "csv_typed": q_csv_typed,
+    "csv_export": q_csv_export,
+    "stored_yearly_stats": q_stored_yearly_stats,
+    "stored_predictions": q_stored_predictions,
+    "stored_model": q_stored_model,
+    "store_key_dropped": q_store_key_dropped,
+    "strict_cast": q_strict_cast,
 }

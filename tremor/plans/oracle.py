@@ -29,7 +29,8 @@ def _raw_select(where: str = "") -> str:
     CASE WHEN o_orderkey % 89 = 0 THEN NULL
          ELSE CAST((11000 + CAST(floor(o_totalprice) AS BIGINT) % 7001) / 2000e0 AS VARCHAR) END AS "Magnitude",
     CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'Earthquake'
-         ELSE o_orderpriority END AS "Type"
+         ELSE o_orderpriority END AS "Type",
+    CASE WHEN o_orderkey % 107 <> 0 THEN 'net_' || CAST(o_custkey % 11 AS VARCHAR) END AS "Network"
   FROM orders {where}"""
 
 
@@ -40,12 +41,13 @@ _YEAR_DMY = """CAST(year(try_strptime("Date", '%d/%m/%Y')) AS INTEGER)"""
 def _typed(src: str) -> str:
     return f"""
   SELECT "Date", {_dbl('"Latitude"')} AS "Latitude", {_dbl('"Longitude"')} AS "Longitude", "Type",
-         {_dbl('"Depth"')} AS "Depth", {_dbl('"Magnitude"')} AS "Magnitude", "ID", {_YEAR_ANY} AS "Year"
+         {_dbl('"Depth"')} AS "Depth", {_dbl('"Magnitude"')} AS "Magnitude", "ID", {_YEAR_ANY} AS "Year", "Network"
   FROM {src}"""
 
 
 _NOT_NULL = """ "Date" IS NOT NULL AND "Latitude" IS NOT NULL AND "Longitude" IS NOT NULL AND "Type" IS NOT NULL
-    AND "Depth" IS NOT NULL AND "Magnitude" IS NOT NULL AND "ID" IS NOT NULL AND "Year" IS NOT NULL"""
+    AND "Depth" IS NOT NULL AND "Magnitude" IS NOT NULL AND "ID" IS NOT NULL AND "Year" IS NOT NULL
+    AND "Network" IS NOT NULL"""
 
 BASE = f"""WITH
 raw AS ({_raw_select()}),
@@ -100,33 +102,34 @@ def _r(x: str, p: int = 6) -> str:
     return f"(round(({x}) * 1e{p}) / 1e{p} + 0e0)"
 
 
-def _avg(x: str, p: int = 6, scale: int = 4) -> str:
+def _avg(x: str, p: int = 6, scale: int = 12) -> str:
     """Exact mean of values with at most ``scale`` decimals, rounded half away
     from zero to ``p`` places, in integer arithmetic."""
-    s = f"sum(CAST(round(({x}) * 1e{scale}) AS HUGEINT))"
-    n = f"nullif(CAST(count({x}) AS HUGEINT), 0)"
-    k = 10 ** (p - scale) if p >= scale else 1
-    return f"(CAST(sign({s}) * ((2 * abs({s}) * {k} + {n}) // (2 * {n})) AS DOUBLE) / 1e{p} + 0e0)"
+    s = f"sum(CAST(CAST({x} AS DECIMAL(20, {scale})) * 1000000000000 AS HUGEINT))"
+    n = f"nullif(CAST(count({x}) AS HUGEINT) * {10 ** (scale - p)}, 0)"
+    return f"(CAST(sign({s}) * ((2 * abs({s}) + {n}) // (2 * {n})) AS DOUBLE) / 1e{p} + 0e0)"
 
 
 _CURATED_COLS = ', '.join(
     ['"Date"', _r('"Latitude"') + ' AS "Latitude"', _r('"Longitude"') + ' AS "Longitude"', '"Type"',
-     _r('"Depth"') + ' AS "Depth"', _r('"Magnitude"') + ' AS "Magnitude"', '"ID"', '"Year"']
+     _r('"Depth"') + ' AS "Depth"', _r('"Magnitude"') + ' AS "Magnitude"', '"ID"', '"Year"', '"Network"']
 )
 
 _TILE_N = 4  # 2 ** zoom, zoom 2
 _TILE_X = f"least(CAST(floor(({'"Longitude"'} + 180e0) / 360e0 * {_TILE_N}e0) AS BIGINT), {_TILE_N - 1})"
+_ON_MAP = 'radians(greatest(least("Latitude", 85.0511287798066e0), -85.0511287798066e0))'
 _TILE_Y = (
-    f"least(CAST(floor((1e0 - ln(tan(radians(\"Latitude\")) + 1e0 / cos(radians(\"Latitude\"))) / pi()) / 2e0"
-    f" * {_TILE_N}e0) AS BIGINT), {_TILE_N - 1})"
+    f"greatest(least(CAST(floor((1e0 - ln(tan({_ON_MAP}) + 1e0 / cos({_ON_MAP})) / pi()) / 2e0"
+    f" * {_TILE_N}e0) AS BIGINT), {_TILE_N - 1}), 0)"
 )
 
 SQL: dict[str, str] = {
     "scan_catalog": f"SELECT {_CURATED_COLS} FROM curated",
     "scan_type_filter": f"SELECT {_CURATED_COLS} FROM quakes",
-    "project_catalog": 'SELECT "Date", "Latitude", "Longitude", "Type", "Depth", "Magnitude", "ID" FROM raw',
+    "project_catalog": 'SELECT "Date", "Latitude", "Longitude", "Type", "Depth", "Magnitude", "ID", "Network" FROM raw',
+    "catalog_columns": 'SELECT "Date", "Latitude", "Longitude", "Type", "Depth", "Magnitude", "ID" FROM raw',
     "harmonize_feed": f"""SELECT "Date", {_r(_dbl('"Latitude"'))} AS "Latitude", {_r(_dbl('"Longitude"'))} AS "Longitude",
-        {_r(_dbl('"Magnitude"'))} AS "Magnitude", {_r(_dbl('"Depth"'))} AS "Depth" FROM feed""",
+        {_r(_dbl('"Magnitude"'))} AS "Magnitude", {_r(_dbl('"Depth"'))} AS "Depth" FROM raw""",
     "parse_year": f'SELECT "ID", "Date", {_YEAR_DMY} AS "Year_dmy", {_YEAR_ANY} AS "Year" FROM raw',
     "coerce_numeric": f"""SELECT "ID", {_r(_dbl('"Latitude"'))} AS "Latitude", {_r(_dbl('"Longitude"'))} AS "Longitude",
         {_r(_dbl('"Depth"'))} AS "Depth", {_r(_dbl('"Magnitude"'))} AS "Magnitude" FROM raw""",
@@ -209,11 +212,10 @@ SQL: dict[str, str] = {
               UNION ALL SELECT 'other', "ID", "Latitude", "Longitude", "Magnitude", "Date" FROM remaining)""",
     "map_clusters": f"""SELECT tile_x, tile_y, count(*) AS "Count", {_avg('"Latitude"')} AS center_latitude,
         {_avg('"Longitude"')} AS center_longitude, {_r('max("Magnitude")')} AS max_magnitude, 2 AS zoom
-        FROM (SELECT {_TILE_X} AS tile_x, {_TILE_Y} AS tile_y, * FROM latest
-              WHERE abs("Latitude") <= 85.0511287798066e0 AND "Longitude" IS NOT NULL)
+        FROM (SELECT {_TILE_X} AS tile_x, {_TILE_Y} AS tile_y, * FROM latest)
         GROUP BY tile_x, tile_y""",
-    "nearest_hav": f"""SELECT point_id, "ID", "Magnitude", km FROM (
-        SELECT p.point_id, q."ID", q."Magnitude", {_r(_hav('p.latitude', 'p.longitude', 'q."Latitude"', 'q."Longitude"'))} AS km,
+    "nearest_hav": f"""SELECT point_id, "ID", "Magnitude", "Latitude", "Longitude", km FROM (
+        SELECT p.point_id, q."ID", q."Magnitude", q."Latitude", q."Longitude", {_r(_hav('p.latitude', 'p.longitude', 'q."Latitude"', 'q."Longitude"'))} AS km,
                row_number() OVER (PARTITION BY p.point_id ORDER BY
                    {_r(_hav('p.latitude', 'p.longitude', 'q."Latitude"', 'q."Longitude"'))}, q."ID") AS rn
         FROM points p, quakes q) WHERE rn = 1""",
@@ -239,16 +241,17 @@ SQL["year_markers"] = f"""SELECT l."ID", {_r('l."Latitude"')} AS "Latitude", {_r
 # Vincenty (1975) on WGS-84 for every (point, event) pair by brute force: a
 # recursive CTE iterates lambda per pair and freezes the pair's terms in the
 # iteration where it converges (|new - old| < 1e-12, at most 200 rounds);
-# pairs that never converge fall back to the sphere distance and are flagged.
+# nearly antipodal pairs, which never converge, have no distance: they are
+# farther than any pair that does.
 _F = "(1e0 / 298.257223563e0)"
 _A = "6378137e0"
 _B = f"((1e0 - {_F}) * {_A})"
 
 
-def _vincenty_nearest(points_where: str = "") -> str:
+def _vincenty_nearest(points_where: str = "", text: str = "") -> str:
     return f""",
 vpairs AS (
-  SELECT p.point_id, q."ID", q."Date", q."Magnitude", q."Depth",
+  SELECT p.point_id, q."ID", q."Date", q."Magnitude", q."Depth", q."Latitude", q."Longitude",
          {_hav('p.latitude', 'p.longitude', 'q."Latitude"', 'q."Longitude"')} AS hav_km,
          radians(q."Longitude") - radians(p.longitude) AS big_l,
          atan((1e0 - {_F}) * tan(radians(p.latitude))) AS u1,
@@ -292,11 +295,10 @@ vdist AS (
              u_sq / 1024e0 * (256e0 + u_sq * (-128e0 + u_sq * (74e0 - 47e0 * u_sq))) AS big_b
       FROM vend))),
 vranked AS (
-  SELECT v.point_id, v."ID", v."Date", v."Magnitude", v."Depth",
-         coalesce(d.gkm, v.hav_km) AS km, d.gkm IS NULL AS approx,
-         row_number() OVER (PARTITION BY v.point_id ORDER BY {_r('coalesce(d.gkm, v.hav_km)')}, v."ID") AS rn
+  SELECT v.point_id, v."ID", v."Date", v."Magnitude", v."Depth", v."Latitude", v."Longitude", d.gkm AS km,
+         row_number() OVER (PARTITION BY v.point_id ORDER BY {_r('d.gkm')}, v."ID") AS rn
   FROM vpairs v JOIN vdist d ON v.point_id = d.point_id AND v."ID" = d."ID")
-SELECT point_id, "ID", "Date", "Magnitude", "Depth", {_r('km')} AS km, approx FROM vranked WHERE rn = 1
+SELECT point_id, "ID", "Date", "Magnitude", "Depth", "Latitude", "Longitude", {_r('km')} AS km{text} FROM vranked WHERE rn = 1
 """
 
 
@@ -343,12 +345,87 @@ SQL["yearly_join"] = SQL["yearly_stats"]
 RECURSIVE_SQL = {
     "nearest_batch": _vincenty_nearest(),
     "nearest_one": _vincenty_nearest("WHERE point_id = (SELECT min(point_id) FROM points)"),
+    "nearest_text": _vincenty_nearest(
+        text=""", 'Magnitude: ' || CAST("Magnitude" AS VARCHAR) || ' | Date: ' || "Date" AS popup"""
+    ),
 }
 
+# Points the search must not trip over: repeated keys, NaN and missing
+# coordinates, and points on the far side of the globe from the events.
+SQL["nearest_edge"] = f"""SELECT point_id, "ID", "Latitude", "Longitude", CASE WHEN "ID" IS NOT NULL THEN km END AS km FROM (
+    SELECT p.rid, p.point_id, q."ID", q."Latitude", q."Longitude",
+           {_r(_hav('p.latitude', 'p.longitude', 'q."Latitude"', 'q."Longitude"'))} AS km,
+           row_number() OVER (PARTITION BY p.rid ORDER BY
+               {_r(_hav('p.latitude', 'p.longitude', 'q."Latitude"', 'q."Longitude"'))}, q."ID") AS rn
+    FROM (SELECT point_id AS rid, point_id % 10 AS point_id,
+                 CASE WHEN point_id % 5 = 1 OR point_id % 5 = 2 THEN NULL
+                      WHEN point_id % 5 = 3 THEN -(latitude / 90e0) - 45e0 ELSE latitude END AS latitude,
+                 CASE WHEN point_id % 5 = 3 THEN longitude / 180e0 - 120e0 ELSE longitude END AS longitude FROM points) p
+    LEFT JOIN (SELECT * FROM quakes WHERE "Latitude" BETWEEN 40 AND 50 AND "Longitude" BETWEEN 50 AND 70) q
+      ON p.latitude IS NOT NULL) WHERE rn = 1"""
+
+# Labels of the two extremes' positions, and the line over the whole catalogue.
+SQL["extremes_labelled"] = f"""SELECT role, "ID", "Date", {_r('"Magnitude"')} AS "Magnitude", {_r('"Depth"')} AS "Depth",
+    {_r('"Latitude"')} AS "Latitude", {_r('"Longitude"')} AS "Longitude", label FROM (
+    SELECT e.*, CASE WHEN coalesce(g.city, g.town, g.village) IS NOT NULL
+                     THEN coalesce(g.city, g.town, g.village) || ', ' || coalesce(g.country, 'Unknown')
+                     ELSE coalesce(g.country, 'Unknown') END AS label,
+           row_number() OVER (PARTITION BY e.role ORDER BY
+               {_r(_hav('e."Latitude"', 'e."Longitude"', 'g.latitude', 'g.longitude'))}, g.place_id) AS rn
+    FROM extremes e, places g) WHERE rn = 1"""
+SQL["trend_line_all"] = SQL["trend_line"].replace("FROM in_range", "FROM base")
+
+# Round trips through files give back what went in.
+SQL["csv_strings"] = 'SELECT "ID", "Date", "Latitude", "Longitude", "Depth", "Magnitude", "Type", "Network" FROM raw'
+SQL["csv_typed"] = f"""SELECT "ID", "Date", {_r(_dbl('"Latitude"'))} AS "Latitude", {_r(_dbl('"Longitude"'))} AS "Longitude",
+    {_r(_dbl('"Depth"'))} AS "Depth", {_r(_dbl('"Magnitude"'))} AS "Magnitude", "Type", "Network" FROM raw"""
+SQL["csv_export"] = SQL["year_slice"]
+SQL["stored_yearly_stats"] = SQL["yearly_stats"]
+SQL["store_key_dropped"] = SQL["scan_catalog"]
+SQL["strict_cast"] = f"""SELECT "ID", {_r('"Latitude"')} AS "Latitude", {_r('"Longitude"')} AS "Longitude",
+    {_r('"Depth"')} AS "Depth", {_r('"Magnitude"')} AS "Magnitude" FROM curated"""
+SQL["kpi_text"] = f"""SELECT CAST(total_earthquakes AS VARCHAR) AS total, {{even}} AS average_yearly,
+    printf('%.2f', average_magnitude) AS average_magnitude, printf('%.2f', max_depth) AS max_depth
+    FROM (SELECT count(*) AS total_earthquakes, count(DISTINCT "Year") AS years, {_avg('"Magnitude"')} AS average_magnitude,
+                 max("Depth") AS max_depth FROM curated)""".replace(
+    "{even}", "round_even(CAST(total_earthquakes AS DOUBLE) / years, 2)"
+)
+
+
+# The linear model again: its prediction table with the RMSE on the feed, the
+# feed's metrics, the points' scores.
+_LR_ERR = f"""err AS (
+  SELECT sqrt(avg((t."Magnitude" - p) * (t."Magnitude" - p))) AS rmse, count(*) AS n
+  FROM (SELECT t.*, k.my + k.w1 * (t."Latitude" - k.m1) + k.w2 * (t."Longitude" - k.m2) + k.w3 * (t."Depth" - k.m3) AS p
+        FROM test t, coef k WHERE t."Latitude" IS NOT NULL AND t."Longitude" IS NOT NULL AND t."Depth" IS NOT NULL
+          AND t."Magnitude" IS NOT NULL) t)"""
+LR_SQL = {
+    "lr_predict": SQL_LR,
+    "stored_model": SQL_LR,
+    "lr_metrics": f""",
+{_LR_TRAIN},
+{_LR_ERR}
+SELECT 'LinearRegression' AS model, {_r('rmse', 4)} AS rmse, rmse < 0.5e0 AS accepted FROM err""",
+    "lr_prediction_table": f""",
+{_LR_TRAIN},
+{_LR_ERR}
+SELECT {_r('t."Latitude"')} AS "Latitude", {_r('t."Longitude"')} AS "Longitude",
+       {_r('k.my + k.w1 * (t."Latitude" - k.m1) + k.w2 * (t."Longitude" - k.m2) + k.w3 * (t."Depth" - k.m3)', 4)} AS "Pred_Magnitude",
+       2017 AS "Year", {_r('err.rmse', 4)} AS "RMSE"
+FROM test t, coef k, err
+WHERE t."Latitude" IS NOT NULL AND t."Longitude" IS NOT NULL AND t."Depth" IS NOT NULL AND t."Magnitude" IS NOT NULL""",
+    "lr_score_points": f""",
+{_LR_TRAIN}
+SELECT t.point_id, {_r('t.latitude')} AS "Latitude", {_r('t.longitude')} AS "Longitude", {_r('t.depth')} AS "Depth",
+       {_r('k.my + k.w1 * (t.latitude - k.m1) + k.w2 * (t.longitude - k.m2) + k.w3 * (t.depth - k.m3)', 4)} AS "Pred_Magnitude"
+FROM points t, coef k""",
+}
+LR_SQL["stored_predictions"] = LR_SQL["lr_prediction_table"]
+
 
 def oracle_sql() -> dict[str, str]:
     out = {k: BASE + v for k, v in SQL.items()}
     rec = BASE.replace("WITH\n", "WITH RECURSIVE\n", 1).rstrip()
     out.update({k: rec + v for k, v in RECURSIVE_SQL.items()})
-    out["lr_predict"] = BASE.rstrip() + SQL_LR
+    out.update({k: BASE.rstrip() + v for k, v in LR_SQL.items()})
     return out
