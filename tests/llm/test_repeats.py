@@ -177,12 +177,12 @@ def test_units_against_brute_force(spark):
 
 
 def test_unit_bounds():
-    text = "One two three. Four five\n\nsix seven? eight\n nine"
-    assert [(text[a:b], u) for a, b, u in units.units_of(text, 1)] == [
+    text = "One two three. Four five. Six\n\nsix seven? eight\n nine ten\neleven\nA b. C d! E f"
+    assert [(text[a:b], u) for a, b, u in units.units_of(text, 3)] == [
         ("One two three.", "one two three"),
-        ("Four five", "four five"),
-        ("six seven?", "six seven"),
-        ("eight", "eight"),
-        ("nine", "nine"),
+        ("Four five. Six", "four five six"),
+        ("six seven? eight", "six seven eight"),
+        ("nine ten", "nine ten"),
+        ("A b. C d!", "a b c d"),
     ]
     assert units.units_of(None, 1) == [] and units.units_of("", 1) == []

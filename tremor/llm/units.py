@@ -12,23 +12,36 @@ from pyspark.sql import functions as F
 
 from tremor.llm.common import col, drop_staged, stage_table, text_hash
 
-# A unit ends with its line, or at a sentence end inside the line.
-UNIT = re.compile(r"[^\n]*?(?:[.!?]+(?=\s|$)|$|(?=\n))", re.M)
+# Sentences: they end with their line, or at a sentence end inside the line.
+SENTENCE = re.compile(r"[^\n]*?(?:(?:[.!?]|[^\w\s]{2})[^\w\s]*(?=\s|$)|$|(?=\n))", re.M)
 WORD = re.compile(r"\w+")
 
 
 def units_of(text: str | None, min_words: int) -> list[tuple[int, int, str]]:
     """``(start, end, normalised)`` of the units of a text, in code points.
 
-    Normalised: lower-case words alone, one space between.  Units of fewer
-    than ``min_words`` words are left out.
+    A unit is a sentence, or as many short ones after each other in a line as
+    make ``min_words`` words: two copies of a passage have the same units from
+    their first common unit end on.  What is left over at the end of a line is
+    too short to tell copies by, unless it is the whole line and has two words.
+    Normalised: lower-case words alone, one space between.
     """
-    out = []
-    for m in UNIT.finditer(text or ""):
-        words = WORD.findall(m.group())
-        if len(words) >= min_words:
-            lead = len(m.group()) - len(m.group().lstrip())
-            out.append((m.start() + lead, m.end(), " ".join(words).lower()))
+    out: list[tuple[int, int, str]] = []
+    words: list[str] = []
+    start, body = -1, text or ""
+    for m in SENTENCE.finditer(body):
+        found = WORD.findall(m.group())
+        if found and not words:
+            start = m.start() + len(m.group()) - len(m.group().lstrip())
+        words += found
+        ends = m.end() == len(body) or body[m.end()] == "\n"
+        line = body.rfind("\n", 0, start) + 1 if ends and words else 0
+        whole = ends and len(words) > 1 and not body[line:start].strip()
+        if words and (len(words) >= min_words or whole):
+            out.append((start, m.end(), " ".join(words).lower()))
+            words = []
+        elif ends:
+            words = []
     return out
 
 
@@ -71,8 +84,8 @@ RESULT = "n_chars long, n_removed long, n_spans long, kept_sha256 string, spans
 def dedup_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 6) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, n_removed, n_spans, kept_sha256, spans, kept.
 
-    Units are lines, cut further at sentence ends; equal normalised units of at
-    least ``min_words`` words are copies wherever they are.  The earliest (by
+    Units are lines, cut further at sentence ends (see ``units_of``); equal
+    normalised units are copies wherever they are.  The earliest (by
     document id, text hash and offset) stays, all others are removed; ``spans``
     are the removed units' code-point offsets in the input.
 
