@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as P
-from tests.llm.cases import frame, rows_of, texts
+from tests.llm.cases import frame, texts
 from tests.llm.test_copies import brute_simhash
 from tests.llm.test_repeats import brute_lines
 from tests.llm.test_rows import brute_leaks

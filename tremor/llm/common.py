@@ -1,15 +1,19 @@
-"""Helpers shared by the operators: staged tables, row keys, worker caches."""
+"""Helpers shared by the operators: staged tables, row keys, worker caches, hot groups."""
 
-import atexit
 import sys
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.session import jvm_context, shared_dir
+from tremor.scratch import drop_scratch as drop_staged
+from tremor.scratch import scratch_table
 
-_STAGED: dict[str, SparkSession] = {}
+__all__ = ["col", "drop_staged", "fresh", "hot_pieces", "stage_table", "text_hash", "worker_cache"]
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to and read back from the shared folder (see ``tremor.scratch``)."""
+    return scratch_table(df, name, "llm")
 
 
 def fresh(df: DataFrame, base: str) -> str:
@@ -30,47 +34,6 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared folder and read it back.
-
-    Cuts the lineage, and fixes values such as generated ids: a task that is
-    run again after an executor was lost commits its files anew, readers see
-    committed files only.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _STAGED[path] = spark
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tremor_staged = path
-    return out
-
-
-def drop_staged(*tables: DataFrame | None) -> None:
-    """Delete staged tables that nothing reads any more."""
-    for table in tables:
-        path = getattr(table, "_tremor_staged", None)
-        if path and _STAGED.pop(path, None) is not None:
-            _delete(table.sparkSession, path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    sc = jvm_context(spark)
-    if sc is not None:
-        target = sc._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
-
-
-@atexit.register
-def _drop_all() -> None:
-    """Results are lazy and may read staged tables until the job ends."""
-    for path, spark in list(_STAGED.items()):
-        try:
-            _delete(spark, path)
-        except Exception:  # the session is gone already; the shared folder keeps the table
-            return
-
-
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker (function globals sent by value do not)."""
     return sys.__dict__.setdefault("_tremor_llm_cache", {})

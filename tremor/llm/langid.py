@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import col, drop_staged, stage_table
+from tremor.llm.common import col
 
 # Fixed value: ASCII letters keep their place, other ASCII bytes part words.
 LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
