@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.llm import decontam, langid, lines, packing, simhash
-from tremor.llm.common import fresh, stage_table
+from tremor.llm.common import drop_staged, fresh, stage_table
 from tremor.llm.queries import MIN_LINES, WORD_VOCABULARY, table, vocabulary
 
 
@@ -65,5 +65,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_staged(before)
     return docs
