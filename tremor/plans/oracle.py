@@ -3,8 +3,8 @@
 Each statement rebuilds its inputs from the pre-registered test tables
 (``orders``, ``nation``, ``supplier``) with the same fixture rules, then
 computes the operator in plain SQL.  Doubles are rounded as the Spark side
-rounds them.  ML, and geodesic nearest search, have no SQL form here: their
-keys are absent and only row counts are compared.
+rounds them.  Tree models have no SQL form: their keys are absent and only row
+counts are compared.
 """
 
 from __future__ import annotations
