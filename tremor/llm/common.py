@@ -47,12 +47,9 @@ def hot_pieces(rows: DataFrame, keys: list[str], member: Column, block: int) ->
     each block goes to the ``m`` pieces it shares with a block, itself
     included.  Adds ``_blk`` (own block), ``_bi`` and ``_bj`` (the piece).
     """
-    hot = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > block)
-        .select(*keys, F.ceil(F.col("_n") / block).cast("int").alias("_m"))
-    )
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block)
+    # Staged, so that the join is not tied to the grouping's partitions: a hot group's rows can be split.
+    hot = stage_table(counted.select(*keys, F.ceil(F.col("_n") / block).cast("int").alias("_m")), "hot")
     m = F.coalesce(F.col("_m"), F.lit(1))
     return (
         rows.join(hot, keys, "left")

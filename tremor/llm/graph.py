@@ -14,7 +14,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     smallest one; the edges end as one star per component, after a number of
     rounds that grows with the logarithm of the nodes.  Minima are partial
     aggregates and the joins back are splittable, so a node with very many
-    neighbours is no single task; each round's edges are a staged table.
+    neighbours is no single task; each round's edges and minima are staged tables.
     Self-loops give their node as its own root; nulls are dropped.
     """
     nodes = edges.where("a is not null and b is not null")
@@ -26,9 +26,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while mark[0]:
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = stage_table(low, "low")  # a join with a staged table can split the rows of a hot node
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage_table(large, "stars")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stage_table(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = (
             large.join(least, "u")
             .where("v <> m")
@@ -37,7 +38,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         nxt = stage_table(small, "stars")
-        drop_staged(cur, large)
+        drop_staged(cur, low, large, least)
         before, mark, cur = mark, _mark(nxt), nxt
         if mark == before:
             break

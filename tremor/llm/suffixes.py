@@ -140,7 +140,8 @@ def settle(rows: DataFrame, digit: list[str], keep: list[str]) -> DataFrame:
     one = [F.first(c).alias(c) for c in keep]  # all of the same row; hash aggregation, unlike a struct's minimum
     content = stage_table(rows.groupBy(*digit, "c1", "c2").agg(F.sum("n").alias("total"), *one), "contents")
     variants = content.groupBy(*digit).agg(F.count(F.lit(1)).alias("variants")).where("variants > 1")
-    return content.join(variants, digit, "left")
+    # Staged, so that the join is not tied to the grouping's partitions: a hot digit's rows can be split.
+    return content.join(stage_table(variants, "variants"), digit, "left")
 
 
 def _bytes_of_runs(depth: int):

@@ -98,9 +98,10 @@ def dedup_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     units = stage_table(units, "units")
     place = F.struct("doc_id", "th", "start")
     often = units.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2")
+    often = stage_table(often, "often")  # joins with staged tables can split the rows of a hot unit
     copies = stage_table(units.join(often, ["c1", "c2"], "left_semi"), "unit-copies")
     drop_staged(units)
-    first = copies.groupBy("c1", "c2").agg(F.min(place).alias("first"))
+    first = stage_table(copies.groupBy("c1", "c2").agg(F.min(place).alias("first")), "first")
     later = copies.join(first, ["c1", "c2"]).where(~place.eqNullSafe(F.col("first")))
     lists = later.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "end")).alias("gone"))  # of one text
     joined = rows.alias("r").join(lists.alias("l"), F.expr("r.doc_id <=> l.doc_id and r.th = l.th"), "left")
