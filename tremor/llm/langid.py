@@ -40,7 +40,7 @@ def counts(texts: list[str], bits: int) -> np.ndarray:
 
 def vectors(texts: list[str], idf: np.ndarray) -> np.ndarray:
     """Unit TF-IDF vectors; a text without trigrams is zero."""
-    x = np.log1p(counts(texts, int(math.log2(len(idf))))) * idf
+    x = counts(texts, int(math.log2(len(idf)))) * idf
     norm = np.linalg.norm(x, axis=1, keepdims=True)
     return x / np.where(norm > 0, norm, 1)
 
@@ -69,11 +69,16 @@ def _cluster(idf: np.ndarray, clusters: int, rounds: int, quantile: float, slack
         x = x[np.linalg.norm(x, axis=1) > 0]
         if not len(x):
             return pd.DataFrame({"lang": [], "centroid": [], "least": []})
-        centre = [x.mean(axis=0)]  # then the sample vectors farthest from those chosen
+        # Start at the mean, then at vectors far from those chosen: not the farthest,
+        # an outlier, but one that a tenth of the sample lies beyond.
+        centre = [x.mean(axis=0)]
         while len(centre) < min(clusters, len(x)):
-            centre.append(x[np.argmin(np.max(x @ _unit(np.stack(centre)).T, axis=1))])
+            centre.append(x[np.argsort(np.max(x @ _unit(np.stack(centre)).T, axis=1), kind="stable")[len(x) // 10]])
         c = _unit(np.stack(centre))
-        for _ in range(rounds):
+        for step in range(2 * rounds):
+            if step == rounds:  # clusters of a few odd texts would attract other languages' odd texts
+                size = np.bincount(np.argmax(x @ c.T, axis=1), minlength=len(c))
+                c = c[size >= min(0.05 * len(x), size.max())]
             near = np.argmax(x @ c.T, axis=1)
             c = _unit(np.stack([x[near == k].mean(axis=0) if (near == k).any() else c[k] for k in range(len(c))]))
         cosine, near = np.max(x @ c.T, axis=1), np.argmax(x @ c.T, axis=1)
