@@ -158,13 +158,15 @@ def test_both_join_strategies_agree(spark, threshold, monkeypatch):
 
 
 def test_every_point_gets_a_row_and_the_position_of_its_event(spark):
-    points = [(1, 0.0, 0.0), (1, 50.0, 50.0), (2, float("nan"), 3.0), (3, 0.0, float("inf")), (1, 0.0, 0.0)]
+    big = 2**62 + 1
+    points = [(1, 0.0, 0.0), (1, 50.0, 50.0), (2, float("nan"), 3.0), (3, 0.0, float("inf")), (1, 0.0, 0.0), (None, 1.0, 1.0), (big, 1.0, 1.0)]
     events = [("a", 1.0, 1.0), ("b", 49.0, 49.0), ("c", float("nan"), 0.0), (None, None, 0.0)]
     p, e = frames(spark, points, events)
     out = geo.nearest(p, e, carry=("Latitude",))
     assert out.columns == ["point_id", "ID", "Latitude", "Longitude", "km"]
-    got = sorted((r.point_id, r.ID or "", r.Latitude, r.Longitude) for r in out.collect())
-    assert got == [(1, "a", 1.0, 1.0), (1, "a", 1.0, 1.0), (1, "b", 49.0, 49.0), (2, "", None, None), (3, "", None, None)]
+    got = sorted((r.point_id or 0, r.ID or "", r.Latitude, r.Longitude) for r in out.coalesce(1).collect())
+    assert got.pop() == (big, "a", 1.0, 1.0)
+    assert got == [(0, "a", 1.0, 1.0), (1, "a", 1.0, 1.0), (1, "a", 1.0, 1.0), (1, "b", 49.0, 49.0), (2, "", None, None), (3, "", None, None)]
     with pytest.raises(ValueError):
         geo.nearest(p.withColumnRenamed("point_id", "ID"), e, point_keys=("ID",))
 
@@ -198,7 +200,9 @@ def swarm_events(n, rng):
     return out + [("far", -70.0, -120.0), ("pole", 90.0, 0.0)]
 
 
-def test_swarms_and_far_points(spark):
+@pytest.mark.parametrize("local", [0, 100_000])
+def test_swarms_and_far_points(spark, local, monkeypatch):
+    monkeypatch.setattr(geo, "LOCAL_CELLS", local)
     rng = random.Random(13)
     events = swarm_events(6000, rng)
     points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(20)] + [(90, 10.0, 10.0), (91, -33.1, 151.2), (92, -80.0, -100.0)]
@@ -224,7 +228,7 @@ def test_search_reads_the_events_twice_and_leaves_most_of_them(spark, tmp_path):
     geo.nearest(p, counted).collect()
     assert reads.value == 2 * ev.count()
     pyramid = geo.build_pyramid(ev, "Latitude", "Longitude")
-    rid = p.selectExpr("point_id as _rid", "latitude as _plat", "longitude as _plon")
+    rid = p.selectExpr("point_id", "latitude as _plat", "longitude as _plon")
     cand = geo.near_candidates(rid, pyramid, 1.0)
     assert cand.selectExpr("sum(_events)").first()[0] < 0.2 * len(points) * ev.count()
 

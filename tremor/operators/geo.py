@@ -28,9 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tremor.functions import display
 from tremor.functions import geo as G
@@ -45,6 +47,7 @@ GEODESIC_MARGIN = 1.0102
 # cells of 0.8 km.
 LEVELS = (4, 7, 10, 13)
 MAX_PYRAMID = 400_000
+LOCAL_CELLS = 100_000
 # Chords are compared with this slack, far above their rounding errors and
 # above the rounding of distances that ties are decided on.
 SLACK = 1e-9
@@ -83,34 +86,68 @@ def _with_unit(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return df.withColumns({"_x": x, "_y": y, "_z": z})
 
 
+def _parent_np(cell: np.ndarray, level: int, up: int) -> np.ndarray:
+    mask = (1 << level) - 1
+    i = [x >> (level - up) for x in (cell >> (2 * level), (cell >> level) & mask, cell & mask)]
+    return (i[0] << (2 * up)) + (i[1] << up) + i[2]
+
+
+def _local_grids(finest: pd.DataFrame) -> dict[int, pd.DataFrame]:
+    """All grids of a small table of finest cells, rolled up in place."""
+    grids = {LEVELS[-1]: finest}
+    for fine, level in zip(LEVELS[::-1], LEVELS[-2::-1]):
+        cells = grids[fine].assign(cell=_parent_np(grids[fine]["cell"].to_numpy(np.int64), fine, level))
+        grids[level] = cells.groupby("cell", as_index=False).agg(n=("n", "sum"), _x=("_x", "first"), _y=("_y", "first"), _z=("_z", "first"))
+    return grids
+
+
+def _stored_grids(finest: DataFrame) -> dict[int, DataFrame]:
+    grids = {LEVELS[-1]: finest}
+    for fine, level in zip(LEVELS[::-1], LEVELS[-2::-1]):
+        one = [F.first(c).alias(c) for c in ("_x", "_y", "_z")]
+        up = grids[fine].groupBy(_parent(F.col("cell"), fine, level).alias("cell")).agg(F.sum("n").alias("n"), *one)
+        grids[level] = scratch_table(up, "cells")
+    return grids
+
+
+def _children_of(grid, opened: list[int] | None, level: int, above: int | None) -> pd.DataFrame:
+    """Cells of a grid with their parents, those of the ``opened`` parents only (None: all)."""
+    if isinstance(grid, pd.DataFrame):
+        if opened is None:
+            return grid.assign(parent=-1)
+        parent = _parent_np(grid["cell"].to_numpy(np.int64), level, above)
+        return grid.assign(parent=parent)[np.isin(parent, opened)]
+    if opened is None:
+        cells = grid.withColumn("parent", F.lit(-1).cast("long"))
+    else:
+        keys = grid.sparkSession.createDataFrame([(k,) for k in opened], "parent long")
+        cells = grid.withColumn("parent", _parent(F.col("cell"), level, above)).join(keys, "parent")
+    return cells.limit(MAX_PYRAMID + 1).toPandas()
+
+
 def build_pyramid(events: DataFrame, lat: str, lon: str, most: int = 1024) -> dict[int, pd.DataFrame]:
-    """Cells by level: key, parent, leaf, n, and an event's unit vector.  Empty if there are no events."""
-    finest = LEVELS[-1]
+    """Cells by level: key, parent, leaf, n, and an event's unit vector.  Empty if there are no events.
+
+    A table of at most ``LOCAL_CELLS`` occupied cells is rolled up where it is
+    read, a larger one by Spark; the pyramid is the same.
+    """
     ev = _with_unit(events.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")), "_lat", "_lon")
     one = [F.first(c).alias(c) for c in ("_x", "_y", "_z")]  # all of the same event
-    tables = {finest: scratch_table(ev.groupBy(_cell(finest).alias("cell")).agg(F.count(F.lit(1)).alias("n"), *one), "cells")}
-    for fine, level in zip(LEVELS[::-1], LEVELS[-2::-1]):
-        up = tables[fine].groupBy(_parent(F.col("cell"), fine, level).alias("cell")).agg(F.sum("n").alias("n"), *one)
-        tables[level] = scratch_table(up, "cells")
-    spark, opened, pyramid = events.sparkSession, None, {}
-    limit = None
+    finest = scratch_table(ev.groupBy(_cell(LEVELS[-1]).alias("cell")).agg(F.count(F.lit(1)).alias("n"), *one), "cells")
+    head = finest.limit(LOCAL_CELLS + 1).toPandas()
+    grids = _local_grids(head) if len(head) <= LOCAL_CELLS else _stored_grids(finest)
+    opened, limit, pyramid = None, None, {}
     for above, level in zip((None, *LEVELS), LEVELS):
-        cells = tables[level]
-        if above is not None:
-            cells = cells.withColumn("parent", _parent(F.col("cell"), level, above))
-            cells = cells.join(spark.createDataFrame([(k,) for k in opened], "parent long"), "parent")
-        found = cells.limit(MAX_PYRAMID + 1).toPandas()
+        found = _children_of(grids[level], opened, level, above)
         if len(found) + sum(map(len, pyramid.values())) > MAX_PYRAMID:
             raise RuntimeError(f"more than {MAX_PYRAMID} cells in the pyramid")
         if limit is None:
             limit = max(most, int(found["n"].sum()) // 1000)
-            found["parent"] = -1
-        found["leaf"] = (found["n"] <= limit) | (level == finest)
-        pyramid[level] = found
-        opened = [int(k) for k in found.loc[~found["leaf"], "cell"]]
+        pyramid[level] = found.assign(leaf=(found["n"] <= limit) | (level == LEVELS[-1]))
+        opened = [int(k) for k in pyramid[level].loc[~pyramid[level]["leaf"], "cell"]]
         if not opened:
             break
-    drop_scratch(*tables.values())
+    drop_scratch(finest, *[g for g in grids.values() if isinstance(g, DataFrame) and g is not finest])
     return {level: cells for level, cells in pyramid.items() if len(cells)}
 
 
@@ -159,20 +196,38 @@ class Descent:
 
 
 def _candidates(points: DataFrame, pyramid: dict[int, pd.DataFrame], margin: float) -> DataFrame:
-    """``(_rid, _plat, _plon, _reach, _level, _cell, _events)`` for every candidate leaf of every point."""
+    """One row per candidate leaf of a point, one without a leaf for a point whose position is missing.
+
+    ``points``: key columns, then ``_plat`` and ``_plon``.  Adds ``_rid``, a number
+    for each point, ``_reach``, ``_level``, ``_cell`` and ``_events``.
+    """
     shared = points.sparkSession.sparkContext.broadcast(pyramid)  # at most MAX_PYRAMID cells
+    columns = points.columns
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         descent = Descent(shared.value, margin)
-        for part in parts:
-            rows = []
-            for rid, lat, lon, x, y, z in part.itertuples(index=False):
-                leaves, reach = descent.leaves(np.array([x, y, z]))
-                rows += [(rid, lat, lon, reach, *leaf) for leaf in leaves]
-            yield pd.DataFrame(rows, columns=["_rid", "_plat", "_plon", "_reach", "_level", "_cell", "_events"])
-
-    placed = _with_unit(points.select("_rid", "_plat", "_plon"), "_plat", "_plon")
-    return placed.mapInPandas(run, "_rid long, _plat double, _plon double, _reach double, _level int, _cell long, _events long")
+        for batch in batches:
+            at, found = [], []
+            for k, p in enumerate(np.stack([batch.column(f"_{a}").to_numpy() for a in "xyz"], axis=1)):
+                rows = [(None, None, None, None)]
+                if np.isfinite(p).all():
+                    leaves, reach = descent.leaves(p)
+                    rows = [(reach, *leaf) for leaf in leaves]
+                at += [k] * len(rows)
+                found += rows
+            if found:
+                reach, level, cell, n = zip(*found, strict=True)
+                table = pa.Table.from_batches([batch]).take(pa.array(at)).select([*columns, "_rid"])
+                added = {"_reach": (reach, pa.float64()), "_level": (level, pa.int32()), "_cell": (cell, pa.int64()), "_events": (n, pa.int64())}
+                for name, (values, kind) in added.items():
+                    table = table.append_column(name, pa.array(values, kind))
+                yield from table.to_batches()
+
+    known = _known("_plat", "_plon")
+    placed = _with_unit(points.withColumn("_rid", F.monotonically_increasing_id()), "_plat", "_plon")
+    placed = placed.withColumns({a: F.when(known, F.col(a)).otherwise(F.lit(float("nan"))) for a in ("_x", "_y", "_z")})
+    fields = [*points.schema.fields, *StructType.fromDDL("_rid long, _reach double, _level int, _cell long, _events long").fields]
+    return placed.mapInArrow(run, StructType(fields))
 
 
 def nearest(
@@ -207,27 +262,21 @@ def nearest(
     if clash:
         raise ValueError(f"point keys named like event columns: {clash}")
     pts = points.select(*keys, F.col(point_lat).alias("_plat"), F.col(point_lon).alias("_plon"))
-    pts = scratch_table(pts.withColumn("_rid", F.monotonically_increasing_id()), "points")
     ev = events.select(*columns).where(_known(event_lat, event_lon))
     kinds = {f.name: f.dataType for f in ev.schema.fields}
+    nothing = [F.lit(None).cast(kinds[c]).alias(c) for c in columns] + [F.lit(None).cast("double").alias("km")]
     pyramid = build_pyramid(ev, event_lat, event_lon)
-    placed = pts.where(_known("_plat", "_plon"))
     if not pyramid:
-        nothing = [F.lit(None).cast(kinds[c]).alias(c) for c in columns]
-        return pts.select(*keys, *nothing, F.lit(None).cast("double").alias("km"))
-
-    best = _best(placed, ev, pyramid, columns, event_key, event_lat, event_lon, metric, round_km)
-    return pts.join(best, "_rid", "left").select(*keys, *columns, "km")
-
+        return pts.select(*keys, *nothing)
 
-def _best(placed, ev, pyramid, columns, event_key, event_lat, event_lon, metric, round_km) -> DataFrame:
-    cand = near_candidates(placed, pyramid, GEODESIC_MARGIN if metric == "geodesic" else 1.0)
+    margin = GEODESIC_MARGIN if metric == "geodesic" else 1.0
+    cand = near_candidates(pts, pyramid, margin)
     pairs = candidate_pairs(cand, ev, sorted(pyramid), columns, event_lat, event_lon)
     km = F.col("_hkm")
     if metric == "geodesic":
         # Of events at one position only the first can be the answer.
         at = ["_rid", event_lat, event_lon]
-        first = F.min_by(F.struct("_plat", "_plon", "_hkm", *[c for c in columns if c not in at]), event_key).alias("_f")
+        first = F.min_by(F.struct(*[c for c in pairs.columns if c not in at]), event_key).alias("_f")
         pairs = scratch_table(pairs.groupBy(*at).agg(first).select(*at, "_f.*"), "pairs")
         limit = pairs.groupBy("_rid").agg((F.min("_hkm") * GEODESIC_MARGIN + 1e-6).alias("_lim"))
         pairs = pairs.join(limit, "_rid").where("_hkm <= _lim")
@@ -236,14 +285,15 @@ def _best(placed, ev, pyramid, columns, event_key, event_lat, event_lon, metric,
     if round_km is not None:
         pairs = pairs.withColumn("km", _round_km(F.col("km"), round_km))
     order = F.struct("km", event_key, event_lat, event_lon)
-    row = F.struct(*columns, "km")
-    return pairs.groupBy("_rid").agg(F.min_by(row, order).alias("_b")).select("_rid", "_b.*")
+    best = F.min_by(F.struct(*columns, "km"), order).alias("_b")
+    answered = pairs.groupBy("_rid").agg(*[F.first(k).alias(k) for k in keys], best).select(*keys, "_b.*")
+    return answered.unionByName(cand.where("_level is null").select(*keys, *nothing))
 
 
-def near_candidates(placed: DataFrame, pyramid: dict[int, pd.DataFrame], margin: float) -> DataFrame:
-    """Candidate leaves as a scratch table, dealt by leaf to tasks of about ``PAIRS_PER_TASK`` pairs."""
-    n = placed.count()
-    spread = placed.repartition(max(1, -(-n // 2000)), "_rid")
+def near_candidates(points: DataFrame, pyramid: dict[int, pd.DataFrame], margin: float) -> DataFrame:
+    """``_candidates`` as a scratch table, dealt by leaf to tasks of about ``PAIRS_PER_TASK`` pairs."""
+    n = points.count()
+    spread = points.repartition(max(1, -(-n // 2000)))
     cand = scratch_table(_candidates(spread, pyramid, margin), "candidates")
     pairs = cand.agg(F.sum("_events")).first()[0] or 0
     tasks = -(-pairs // PAIRS_PER_TASK)
@@ -258,13 +308,15 @@ def _small(table: DataFrame) -> bool:
 
 
 def candidate_pairs(cand: DataFrame, ev: DataFrame, levels, columns, event_lat: str, event_lon: str) -> DataFrame:
-    """Events in the candidate leaves, within each point's reach, with the sphere distance ``_hkm``."""
+    """Events in the candidate leaves, within each point's reach, with the point's
+    columns and the sphere distance ``_hkm``."""
+    keep = [c for c in cand.columns if c not in ("_reach", "_level", "_cell", "_events")]
     cells = F.explode(F.array(*[F.struct(F.lit(v).alias("_level"), _cell(v).alias("_cell")) for v in levels]))
     placed = _with_unit(ev, event_lat, event_lon).select(*columns, cells.alias("_c")).select(*columns, "_c._level", "_c._cell")
     pairs = placed.join(cand, ["_level", "_cell"])
     pairs = pairs.withColumn("_hkm", G.haversine_km("_plat", "_plon", event_lat, event_lon))
     within = 2 * F.sin(F.col("_hkm") / (2 * G.EARTH_RADIUS_KM)) <= F.col("_reach")
-    return pairs.where(within).select("_rid", "_plat", "_plon", *columns, "_hkm")
+    return pairs.where(within).select(*keep, *columns, "_hkm")
 
 
 def nearest_one(point: DataFrame, events: DataFrame, **kw) -> DataFrame:

@@ -68,7 +68,7 @@ def nearest_parts(spark, sf_dir: str) -> dict:
 
     ev = catalog.quakes(spark, sf_dir)
     points = fixture.points(spark, sf_dir).select(
-        F.col("point_id").alias("_rid"), F.col("latitude").alias("_plat"), F.col("longitude").alias("_plon")
+        "point_id", F.col("latitude").alias("_plat"), F.col("longitude").alias("_plon")
     )
     pyramid = geo.build_pyramid(ev, "Latitude", "Longitude")
     cand = geo.near_candidates(points, pyramid, 1.0)
