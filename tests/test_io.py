@@ -132,15 +132,13 @@ def test_other_columns_survive_cleaning_and_count_as_missing(spark):
 
 
 def test_store_is_rebuilt_when_a_file_below_changes(spark, tmp_dir):
-    from tremor.plans import store
-
     os.makedirs(f"{tmp_dir}/t/deep")
     for name in ("a", "deep/b"):
         with open(f"{tmp_dir}/t/{name}", "w") as f:
             f.write("x")
-    before = store._signature(spark, f"{tmp_dir}/t")
+    before = fixture.signature(spark, f"{tmp_dir}/t")
     os.utime(f"{tmp_dir}/t/deep/b", (1, 1))
-    assert store._signature(spark, f"{tmp_dir}/t") != before
+    assert fixture.signature(spark, f"{tmp_dir}/t") != before
 
 
 def test_scratch_tables_and_stores_can_be_dropped(spark, tmp_dir):

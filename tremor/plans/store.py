@@ -34,16 +34,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _signature(spark: SparkSession, path: str) -> str:
-    """Every file below ``path`` with its length and modification time."""
-    fs, p = _fs(spark, path)
-    files, found = fs.listFiles(p, True), []
-    while files.hasNext():
-        st = files.next()
-        found.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
-    return "\n".join(sorted(found))
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
@@ -71,7 +61,7 @@ def build_store(spark: SparkSession, raw: DataFrame, path: str) -> None:
 
 def _open(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     source = f"{sf_dir.rstrip('/')}/orders.parquet"
-    key = hashlib.sha1(f"v{LAYOUT_VERSION}|{_signature(spark, source)}".encode()).hexdigest()[:16]
+    key = hashlib.sha1(f"v{LAYOUT_VERSION}|{fixture.signature(spark, source)}".encode()).hexdigest()[:16]
     opened = _OPENED.get((spark.sparkContext.applicationId, key))
     if opened is not None:
         return opened
@@ -116,7 +106,7 @@ def drop_stores(spark: SparkSession, keep: str | None = None) -> None:
     """Delete the stores of earlier input versions: all but that of the inputs in ``keep``."""
     if jvm_context(spark) is None:
         return
-    kept = hashlib.sha1(f"v{LAYOUT_VERSION}|{_signature(spark, f'{keep.rstrip('/')}/orders.parquet')}".encode()).hexdigest()[:16] if keep else None
+    kept = hashlib.sha1(f"v{LAYOUT_VERSION}|{fixture.signature(spark, f'{keep.rstrip('/')}/orders.parquet')}".encode()).hexdigest()[:16] if keep else None
     fs, root = _fs(spark, f"{shared_dir(spark)}/tremor-store")
     if fs.exists(root):
         for st in fs.listStatus(root):

@@ -12,13 +12,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor.session import jvm_context
+
 # Holdout share of the catalogue, by key residue.
 HOLDOUT_MOD = 5
 
 
+_OPENED: dict[tuple, DataFrame] = {}
+
+
+def signature(spark: SparkSession, path: str) -> str:
+    """Every file at or below ``path`` with its length and modification time."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    files, found = p.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(p, True), []
+    while files.hasNext():
+        st = files.next()
+        found.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+    return "\n".join(sorted(found))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One test table.  The opened DataFrame is reused while none of its files
+    changes (no repeated footer reads)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if jvm_context(spark) is None:
+        return spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, path, signature(spark, path))
+    if key not in _OPENED:
+        _OPENED[key] = spark.read.parquet(path)
+    return _OPENED[key]
 
 
 # The raw-catalogue mapping from ``orders`` (FIXTURES.md), as
