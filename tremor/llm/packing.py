@@ -1,6 +1,7 @@
 """Best-fit packing of token pieces by a grouping genetic algorithm on islands."""
 
 import random
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -21,25 +22,39 @@ class WordEncoder:
     of its white-space-free chunks in order.  Chunks repeat: their ids are kept
     (as bytes, at most ``keep`` of them, then the cache starts again), and only
     new chunks go through the tokenizer's own normaliser, pre-tokenizer and
-    model.  Texts in which that does not hold (separators that Python splits on
+    model.  A new chunk that is a word of Latin-1 letters, with or without marks
+    after it, needs neither of the first two: its parts are known.  Texts in which that does not hold (separators that Python splits on
     and the tokenizer does not, or strings of special tokens) are encoded whole.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    MARKS = ".,;:!?"
+
+    def __init__(self, path: str, keep: int = 300_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.keep, self.chunks, self.words = keep, {}, {}
+        self.normalize, self.tokenize = self.whole.normalizer.normalize_str, self.whole.model.tokenize
+        self.parts = self.whole.pre_tokenizer.pre_tokenize_str
+        # The byte-level form of the letters, as the pre-tokenizer gives it.
+        self.letters = {i: self.parts(chr(i))[0][0] for i in range(0x80, 0x100) if chr(i).isalpha()}
+
+    def _words(self, chunk: str) -> list[str]:
+        word = chunk.rstrip(self.MARKS)
+        if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
+            low = word.lower()
+            low = low if low.isascii() else low.translate(self.letters)
+            return [low] if len(word) == len(chunk) else [low, chunk[len(word) :]]
+        return [w for w, _ in self.parts(chunk.lower() if chunk.isascii() else self.normalize(chunk))]
 
     def _chunk(self, chunk: str) -> bytes:
-        text = chunk.lower() if chunk.isascii() else self.whole.normalizer.normalize_str(chunk)
         out = b""
-        for word, _ in self.whole.pre_tokenizer.pre_tokenize_str(text):
+        for word in self._words(chunk):
             ids = self.words.get(word)
             if ids is None:
-                ids = np.array([t.id for t in self.whole.model.tokenize(word)], dtype="<u4").tobytes()
-                self.words[word] = ids
+                tokens = self.tokenize(word)
+                self.words[word] = ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
             out += ids
         self.chunks[chunk] = out
         return out
@@ -54,7 +69,7 @@ class WordEncoder:
             self.chunks.clear()
         if len(self.words) > self.keep:
             self.words.clear()
-        get, new = self.chunks.get, self._chunk
+        get, new = self.chunks.get, self._chunk  # no chunk has no ids
         return b"".join([get(c) or new(c) for c in text.split()])
 
 
