@@ -176,3 +176,15 @@ def test_embedding_recall(spark):
     hard = [(i, x.tolist()) for i, x in enumerate(np.concatenate([a, b]))]
     found = vectors.embedding_components(spark.createDataFrame(hard, "vec_id long, embedding array<double>"))
     assert sum(r.n_links for r in found.collect()) >= 0.9 * 2 * len(a)
+
+
+@pytest.mark.parametrize("chain", [30, 3000])
+def test_embedding_chains_in_one_long_list(spark, chain):
+    n, step = 3000, 2 * np.pi / 4000
+    places = np.arange(n) + np.arange(n) // chain  # one place is free between chains
+    rows = [(i, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate(places * step)]
+    np.random.default_rng(4).shuffle(rows)
+    frame_ = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = vectors.embedding_components(frame_, least=float(np.cos(1.5 * step)), pivots=2, block=4096)
+    want = sorted((i, int(i % chain > 0) + int(i % chain < chain - 1), i - i % chain, i % chain == 0) for i in range(n))
+    assert rows_of(got, "vec_id", "n_links", "component_id", "kept") == sorted(want, key=repr)

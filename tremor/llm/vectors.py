@@ -115,7 +115,6 @@ def _verify(least: float, kind: str, rows: int = 512):
         across = part.column("_bi")[0].as_py() != part.column("_bj")[0].as_py()
         x = _unit(x)
         links, root = np.zeros(n, dtype=np.int64), np.arange(n)
-        pairs = []
         for i in range(0, n, rows):
             a, b = np.nonzero(x[i : i + rows] @ x[i:].T >= least)
             a, b = a + i, b + i
@@ -128,12 +127,6 @@ def _verify(least: float, kind: str, rows: int = 512):
                 u, w = u[own], w[own]
                 np.add.at(links, u, weight[w])
                 np.add.at(links, w, weight[u])
-                pairs.append((u, w))
-                _join(root, u, w)
-        for _ in range(len(pairs)):  # until all pairs agree
-            if all((root[u] == root[w]).all() for u, w in pairs):
-                break
-            for u, w in pairs:
                 _join(root, u, w)
         at = np.flatnonzero(links)
         return pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[root[at]]), pa.array(links[at])], ["node", "root", "links"])
@@ -150,15 +143,20 @@ def _verify(least: float, kind: str, rows: int = 512):
 
 
 def _join(root: np.ndarray, u: np.ndarray, w: np.ndarray) -> None:
-    """Smallest roots along the pairs, until they change no more."""
+    """One root for both ends of all pairs.
+
+    Every node points at its root, before and after.  A root that gives way
+    takes all its nodes along, so pairs joined earlier stay joined.
+    """
     while True:
-        low = np.minimum(root[u], root[w])
-        before = root.copy()
-        np.minimum.at(root, u, low)
-        np.minimum.at(root, w, low)
-        np.minimum(root, root[root], out=root)
-        if (root == before).all():
+        a, b = root[u], root[w]
+        apart = a != b
+        if not apart.any():
             return
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root[:] = root[root]
 
 
 def embedding_components(
