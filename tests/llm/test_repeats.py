@@ -186,3 +186,25 @@ def test_unit_bounds():
         ("A b. C d!", "a b c d"),
     ]
     assert units.units_of(None, 1) == [] and units.units_of("", 1) == []
+
+
+def test_copied_lines_go_with_their_tails(spark, tmp_dir):
+    from tremor.llm.queries import op9_substring_dedup
+
+    first = "One two three four five six. Seven eight\n\nalone\n这是没有空格的一行\nnine ten"
+    rows = [(1, first), (2, first), (3, "Another start of six words here. Seven eight\nALONE!"), (4, "one two three four five six seven, eight.")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in op9_substring_dedup(spark, tmp_dir).collect()}
+    kept = {1: first, 2: " \n\n\n\n", 3: "Another start of six words here. Seven eight\n", 4: ""}
+    spans = {1: 0, 2: 5, 3: 1, 4: 1}
+    assert got == {d: (len(t) - len(kept[d]), spans[d], hashlib.sha256(kept[d].encode()).hexdigest()) for d, t in rows}
+
+
+def test_exact_copies_keep_no_word(spark):
+    rows = [(i, t) for i, t in texts() if i in (1, 2, 11, 12, 16)]
+    rows += [(i + 1000, t) for i, t in rows]
+    seen = set()
+    for row in units.dedup_units(frame(spark, rows), whole_lines=True).orderBy("doc_id").collect():
+        text = dict(rows)[row.doc_id]
+        assert text not in seen or row.doc_id < 1000 or not units.WORD.findall(row.kept)
+        seen.add(text)

@@ -78,7 +78,7 @@ def op8_embedding_near_dedup(spark, sf_dir):
 
 
 def op9_substring_dedup(spark, sf_dir):
-    found = units.dedup_units(table(spark, sf_dir, "documents"))
+    found = units.dedup_units(table(spark, sf_dir, "documents"), whole_lines=True)
     return found.select("doc_id", "n_chars", "n_removed", "n_spans", "kept_sha256")
 
 

@@ -17,13 +17,15 @@ SENTENCE = re.compile(r"[^\n]*?(?:(?:[.!?]|[^\w\s]{2})[^\w\s]*(?=\s|$)|$|(?=\n))
 WORD = re.compile(r"\w+")
 
 
-def units_of(text: str | None, min_words: int) -> list[tuple[int, int, str]]:
+def units_of(text: str | None, min_words: int, whole_lines: bool = False) -> list[tuple[int, int, str]]:
     """``(start, end, normalised)`` of the units of a text, in code points.
 
     A unit is a sentence, or as many short ones after each other in a line as
     make ``min_words`` words: two copies of a passage have the same units from
     their first common unit end on.  What is left over at the end of a line is
     too short to tell copies by, unless it is the whole line and has two words.
+    With ``whole_lines`` what is left over is told by its whole line: its unit
+    has the offsets of the rest and the words of the line.
     Normalised: lower-case words alone, one space between.
     """
     out: list[tuple[int, int, str]] = []
@@ -41,18 +43,20 @@ def units_of(text: str | None, min_words: int) -> list[tuple[int, int, str]]:
             out.append((start, m.end(), " ".join(words).lower()))
             words = []
         elif ends:
+            if words and whole_lines:
+                out.append((start, m.end(), " ".join(WORD.findall(body[line : m.end()])).lower()))
             words = []
     return out
 
 
-def _unit_rows(min_words: int):
+def _unit_rows(min_words: int, whole_lines: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
             source, start, end, digest = [], [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
-                for a, b, unit in units_of(text, min_words):
+                for a, b, unit in units_of(text, min_words, whole_lines):
                     source.append(i)
                     start.append(a)
                     end.append(b)
@@ -81,20 +85,22 @@ def _cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]
 RESULT = "n_chars long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>, kept string"
 
 
-def dedup_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 6) -> DataFrame:
+def dedup_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 6, whole_lines: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, n_removed, n_spans, kept_sha256, spans, kept.
 
     Units are lines, cut further at sentence ends (see ``units_of``); equal
     normalised units are copies wherever they are.  The earliest (by
     document id, text hash and offset) stays, all others are removed; ``spans``
-    are the removed units' code-point offsets in the input.
+    are the removed units' code-point offsets in the input.  With
+    ``whole_lines`` a copied line loses all its words, those after its last
+    unit and a single one too.
 
     Null text counts as empty; a null id comes first.  Rows that repeat both id
     and text count as one document: neither is a copy of the other.
     """
     id_type = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(col(doc_id).alias("doc_id"), text_hash(col(text)).alias("th"), col(text).alias("text"))
-    units = rows.mapInArrow(_unit_rows(min_words), f"doc_id {id_type}, th long, start int, end int, c1 long, c2 long")
+    units = rows.mapInArrow(_unit_rows(min_words, whole_lines), f"doc_id {id_type}, th long, start int, end int, c1 long, c2 long")
     units = stage_table(units, "units")
     place = F.struct("doc_id", "th", "start")
     often = units.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2")
