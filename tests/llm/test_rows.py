@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -208,6 +208,21 @@ def test_language_of_awkward_rows(spark):
     assert {r[0].lang for r in docs.select(langid.predict_column(nothing, F.col("text"))).collect()} == {"und"}
 
 
+def test_every_language_keeps_several_centroids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs)
+    assert set(Counter(model.lang).values()) == {4}
+    near = np.argmax(langid.vectors([r.text for r in docs.collect()], model.idf) @ model.centroid.T, axis=1)
+    assert len(set(near)) == len(model.lang)  # and each is some text's nearest
+
+
+def test_clusters_of_few_or_equal_vectors():
+    x = langid._unit(np.random.default_rng(6).random((200, 16)).astype(np.float32))
+    assert len(langid._centres(x, 4, 8)) == 4
+    assert len(langid._centres(x[:3], 4, 8)) == 3
+    assert len(langid._centres(np.repeat(x[:1], 50, axis=0), 4, 8)) == 1
+
+
 # ---- packing -----------------------------------------------------------------
 
 

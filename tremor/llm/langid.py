@@ -69,18 +69,7 @@ def _cluster(idf: np.ndarray, clusters: int, rounds: int, quantile: float, slack
         x = x[np.linalg.norm(x, axis=1) > 0]
         if not len(x):
             return pd.DataFrame({"lang": [], "centroid": [], "least": []})
-        # Start at the mean, then at vectors far from those chosen: not the farthest,
-        # an outlier, but one that a tenth of the sample lies beyond.
-        centre = [x.mean(axis=0)]
-        while len(centre) < min(clusters, len(x)):
-            centre.append(x[np.argsort(np.max(x @ _unit(np.stack(centre)).T, axis=1), kind="stable")[len(x) // 10]])
-        c = _unit(np.stack(centre))
-        for step in range(2 * rounds):
-            if step == rounds:  # clusters of a few odd texts would attract other languages' odd texts
-                size = np.bincount(np.argmax(x @ c.T, axis=1), minlength=len(c))
-                c = c[size >= min(0.05 * len(x), size.max())]
-            near = np.argmax(x @ c.T, axis=1)
-            c = _unit(np.stack([x[near == k].mean(axis=0) if (near == k).any() else c[k] for k in range(len(c))]))
+        c = _centres(x, clusters, rounds)
         cosine, near = np.max(x @ c.T, axis=1), np.argmax(x @ c.T, axis=1)
         least = [slack * float(np.quantile(cosine[near == k], quantile)) if (near == k).any() else 0.0 for k in range(len(c))]
         return pd.DataFrame({"lang": [rows["lang"][0]] * len(c), "centroid": list(c.astype(np.float64)), "least": least})
@@ -88,6 +77,47 @@ def _cluster(idf: np.ndarray, clusters: int, rounds: int, quantile: float, slack
     return run
 
 
+def _centres(x: np.ndarray, clusters: int, rounds: int) -> np.ndarray:
+    """Spherical k-means of unit vectors: the largest cluster is split until there are ``clusters``.
+
+    A cluster holds a twentieth of the vectors at least: those of a few odd
+    texts would attract other languages' odd texts.  There are fewer only where
+    the vectors are too few or all the same.
+    """
+    least = max(1, math.ceil(0.05 * len(x)))
+    label, n = np.zeros(len(x), dtype=np.int64), 1
+    while n < clusters:
+        for k in np.argsort(-np.bincount(label), kind="stable"):
+            at = np.flatnonzero(label == k)
+            half = _far_half(x[at]) if len(at) >= 2 * least else None
+            if half is not None:
+                label[at[half]] = n
+                break
+        else:
+            break
+        n += 1
+        for _ in range(rounds):
+            near = np.argmax(x @ _means(x, label, n).T, axis=1)
+            if np.bincount(near, minlength=n).min() < least or (near == label).all():
+                break
+            label = near
+    return _means(x, label, n)
+
+
+def _means(x: np.ndarray, label: np.ndarray, n: int) -> np.ndarray:
+    return _unit(np.stack([x[label == k].mean(axis=0) for k in range(n)]))
+
+
+def _far_half(x: np.ndarray) -> np.ndarray | None:
+    """The half of the vectors that lies farther along their main direction; none if all are the same."""
+    apart = (x - x.mean(axis=0)).astype(np.float64)
+    value, vector = np.linalg.eigh(apart @ apart.T)
+    if value[-1] < 1e-6:
+        return None
+    along = vector[:, -1] * np.sign(vector[np.argmax(np.abs(vector[:, -1])), -1])
+    return np.argsort(along, kind="stable")[len(x) // 2 :]
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
