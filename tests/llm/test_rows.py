@@ -140,6 +140,28 @@ def test_limits_keep_the_share_of_ordinary_tokens():
     assert dict(zip(out["encoding"], out["least"])) == {"hex": 0, "base64": 1}
 
 
+def test_a_token_alone_in_its_class_takes_the_limit_of_a_pool():
+    flat = [("hex", 5, b, 100) for b in range(200)]
+    alone = [("hex", 6, 30, 1), ("base64", 5, 20, 1), ("lower36", 4, 0, 1)]
+    least = lambda rows: {(e, c): b for e, c, b in secretscan.limits(pd.DataFrame(rows, columns=["encoding", "class", "bin", "n"]), 0.05).itertuples(index=False)}
+    assert least(flat + alone) == {("hex", 5): 0, ("hex", 6): 1, ("base64", 5): 1, ("lower36", 4): 1}
+    assert set(least(alone).values()) == {10}
+
+
+def test_one_secret_in_each_class_is_found(spark):
+    rng, rows = random.Random(12), []
+    for encoding in ("hex", "HEX", "base32", "base62", "base64", "base64url"):
+        for n in (24, 50, 100):
+            p = 1.0
+            while not 0.05 <= p < 0.5:  # lost before
+                token = "".join(rng.choice(secretscan.ALPHABETS[encoding]) for _ in range(n))
+                p = secretscan.randomness(token, encoding) if secretscan.encoding_of(token) == encoding else 1.0
+            rows.append((len(rows), f"one {token} here"))
+    rows.append((900, f"an {'abc123' * 6} id"))
+    got = {r.doc_id: [s.kind for s in r.spans].count("random") for r in secretscan.scan_secrets(frame(spark, rows)).collect()}
+    assert got == {i: int(i != 900) for i, _ in rows}
+
+
 # ---- tokens ------------------------------------------------------------------
 
 

@@ -11,7 +11,9 @@ ordinary token among them.  In each length class of an encoding, random tokens
 put the same share into every p-value bin; the upper half's bins tell how many
 random tokens there are, what lies above that in the bins from a limit on is
 the estimate of ordinary ones.  The limit is the smallest one at which their
-share is at most ``fdr``.
+share is at most ``fdr``.  A class of few tokens takes the limit of its whole
+encoding, or of all tokens where these are few, but not the first bin, where
+ordinary tokens are; in a corpus of few tokens the limit is the p-value ``fdr``.
 """
 
 import math
@@ -45,6 +47,7 @@ ALPHABETS = {
 }
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 BINS = 200
+FEW = 100  # fewer tokens tell nothing of the share of random ones
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -121,17 +124,27 @@ def _scan(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base", "tokens"])
 
 
+def _limit(counts: np.ndarray, fdr: float) -> int:
+    random_in_bin = counts[BINS // 2 :].sum() / (BINS - BINS // 2)
+    above = counts[::-1].cumsum()[::-1]
+    ordinary = np.maximum(0, above - random_in_bin * np.arange(BINS, 0, -1))
+    fine = (above > 0) & (ordinary <= fdr * above)
+    return int(np.argmax(fine)) if fine.any() else BINS
+
+
 def limits(bins: pd.DataFrame, fdr: float) -> pd.DataFrame:
     """For each encoding and length class the first p-value bin that is reported (BINS: none)."""
-    out = []
-    for (encoding, size), part in bins.groupby(["encoding", "class"]):
-        counts = np.zeros(BINS)
-        counts[part["bin"].to_numpy()] = part["n"].to_numpy()
-        random_in_bin = counts[BINS // 2 :].sum() / (BINS - BINS // 2)
-        above = counts[::-1].cumsum()[::-1]
-        ordinary = np.maximum(0, above - random_in_bin * np.arange(BINS, 0, -1))
-        fine = (above > 0) & (ordinary <= fdr * above)
-        out.append((encoding, size, int(np.argmax(fine)) if fine.any() else BINS))
+    count = lambda part: np.bincount(part["bin"], weights=part["n"], minlength=BINS)
+    out, every = [], count(bins)
+    for encoding, of_encoding in bins.groupby("encoding"):
+        for size, of_class in of_encoding.groupby("class"):
+            own, pools = count(of_class), (count(of_encoding), every)
+            if own.sum() >= FEW:
+                least = _limit(own, fdr)
+            else:
+                counts = next((c for c in pools if c.sum() >= FEW), None)
+                least = math.ceil(fdr * BINS) if counts is None else max(1, _limit(counts, fdr))
+            out.append((encoding, size, least))
     return pd.DataFrame(out, columns=["encoding", "class", "least"])
 
 
