@@ -155,6 +155,16 @@ def test_lines_oracle(spark):
     assert rows_of(got, *names) == sorted(want.fetchall(), key=repr)
 
 
+@pytest.mark.parametrize("least,level", [(1, 0), (2, 1), (5, 2)])
+def test_lines_are_doubled_as_far_as_they_are_read(spark, monkeypatch, least, level):
+    made, doubling = [], lines.prefix_doubling
+    monkeypatch.setattr(lines, "prefix_doubling", lambda *a: made.append(doubling(*a)) or made[-1])
+    rows = [(i, "\n".join(f"line {k}" for k in range(20))) for i in range(3)]
+    got = lines.dedup_lines(frame(spark, rows), min_lines=least).collect()
+    assert sorted((r.doc_id, r.line_dedup.n_runs, r.line_dedup.longest_run) for r in got) == [(0, 0, 0), (1, 1, 20), (2, 1, 20)]
+    assert {r.level for r in made[0].intervals.collect()} == set(range(level + 1))
+
+
 # ---- units -------------------------------------------------------------------
 
 
