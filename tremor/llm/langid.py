@@ -110,11 +110,14 @@ def _means(x: np.ndarray, label: np.ndarray, n: int) -> np.ndarray:
 
 def _far_half(x: np.ndarray) -> np.ndarray | None:
     """The half of the vectors that lies farther along their main direction; none if all are the same."""
-    apart = (x - x.mean(axis=0)).astype(np.float64)
-    value, vector = np.linalg.eigh(apart @ apart.T)
-    if value[-1] < 1e-6:
+    mean = x.mean(axis=0)
+    axis = x[np.argmin(x @ mean)] - mean
+    if np.linalg.norm(axis) < 1e-3:
         return None
-    along = vector[:, -1] * np.sign(vector[np.argmax(np.abs(vector[:, -1])), -1])
+    for _ in range(30):  # power iteration, without a copy of the sample
+        along = x @ axis - mean @ axis
+        axis = _unit((along @ x - along.sum() * mean)[None])[0]
+    along = x @ axis
     return np.argsort(along, kind="stable")[len(x) // 2 :]
 
 
