@@ -3,12 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import decontam, langid, lines, packing, secretscan, simhash, suffixes, tokens, units, vectors
+from tremor.llm import decontam, divergence, infill, langid, lines, oracle, packing, placement, secretscan, simhash, suffixes, tokens, units, vectors
 
-# The public vocabularies for packing and for counts, the shortest run of lines deleted.
+# The public vocabularies for packing and for counts, the shortest run of lines deleted,
+# the number of shards.
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 MIN_LINES = 2
+SHARDS = 16
 
 
 def vocabulary(name: str) -> str:
@@ -91,6 +93,31 @@ def op10_language_id(spark, sf_dir):
     )
 
 
+def op11_sharding(spark, sf_dir):
+    tree = placement.even_tree(SHARDS, regions=4, racks=2)
+    found = placement.place(table(spark, sf_dir, "documents"), tree, grown=tree.grown())
+    return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = infill.infill(docs, out="r").select("doc_id", "r.*")
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored_column(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_divergence(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("text", "lang", "source")
+    return divergence.audit(docs, least_docs=3, ranks=200)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,11 +131,13 @@ QUERIES = {
         op8_embedding_near_dedup,
         op9_substring_dedup,
         op10_language_id,
+        op11_sharding,
+        op12_fill_in_middle,
+        op13_divergence,
     )
 }
 
-# Line dedup is the one operator whose whole result SQL can state: windows of
-# MIN_LINES non-blank lines that occur at an earlier place cover what goes.
+# Line dedup: windows of MIN_LINES non-blank lines that occur at an earlier place cover what goes.
 ORACLE_SQL = {
     "op2_line_dedup": """
 WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
@@ -129,4 +158,5 @@ SELECT o.doc_id, coalesce(len(string_split(o.text, chr(10))), 0)::BIGINT AS n_li
   coalesce(p.n_runs, 0) AS n_runs, coalesce(p.longest_run, 0) AS longest_run, sha256(coalesce(k.t, '')) AS kept_sha256
 FROM documents o LEFT JOIN per p ON o.doc_id = p.doc_id AND o.text = p.text LEFT JOIN kept k ON o.doc_id = k.doc_id AND o.text = k.text
 """,
+    **oracle.ORACLE_SQL,
 }
