@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tremor.functions import geo as G
-from tremor.operators import geo
+from tremor.operators import cells, geo
 
 
 def hav_km(a, b, c, d):
@@ -138,8 +138,7 @@ def test_clusters_sum_to_all_rows(spark):
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
-def test_both_join_strategies_agree(spark, threshold, monkeypatch):
-    monkeypatch.setattr(geo, "PAIRS_PER_TASK", 50)
+def test_both_join_strategies_agree(spark, threshold):
     rng = random.Random(5)
     events = [(f"e{i:03d}", rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(200)]
     events += [(f"z{i:03d}", 1.0, 1.0) for i in range(50)]
@@ -200,17 +199,30 @@ def swarm_events(n, rng):
     return out + [("far", -70.0, -120.0), ("pole", 90.0, 0.0)]
 
 
-@pytest.mark.parametrize("local", [0, 100_000])
-def test_swarms_and_far_points(spark, local, monkeypatch):
-    monkeypatch.setattr(geo, "LOCAL_CELLS", local)
+@pytest.mark.parametrize("shared", [0, 100_000])
+@pytest.mark.parametrize("leaf", [3, 64])
+def test_swarms_and_far_points(spark, shared, leaf, monkeypatch):
+    """Grids in memory and as joins, base cells opened or not: always the brute-force answer."""
+    monkeypatch.setattr(cells, "SHARED_CELLS", shared)
+    monkeypatch.setattr(cells, "LEAF", leaf)
     rng = random.Random(13)
-    events = swarm_events(6000, rng)
+    events = swarm_events(6000, rng) + [(f"hot{i}", 10.0, 10.0) for i in range(500)]
     points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(20)] + [(90, 10.0, 10.0), (91, -33.1, 151.2), (92, -80.0, -100.0)]
     p, e = frames(spark, points, events)
-    assert {r.point_id: r.ID for r in geo.nearest(p, e).collect()} == brute(points, events, hav_km)
-
-
-def test_search_reads_the_events_twice_and_leaves_most_of_them(spark, tmp_path):
+    index = cells.build_index(e, "Latitude", "Longitude")
+    assert bool(index.stored) == (shared == 0) and index.hot is not None
+    assert index.levels == [*cells.LEVELS, *cells.DEEP]
+    got = {r.point_id: (r.ID, r.Latitude) for r in geo.nearest(p, e).collect()}
+    want = brute(points, events, hav_km)
+    assert {k: v[0] for k, v in got.items()} == want and got[90][1] == 10.0
+    some = geo.nearest(p.where("point_id >= 90"), e, metric="geodesic").collect()
+    assert {r.point_id: r.ID for r in some} == {90: "hot0", 91: want[91], 92: "far"}
+
+
+@pytest.mark.parametrize("leaf,times", [(1024, 2), (64, 3)])
+def test_search_reads_the_events_twice_and_leaves_most_of_them(spark, tmp_path, monkeypatch, leaf, times):
+    """Once for the cells, once for the pairs, and once more only where base cells are opened."""
+    monkeypatch.setattr(cells, "LEAF", leaf)
     rng = random.Random(17)
     points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(10)]
     p, e = frames(spark, points, swarm_events(20_000, rng))
@@ -226,21 +238,38 @@ def test_search_reads_the_events_twice_and_leaves_most_of_them(spark, tmp_path):
 
     counted = ev.mapInPandas(seen, ev.schema)
     geo.nearest(p, counted).collect()
-    assert reads.value == 2 * ev.count()
-    pyramid = geo.build_pyramid(ev, "Latitude", "Longitude")
-    rid = p.selectExpr("point_id", "latitude as _plat", "longitude as _plon")
-    cand = geo.near_candidates(rid, pyramid, 1.0)
-    assert cand.selectExpr("sum(_events)").first()[0] < 0.2 * len(points) * ev.count()
+    assert reads.value == times * ev.count()
+    index = cells.build_index(ev, "Latitude", "Longitude")
+    cand = cells.candidates(p.selectExpr("point_id", "latitude as _plat", "longitude as _plon"), index, 1.0)
+    assert cand.selectExpr("sum(_n)").first()[0] < 0.01 * len(points) * ev.count()
+
+
+@pytest.mark.parametrize("spread", [0.3, 60.0])
+def test_pairs_per_point_do_not_grow_with_the_events(spark, spread):
+    """A hundred times the events, as swarms or all over the globe: pairs per point stay below the same bound."""
+    pairs = []
+    for n in (20_000, 2_000_000):
+        events = spark.range(n, numPartitions=4).selectExpr(
+            "cast(id as string) as ID", f"10 + randn(1) * {spread} / 2 as Latitude", f"20 + randn(2) * {spread} as Longitude"
+        ).where("Latitude between -90 and 90 and Longitude between -180 and 180")
+        points = spark.range(300).selectExpr("id as point_id", f"10 + randn(3) * {spread} / 2 as _plat", f"20 + randn(4) * {spread} as _plon")
+        index = cells.build_index(events, "Latitude", "Longitude")
+        cand = cells.candidates(points.where("_plat between -90 and 90 and _plon between -180 and 180"), index, 1.0)
+        pairs.append(cand.selectExpr("sum(_n) / count(distinct _rid)").first()[0])
+    print("pairs per point", spread, pairs)
+    assert max(pairs) < 2 * cells.LEAF
 
 
 def test_dense_cells_are_opened(spark):
-    """A swarm of distinct positions is cut down to cells of bounded size."""
+    """A swarm of distinct positions is cut down to leaves of bounded size, one for each position."""
     rng = random.Random(19)
-    events = [(f"e{i:05d}", 10 + rng.gauss(0, 0.3), 10 + rng.gauss(0, 0.3)) for i in range(20_000)]
+    events = [(f"e{i:05d}", 10 + rng.gauss(0, 0.003), 10 + rng.gauss(0, 0.003)) for i in range(20_000)]
     _, e = frames(spark, [(1, 0.0, 0.0)], events)
-    pyramid = geo.build_pyramid(e, "Latitude", "Longitude")
-    leaves = [int(n) for cells in pyramid.values() for n, leaf in zip(cells["n"], cells["leaf"]) if leaf]
-    assert sum(leaves) == len(events) and max(leaves) <= 1024
+    index = cells.build_index(e, "Latitude", "Longitude")
+    placed = cells.leaves_of(cells.with_unit(e, "Latitude", "Longitude"), index)
+    leaves = placed.groupBy("_level", "_cell").count().collect()
+    assert sum(r["count"] for r in leaves) == len(events) and max(r["count"] for r in leaves) <= cells.LEAF
+    assert {r._level for r in leaves} == {cells.LEVELS[-1], cells.DEEP[-1]}
 
 
 def test_few_points_many_events(spark):

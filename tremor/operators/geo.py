@@ -1,57 +1,29 @@
 """Spatial operators: nearest event, nearest place, map-tile clusters.
 
-Nearest search reads the events twice.  Positions become unit-sphere vectors
-(no seam at +-180 degrees or at the poles) and fall into cubic cells.
-
-1. One aggregate over the events: occupied cells of the finest grid, each with
-   its count and the position of one of its events.  Its result is a scratch
-   table; coarser grids are rolled up from it.  A cell with more than
-   ``max(1024, events / 1000)`` events is opened into the cells of the next
-   grid, so dense regions are cut finely and the pyramid has at most a few
-   hundred thousand cells whatever the input (``MAX_PYRAMID``, checked).
-2. Each point descends the pyramid (branch and bound): the nearest of the
-   cells' positions is an upper bound, the distance to a cell's cube a lower
-   one, and the leaves within the bound are the point's candidates.
-3. One equi-join of the candidates with the events' cells, and one aggregate
-   per point.  The planner broadcasts the candidates if their true size is
-   below its threshold and shuffles both sides otherwise, into a number of
-   partitions that follows the estimated work; it splits skewed cells.
-
-No step pairs a point with all events unless they all lie within its bound.
+Nearest search reads the events twice: once for the cell index (see
+``operators.cells``), once to join the events of the candidate leaves with the
+points.  An event has one leaf and travels once; the planner broadcasts the
+candidates if their true size is below its threshold and shuffles both sides
+otherwise, splitting skewed leaves.  No step pairs a point with all events
+unless they all lie within its bound.
 """
 
 from __future__ import annotations
 
-import math
-import sys
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tremor.functions import display
 from tremor.functions import geo as G
 from tremor.functions.agg import mean
-from tremor.scratch import drop_scratch, scratch_table
+from tremor.operators import cells
+from tremor.operators.cells import known as _known
+from tremor.scratch import scratch_table
 
 # The ratio of a path's length on the ellipsoid and on the sphere lies between
 # b^2 / (a R) = 0.99442 and a^2 / (b R) = 1.00449, so the nearest event on the
 # ellipsoid is at most their quotient farther on the sphere than the nearest there.
 GEODESIC_MARGIN = 1.0102
-# Grids: 2^level cells along each axis of the cube [-1, 1]^3.  The finest has
-# cells of 0.8 km.
-LEVELS = (4, 7, 10, 13)
-MAX_PYRAMID = 400_000
-LOCAL_CELLS = 100_000
-# Chords are compared with this slack, far above their rounding errors and
-# above the rounding of distances that ties are decided on.
-SLACK = 1e-9
-PAIRS_PER_TASK = 2_000_000
 
 
 def _round_km(km, places: int):
@@ -61,175 +33,6 @@ def _round_km(km, places: int):
     return F.round(km * F.lit(scale), 0) / F.lit(scale)
 
 
-def _known(lat: str, lon: str) -> Column:
-    """Both coordinates are there: neither null nor NaN nor infinite."""
-    at = F.abs(F.col(lat)) + F.abs(F.col(lon))
-    return at.isNotNull() & ~F.isnan(at) & (at < F.lit(float("inf")))
-
-
-def _cell(level: int) -> Column:
-    """The cell of a unit vector ``_x, _y, _z``: its three places as one number."""
-    n = 1 << level
-    i = [F.least(F.floor((F.col(f"_{a}") + 1.0) * (n / 2)).cast("long"), F.lit(n - 1)) for a in "xyz"]
-    return F.shiftleft(i[0], 2 * level) + F.shiftleft(i[1], level) + i[2]
-
-
-def _parent(cell: Column, level: int, up: int) -> Column:
-    mask = (1 << level) - 1
-    i = [F.shiftright(cell, 2 * level), F.shiftright(cell, level).bitwiseAND(F.lit(mask)), cell.bitwiseAND(F.lit(mask))]
-    i = [F.shiftright(x, level - up) for x in i]
-    return F.shiftleft(i[0], 2 * up) + F.shiftleft(i[1], up) + i[2]
-
-
-def _with_unit(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    x, y, z = G.unit_xyz(lat, lon)
-    return df.withColumns({"_x": x, "_y": y, "_z": z})
-
-
-def _parent_np(cell: np.ndarray, level: int, up: int) -> np.ndarray:
-    mask = (1 << level) - 1
-    i = [x >> (level - up) for x in (cell >> (2 * level), (cell >> level) & mask, cell & mask)]
-    return (i[0] << (2 * up)) + (i[1] << up) + i[2]
-
-
-def _local_grids(finest: pd.DataFrame) -> dict[int, pd.DataFrame]:
-    """All grids of a small table of finest cells, rolled up in place."""
-    grids = {LEVELS[-1]: finest}
-    for fine, level in zip(LEVELS[::-1], LEVELS[-2::-1]):
-        cells = grids[fine].assign(cell=_parent_np(grids[fine]["cell"].to_numpy(np.int64), fine, level))
-        grids[level] = cells.groupby("cell", as_index=False).agg(n=("n", "sum"), _x=("_x", "first"), _y=("_y", "first"), _z=("_z", "first"))
-    return grids
-
-
-def _stored_grids(finest: DataFrame) -> dict[int, DataFrame]:
-    grids = {LEVELS[-1]: finest}
-    for fine, level in zip(LEVELS[::-1], LEVELS[-2::-1]):
-        one = [F.first(c).alias(c) for c in ("_x", "_y", "_z")]
-        up = grids[fine].groupBy(_parent(F.col("cell"), fine, level).alias("cell")).agg(F.sum("n").alias("n"), *one)
-        grids[level] = scratch_table(up, "cells")
-    return grids
-
-
-def _children_of(grid, opened: list[int] | None, level: int, above: int | None) -> pd.DataFrame:
-    """Cells of a grid with their parents, those of the ``opened`` parents only (None: all)."""
-    if isinstance(grid, pd.DataFrame):
-        if opened is None:
-            return grid.assign(parent=-1)
-        parent = _parent_np(grid["cell"].to_numpy(np.int64), level, above)
-        return grid.assign(parent=parent)[np.isin(parent, opened)]
-    if opened is None:
-        cells = grid.withColumn("parent", F.lit(-1).cast("long"))
-    else:
-        keys = grid.sparkSession.createDataFrame([(k,) for k in opened], "parent long")
-        cells = grid.withColumn("parent", _parent(F.col("cell"), level, above)).join(keys, "parent")
-    return cells.limit(MAX_PYRAMID + 1).toPandas()
-
-
-def build_pyramid(events: DataFrame, lat: str, lon: str, most: int = 1024) -> dict[int, pd.DataFrame]:
-    """Cells by level: key, parent, leaf, n, and an event's unit vector.  Empty if there are no events.
-
-    A table of at most ``LOCAL_CELLS`` occupied cells is rolled up where it is
-    read, a larger one by Spark; the pyramid is the same.
-    """
-    ev = _with_unit(events.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")), "_lat", "_lon")
-    one = [F.first(c).alias(c) for c in ("_x", "_y", "_z")]  # all of the same event
-    finest = scratch_table(ev.groupBy(_cell(LEVELS[-1]).alias("cell")).agg(F.count(F.lit(1)).alias("n"), *one), "cells")
-    head = finest.limit(LOCAL_CELLS + 1).toPandas()
-    grids = _local_grids(head) if len(head) <= LOCAL_CELLS else _stored_grids(finest)
-    opened, limit, pyramid = None, None, {}
-    for above, level in zip((None, *LEVELS), LEVELS):
-        found = _children_of(grids[level], opened, level, above)
-        if len(found) + sum(map(len, pyramid.values())) > MAX_PYRAMID:
-            raise RuntimeError(f"more than {MAX_PYRAMID} cells in the pyramid")
-        if limit is None:
-            limit = max(most, int(found["n"].sum()) // 1000)
-        pyramid[level] = found.assign(leaf=(found["n"] <= limit) | (level == LEVELS[-1]))
-        opened = [int(k) for k in pyramid[level].loc[~pyramid[level]["leaf"], "cell"]]
-        if not opened:
-            break
-    drop_scratch(finest, *[g for g in grids.values() if isinstance(g, DataFrame) and g is not finest])
-    return {level: cells for level, cells in pyramid.items() if len(cells)}
-
-
-def _boxes(cells: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = (1 << level) - 1
-    i = np.stack([cells >> (2 * level), (cells >> level) & mask, cells & mask], axis=1)
-    side = 2.0 / (1 << level)
-    return i * side - 1.0, (i + 1) * side - 1.0
-
-
-class Descent:
-    """Branch and bound over a pyramid: the leaves that can hold a point's nearest event."""
-
-    def __init__(self, pyramid: dict[int, pd.DataFrame], margin: float):
-        self.margin, self.grids, self.children = margin, {}, {}
-        for level, cells in pyramid.items():
-            key = cells["cell"].to_numpy(np.int64)
-            low, high = _boxes(key, level)
-            self.grids[level] = (key, low, high, cells[["_x", "_y", "_z"]].to_numpy(float), cells["leaf"].to_numpy(bool), cells["n"].to_numpy(np.int64))
-            order = np.argsort(cells["parent"].to_numpy(), kind="stable")
-            parent, first = np.unique(cells["parent"].to_numpy()[order], return_index=True)
-            self.children[level] = dict(zip(parent.tolist(), np.split(order, first[1:]), strict=True))
-
-    def reach(self, chord: float) -> float:
-        """The chord within which the nearest event must lie, given an event at ``chord``."""
-        angle = 2 * math.asin(min(1.0, chord / 2)) * self.margin
-        return 2 * math.sin(min(angle, math.pi) / 2) + SLACK
-
-    def leaves(self, p: np.ndarray) -> tuple[list[tuple[int, int, int]], float]:
-        """``(level, cell, events)`` of the candidates and the final reach."""
-        best, found, todo = 4.0, [], [-1]
-        for level, (key, low, high, at, leaf, n) in self.grids.items():
-            rows = np.concatenate([self.children[level].get(k, np.zeros(0, np.int64)) for k in todo]).astype(np.int64)
-            gap = np.maximum(np.maximum(low[rows] - p, p - high[rows]), 0.0)
-            near = np.sqrt((gap * gap).sum(axis=1))
-            best = min(best, float(np.sqrt(((at[rows] - p) ** 2).sum(axis=1)).min(initial=4.0)))
-            reach = self.reach(best)
-            rows, near = rows[near <= reach], near[near <= reach]
-            end = leaf[rows]
-            found += [(level, int(key[r]), int(n[r]), d) for r, d in zip(rows[end], near[end], strict=True)]
-            todo = key[rows[~end]].tolist()
-            if not todo:
-                break
-        reach = self.reach(best)
-        return [(level, cell, n) for level, cell, n, d in found if d <= reach], reach
-
-
-def _candidates(points: DataFrame, pyramid: dict[int, pd.DataFrame], margin: float) -> DataFrame:
-    """One row per candidate leaf of a point, one without a leaf for a point whose position is missing.
-
-    ``points``: key columns, then ``_plat`` and ``_plon``.  Adds ``_rid``, a number
-    for each point, ``_reach``, ``_level``, ``_cell`` and ``_events``.
-    """
-    shared = points.sparkSession.sparkContext.broadcast(pyramid)  # at most MAX_PYRAMID cells
-    columns = points.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        descent = Descent(shared.value, margin)
-        for batch in batches:
-            at, found = [], []
-            for k, p in enumerate(np.stack([batch.column(f"_{a}").to_numpy() for a in "xyz"], axis=1)):
-                rows = [(None, None, None, None)]
-                if np.isfinite(p).all():
-                    leaves, reach = descent.leaves(p)
-                    rows = [(reach, *leaf) for leaf in leaves]
-                at += [k] * len(rows)
-                found += rows
-            if found:
-                reach, level, cell, n = zip(*found, strict=True)
-                table = pa.Table.from_batches([batch]).take(pa.array(at)).select([*columns, "_rid"])
-                added = {"_reach": (reach, pa.float64()), "_level": (level, pa.int32()), "_cell": (cell, pa.int64()), "_events": (n, pa.int64())}
-                for name, (values, kind) in added.items():
-                    table = table.append_column(name, pa.array(values, kind))
-                yield from table.to_batches()
-
-    known = _known("_plat", "_plon")
-    placed = _with_unit(points.withColumn("_rid", F.monotonically_increasing_id()), "_plat", "_plon")
-    placed = placed.withColumns({a: F.when(known, F.col(a)).otherwise(F.lit(float("nan"))) for a in ("_x", "_y", "_z")})
-    fields = [*points.schema.fields, *StructType.fromDDL("_rid long, _reach double, _level int, _cell long, _events long").fields]
-    return placed.mapInArrow(run, StructType(fields))
-
-
 def nearest(
     points: DataFrame,
     events: DataFrame,
@@ -265,18 +68,18 @@ def nearest(
     ev = events.select(*columns).where(_known(event_lat, event_lon))
     kinds = {f.name: f.dataType for f in ev.schema.fields}
     nothing = [F.lit(None).cast(kinds[c]).alias(c) for c in columns] + [F.lit(None).cast("double").alias("km")]
-    pyramid = build_pyramid(ev, event_lat, event_lon)
-    if not pyramid:
+    index = cells.build_index(ev, event_lat, event_lon)
+    if index.empty:
         return pts.select(*keys, *nothing)
 
-    margin = GEODESIC_MARGIN if metric == "geodesic" else 1.0
-    cand = near_candidates(pts, pyramid, margin)
-    pairs = candidate_pairs(cand, ev, sorted(pyramid), columns, event_lat, event_lon)
+    cand = cells.candidates(pts, index, GEODESIC_MARGIN if metric == "geodesic" else 1.0)
+    pairs = candidate_pairs(cand, ev, index, columns, event_key, event_lat, event_lon)
+    index.drop()
     km = F.col("_hkm")
     if metric == "geodesic":
         # Of events at one position only the first can be the answer.
         at = ["_rid", event_lat, event_lon]
-        first = F.min_by(F.struct(*[c for c in pairs.columns if c not in at]), event_key).alias("_f")
+        first = F.min_by(F.struct(*[c for c in pairs.columns if c not in at]), F.struct(event_key)).alias("_f")
         pairs = scratch_table(pairs.groupBy(*at).agg(first).select(*at, "_f.*"), "pairs")
         limit = pairs.groupBy("_rid").agg((F.min("_hkm") * GEODESIC_MARGIN + 1e-6).alias("_lim"))
         pairs = pairs.join(limit, "_rid").where("_hkm <= _lim")
@@ -287,32 +90,21 @@ def nearest(
     order = F.struct("km", event_key, event_lat, event_lon)
     best = F.min_by(F.struct(*columns, "km"), order).alias("_b")
     answered = pairs.groupBy("_rid").agg(*[F.first(k).alias(k) for k in keys], best).select(*keys, "_b.*")
-    return answered.unionByName(cand.where("_level is null").select(*keys, *nothing))
-
+    return answered.unionByName(cand.where("_cell is null").select(*keys, *nothing))
 
-def near_candidates(points: DataFrame, pyramid: dict[int, pd.DataFrame], margin: float) -> DataFrame:
-    """``_candidates`` as a scratch table, dealt by leaf to tasks of about ``PAIRS_PER_TASK`` pairs."""
-    n = points.count()
-    spread = points.repartition(max(1, -(-n // 2000)))
-    cand = scratch_table(_candidates(spread, pyramid, margin), "candidates")
-    pairs = cand.agg(F.sum("_events")).first()[0] or 0
-    tasks = -(-pairs // PAIRS_PER_TASK)
-    return cand.repartition(tasks, "_level", "_cell") if tasks > 1 and not _small(cand) else cand
 
-
-def _small(table: DataFrame) -> bool:
-    """Below the size up to which the planner broadcasts a table."""
-    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return size <= limit
-
-
-def candidate_pairs(cand: DataFrame, ev: DataFrame, levels, columns, event_lat: str, event_lon: str) -> DataFrame:
+def candidate_pairs(cand: DataFrame, ev: DataFrame, index: cells.CellIndex, columns, event_key: str, event_lat: str, event_lon: str) -> DataFrame:
     """Events in the candidate leaves, within each point's reach, with the point's
     columns and the sphere distance ``_hkm``."""
-    keep = [c for c in cand.columns if c not in ("_reach", "_level", "_cell", "_events")]
-    cells = F.explode(F.array(*[F.struct(F.lit(v).alias("_level"), _cell(v).alias("_cell")) for v in levels]))
-    placed = _with_unit(ev, event_lat, event_lon).select(*columns, cells.alias("_c")).select(*columns, "_c._level", "_c._cell")
+    keep = [c for c in cand.columns if c not in ("_x", "_y", "_z", "_reach", "_level", "_cell", "_n", "_leaf")]
+    placed = cells.leaves_of(cells.with_unit(ev, event_lat, event_lon), index).select(*columns, "_level", "_cell")
+    if index.hot is not None:
+        # Dense cells: of the events at one position only the first can be an answer.
+        leaves = scratch_table(cand.where("_cell is not null").select("_level", "_cell").distinct(), "leaves")
+        near = placed.join(leaves, ["_level", "_cell"], "left_semi")
+        at = ["_level", "_cell", event_lat, event_lon]
+        first = F.min_by(F.struct(*[c for c in columns if c not in at]), F.struct(event_key)).alias("_f")
+        placed = near.groupBy(*at).agg(first).select(*at, "_f.*")
     pairs = placed.join(cand, ["_level", "_cell"])
     pairs = pairs.withColumn("_hkm", G.haversine_km("_plat", "_plon", event_lat, event_lon))
     within = 2 * F.sin(F.col("_hkm") / (2 * G.EARTH_RADIUS_KM)) <= F.col("_reach")
@@ -397,7 +189,3 @@ def year_markers(year_rows: DataFrame, places: DataFrame) -> DataFrame:
             F.col("label"),
         ).alias("popup"),
     )
-
-
-# The descent runs in tasks: its code travels by value, as ``functions.geo`` does.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

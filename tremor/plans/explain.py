@@ -61,7 +61,7 @@ def summarize(names: list[str]) -> dict:
 
 def nearest_parts(spark, sf_dir: str) -> dict:
     """The frames inside a nearest search, which the search itself runs as it is built."""
-    from tremor.operators import geo
+    from tremor.operators import cells, geo
     from tremor.plans import catalog
     from tremor.sources import fixture
     from pyspark.sql import functions as F
@@ -70,11 +70,11 @@ def nearest_parts(spark, sf_dir: str) -> dict:
     points = fixture.points(spark, sf_dir).select(
         "point_id", F.col("latitude").alias("_plat"), F.col("longitude").alias("_plon")
     )
-    pyramid = geo.build_pyramid(ev, "Latitude", "Longitude")
-    cand = geo.near_candidates(points, pyramid, 1.0)
+    index = cells.build_index(ev, "Latitude", "Longitude")
+    cand = cells.candidates(points, index, 1.0)
     return {
-        "nearest: candidates": geo._candidates(points, pyramid, 1.0),
-        "nearest: pairs": geo.candidate_pairs(cand, ev, sorted(pyramid), ["ID", "Latitude", "Longitude"], "Latitude", "Longitude"),
+        "nearest: candidates": cells.open_cells(points, index, 1.0),
+        "nearest: pairs": geo.candidate_pairs(cand, ev, index, ["ID", "Latitude", "Longitude"], "ID", "Latitude", "Longitude"),
     }
 
 
