@@ -1,11 +1,11 @@
-"""Magnitude models with Spark ML: assemble, fit, score, compare, choose.
-
-Training and scoring are distributed Spark ML jobs; only the fitted model
-and a handful of scalar metrics reach the driver.  Every estimator gets a
-fixed seed, but bootstrap samples and split candidates are drawn per
-partition, so a tree model also depends on how the training rows are laid out.
-``stable_layout`` fixes that: the same rows then give the same model in any
-session.
+"""Magnitude models: assemble, fit, score, compare, choose.
+
+Tree models are trained by ``operators.trees``: the same rows give the same
+model however they are partitioned, and scoring is a column expression.  The
+linear model, and tree models on request (``learner="spark-ml"``), are Spark ML
+pipelines; Spark ML draws samples and split candidates per partition, so its
+tree models also depend on the layout of the training rows.  Only the fitted
+model and a handful of scalar metrics reach the driver.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor import schema
+from tremor.operators import trees
 
 # Model seed, acceptance threshold on RMSE, default prediction year.
 SEED = 42
@@ -50,30 +51,37 @@ def model_frame(df: DataFrame, features=schema.FEATURES, label: str = schema.LAB
     return df.select(*features, label).na.drop(how="any")
 
 
-def stable_layout(train: DataFrame, partitions: int) -> DataFrame:
-    """Training rows dealt by their values to a fixed number of partitions, sorted within."""
-    return train.repartition(partitions, *train.columns).sortWithinPartitions(*train.columns)
+def fit(
+    train: DataFrame, name: str = "RandomForest", features=schema.FEATURES, seed: int = SEED, label: str = schema.LABEL, learner: str = "exact"
+) -> PipelineModel | trees.TreeModel:
+    """A model with ``transform``, which adds the column ``prediction``.
 
-
-def fit(train: DataFrame, name: str = "RandomForest", features=schema.FEATURES, seed: int = SEED) -> PipelineModel:
-    """Fit assembler + model.  The training rows are cached for the fit's many passes
-    (split finding, tree levels, iterations) unless the caller already cached them."""
+    ``learner`` (trees only; the linear model is Spark ML's): "exact" trains with
+    ``operators.trees``, "spark-ml" with Spark ML's estimator.
+    """
+    if learner not in ("exact", "spark-ml"):
+        raise ValueError(f"unknown learner {learner!r}")
+    estimator = regressor(name, label, seed)
+    exact = {"RandomForest": trees.fit_forest, "DecisionTree": trees.fit_tree, "GBT": trees.fit_boosted}
+    # Many passes (split finding, tree levels, iterations), unless the caller already cached the rows.
     cached = train.storageLevel.useMemory or train.storageLevel.useDisk
     if not cached:
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=[assembler(features), regressor(name, seed=seed)]).fit(train)
+        if learner == "exact" and name in exact:
+            return exact[name](train, features, label, seed)
+        return Pipeline(stages=[assembler(features), estimator]).fit(train)
     finally:
         if not cached:
             train.unpersist()
 
 
-def rmse(model: PipelineModel, test: DataFrame, label: str = schema.LABEL) -> float:
+def rmse(model, test: DataFrame, label: str = schema.LABEL) -> float:
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     return ev.evaluate(model.transform(test))
 
 
-def predict(model: PipelineModel, test: DataFrame) -> DataFrame:
+def predict(model, test: DataFrame) -> DataFrame:
     return model.transform(test).drop("features")
 
 
@@ -115,7 +123,7 @@ def select_best(compared: DataFrame) -> DataFrame:
 
 
 def prediction_table(
-    model: PipelineModel, test: DataFrame, year: int = PREDICTION_YEAR, err: float | None = None
+    model, test: DataFrame, year: int = PREDICTION_YEAR, err: float | None = None
 ) -> DataFrame:
     """``Latitude, Longitude, Pred_Magnitude, Year, RMSE`` for the holdout rows
     (``err``: the model's RMSE on ``test`` when already known)."""
@@ -130,7 +138,7 @@ def prediction_table(
     )
 
 
-def score_points(model: PipelineModel, points: DataFrame) -> DataFrame:
+def score_points(model, points: DataFrame) -> DataFrame:
     """Predicted magnitude for a table of points (batch form of one-point scoring)."""
     feats = points.select(
         "point_id",

@@ -3,12 +3,13 @@
 Each statement rebuilds its inputs from the pre-registered test tables
 (``orders``, ``nation``, ``supplier``) with the same fixture rules, then
 computes the operator in plain SQL.  Doubles are rounded as the Spark side
-rounds them.  Tree models have no SQL form: their keys are absent and only row
-counts are compared.
+rounds them.  Tree models are trained in SQL too (``oracle_trees``).
 """
 
 from __future__ import annotations
 
+from tremor.plans import oracle_trees as trees
+
 
 def _dbl(x: str) -> str:
     return f"(CASE WHEN isnan(try_cast({x} AS DOUBLE)) THEN NULL ELSE try_cast({x} AS DOUBLE) END)"
@@ -361,8 +362,7 @@ SQL["nearest_edge"] = f"""SELECT point_id, "ID", "Latitude", "Longitude", CASE W
                  CASE WHEN point_id % 5 = 1 OR point_id % 5 = 2 THEN NULL
                       WHEN point_id % 5 = 3 THEN -(latitude / 90e0) - 45e0 ELSE latitude END AS latitude,
                  CASE WHEN point_id % 5 = 3 THEN longitude / 180e0 - 120e0 ELSE longitude END AS longitude FROM points) p
-    LEFT JOIN (SELECT * FROM quakes WHERE "Latitude" BETWEEN 40 AND 50 AND "Longitude" BETWEEN 50 AND 70) q
-      ON p.latitude IS NOT NULL) WHERE rn = 1"""
+    LEFT JOIN quakes q ON p.latitude IS NOT NULL) WHERE rn = 1"""
 
 # Labels of the two extremes' positions, and the line over the whole catalogue.
 SQL["extremes_labelled"] = f"""SELECT role, "ID", "Date", {_r('"Magnitude"')} AS "Magnitude", {_r('"Depth"')} AS "Depth",
@@ -423,9 +423,51 @@ FROM points t, coef k""",
 LR_SQL["stored_predictions"] = LR_SQL["lr_prediction_table"]
 
 
+# Tree models, trained in SQL from the same rules (``oracle_trees``).
+_ASK = f"""{_LR_TRAIN.rstrip()},
+asked AS (SELECT "Latitude" AS x1, "Longitude" AS x2, "Depth" AS x3, "Magnitude" AS y FROM test
+          WHERE "Latitude" IS NOT NULL AND "Longitude" IS NOT NULL AND "Depth" IS NOT NULL AND "Magnitude" IS NOT NULL)"""
+_TREE = f",\n{_ASK}{trees.prepared('asked')},\n"
+_TREE_POINTS = f"""{_LR_TRAIN.rstrip()},
+asked AS (SELECT point_id, latitude AS x1, longitude AS x2, depth AS x3 FROM points)"""
+
+
+def _tree_rows(name: str) -> str:
+    return f"""SELECT {_r('x1')} AS "Latitude", {_r('x2')} AS "Longitude", {_r('x3')} AS "Depth", {_r('y')} AS "Magnitude",
+  {_r('p', 4)} AS prediction FROM ask JOIN {name}_pred USING (id)"""
+
+
+_COMPARED = f"""{_TREE}{trees.forest()},
+{trees.single()},
+{trees.boosted()},
+lr_pred AS (SELECT id, k.my + k.w1 * (x1 - k.m1) + k.w2 * (x2 - k.m2) + k.w3 * (x3 - k.m3) AS p FROM ask, coef k),
+compared AS (
+  SELECT pos, model, sqrt(avg((y - p) * (y - p))) AS rmse FROM (
+    SELECT 0 AS pos, 'RandomForest' AS model, * FROM rf_pred UNION ALL SELECT 1, 'LinearRegression', * FROM lr_pred
+    UNION ALL SELECT 2, 'DecisionTree', * FROM dt_pred UNION ALL SELECT 3, 'GBT', * FROM gb_pred) JOIN ask USING (id) GROUP BY ALL)
+SELECT pos, model, {_r('rmse', 4)} AS rmse, rmse < 0.5e0 AS accepted FROM compared"""
+
+TREE_SQL = {
+    "rf_predict": f"{_TREE}{trees.forest()}\n{_tree_rows('rf')}",
+    "dt_predict": f"{_TREE}{trees.single()}\n{_tree_rows('dt')}",
+    "gbt_predict": f"{_TREE}{trees.boosted()}\n{_tree_rows('gb')}",
+    "model_compare": _COMPARED,
+    "model_select": f"{_COMPARED} ORDER BY compared.rmse, pos LIMIT 1",
+    "prediction_table": f"""{_TREE}{trees.forest()}
+SELECT {_r('x1')} AS "Latitude", {_r('x2')} AS "Longitude", {_r('p', 4)} AS "Pred_Magnitude", 2017 AS "Year", {_r('rmse', 4)} AS "RMSE"
+FROM ask JOIN rf_pred USING (id), (SELECT sqrt(avg((y - p) * (y - p))) AS rmse FROM ask JOIN rf_pred USING (id))""",
+    "score_points": f""",
+{_TREE_POINTS}{trees.prepared('asked')},
+{trees.forest()}
+SELECT point_id, {_r('x1')} AS "Latitude", {_r('x2')} AS "Longitude", {_r('x3')} AS "Depth", {_r('p', 4)} AS "Pred_Magnitude"
+FROM ask JOIN rf_pred USING (id)""",
+}
+TREE_SQL["stored_forest"] = TREE_SQL["rf_predict"]
+
+
 def oracle_sql() -> dict[str, str]:
     out = {k: BASE + v for k, v in SQL.items()}
     rec = BASE.replace("WITH\n", "WITH RECURSIVE\n", 1).rstrip()
     out.update({k: rec + v for k, v in RECURSIVE_SQL.items()})
-    out.update({k: BASE.rstrip() + v for k, v in LR_SQL.items()})
+    out.update({k: BASE.rstrip() + v for k, v in {**LR_SQL, **TREE_SQL}.items()})
     return out

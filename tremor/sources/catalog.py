@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tremor import schema
 from tremor.functions.parse import to_double
+from tremor.operators import trees
 
 
 def read_raw_csv(spark: SparkSession, path: str, raw_schema=None) -> DataFrame:
@@ -55,6 +57,11 @@ def points_frame(spark: SparkSession, rows) -> DataFrame:
 
 
 def load_model(path: str):
+    """What ``save_model`` wrote: a node table or a Spark ML pipeline."""
     from pyspark.ml import PipelineModel
 
-    return PipelineModel.load(path)
+    try:
+        SparkSession.active().read.parquet(f"{path}/nodes")
+    except AnalysisException:  # no node table there
+        return PipelineModel.load(path)
+    return trees.load(SparkSession.active(), path)

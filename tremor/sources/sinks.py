@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tremor.operators.trees import TreeModel
+
 
 def write_catalog(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", salts: int = 64) -> None:
     """Curated catalogue, partitioned by Year so year filters prune files.
@@ -38,7 +40,11 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def save_model(model, path: str) -> None:
-    model.write().overwrite().save(path)
+    """A Spark ML pipeline in its own format, a tree model as its node table."""
+    if isinstance(model, TreeModel):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
 
 
 def preview(df: DataFrame, n: int = 5, order_by=None) -> DataFrame:
