@@ -21,7 +21,7 @@ from pyspark.sql.types import DecimalType, DoubleType
 from tremor import schema
 from tremor.functions import display
 from tremor.operators import clean as C
-from tremor.operators import geo, ml, stats, trends
+from tremor.operators import clusters, geo, ml, stats, trends
 from tremor.plans import store
 from tremor.session import shared_dir
 from tremor.sources import catalog as read
@@ -280,6 +280,10 @@ def q_map_clusters(spark, d):
     return rounded(geo.map_clusters(latest(spark, d), zoom=2, exact_scale=EXACT))
 
 
+def q_map_clusters_zoom(spark, d):
+    return rounded(clusters.clusters_by_zoom(base(spark, d), finest=4))
+
+
 def q_nearest_hav(spark, d):
     return geo.nearest(fixture.points(spark, d), quakes(spark, d), carry=("Magnitude",), metric="haversine")
 
@@ -481,6 +485,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "depth_scaled": q_depth_scaled,
     "marker_table": q_marker_table,
     "map_clusters": q_map_clusters,
+    "map_clusters_zoom": q_map_clusters_zoom,
     "nearest_hav": q_nearest_hav,
     "nearest_one": q_nearest_one,
     "nearest_batch": q_nearest_batch,
