@@ -153,3 +153,49 @@ def test_scratch_tables_and_stores_can_be_dropped(spark, tmp_dir):
     store.curated_store(spark, SF_SMALL)
     store.drop_stores(spark, keep=SF_SMALL)
     assert store.year_counts(spark, SF_SMALL).agg(F.sum("Count")).first()[0] == store.curated_store(spark, SF_SMALL).count()
+
+
+def test_a_failed_writer_leaves_the_old_version_readable(spark, tmp_dir):
+    from tremor.sources import versions
+
+    root = f"{tmp_dir}/t"
+    good = spark.range(100).selectExpr("id as n", "id % 5 as Year", "'x' as Type", "cast(id as string) as ID")
+    sinks.replace_catalog(good, root)
+    # Dies half-way: some tasks have written their files by then.
+    bad = spark.range(0, 400, 1, 8).selectExpr("if(id > 300, raise_error('killed'), id) as id")
+    with pytest.raises(Exception, match="killed"):
+        sinks.replace_table(bad, root)
+    assert sorted(r.n for r in src.read_catalog(spark, root).collect()) == list(range(100))
+    # Dies between its last file and the manifest.
+    sinks.write_table(spark.range(7), f"{root}/v-99999999999999999999-dead")
+    assert src.read_catalog(spark, root).count() == 100
+    # A reader that opened the old version goes on after the swap.
+    opened = src.read_catalog(spark, root)
+    sinks.replace_table(spark.range(3), root)
+    assert opened.count() == 100 and src.read_catalog(spark, root).count() == 3
+    first, second = versions.manifest(spark, root)
+    sinks.replace_table(spark.range(4), root)
+    assert versions.manifest(spark, root)[1] == first and not os.path.exists(f"{root}/{second}")
+    assert src.read_catalog(spark, f"{tmp_dir}/t").count() == 4
+    with pytest.raises(RuntimeError):
+        versions.publish(spark, root, lambda path: None)
+
+
+def test_the_batch_job_can_run_again_over_its_outputs(spark, tmp_dir):
+    raw, feed = fixture.raw_training(spark, SF_SMALL), fixture.raw_feed(spark, SF_SMALL)
+    one = run_etl(spark, raw.limit(500), feed, f"{tmp_dir}/out", model_name="DecisionTree")
+    two = run_etl(spark, raw, feed, f"{tmp_dir}/out", model_name="DecisionTree")
+    assert src.read_catalog(spark, one.catalog_path).count() < src.read_catalog(spark, f"{tmp_dir}/out/quakes").count()
+    assert src.read_catalog(spark, f"{tmp_dir}/out/quakes").count() == src.read_catalog(spark, two.catalog_path).count()
+    assert src.load_model(f"{tmp_dir}/out/model") == src.load_model(two.model_path)
+
+
+def test_a_hot_year_is_spread_over_tasks(spark, tmp_dir):
+    rows = spark.range(40_000).selectExpr("cast(id as string) as ID", "if(id % 3 = 0, 2000 + id % 7, 1999) as Year", "'Earthquake' as Type")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_catalog(rows, f"{tmp_dir}/q")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [f for f in os.listdir(f"{tmp_dir}/q/Year=1999") if f.endswith(".parquet")]
+    assert len(files) >= 4

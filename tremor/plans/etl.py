@@ -25,6 +25,8 @@ from tremor.sources import sinks
 
 @dataclass
 class EtlResult:
+    """The folders of the versions this run wrote; ``read_catalog`` and ``load_model`` on the folder above find the current one."""
+
     catalog_path: str
     yearly_path: str
     predictions_path: str
@@ -49,20 +51,20 @@ def run_etl(
     # the curated catalogue and the yearly statistics (which count rows the
     # cleaning drops) are both read from it.  Only the curated catalogue pays
     # for the Year layout.
-    sinks.write_table(C.typed_flagged(raw), paths["typed"], fmt)
-    typed_rows = src.read_catalog(spark, paths["typed"], fmt)
-    sinks.write_catalog(typed_rows.where("complete").drop("complete"), paths["quakes"], fmt)
-    sinks.write_table(stats.yearly_stats_typed(typed_rows.select("Year", "Magnitude")), paths["quake_freq"], fmt)
+    # Each output is a new version of its table: a job that dies leaves the old ones readable.
+    typed_rows = src.read_catalog(spark, sinks.replace_table(C.typed_flagged(raw), paths["typed"], fmt), fmt)
+    quakes = sinks.replace_catalog(typed_rows.where("complete").drop("complete"), paths["quakes"], fmt)
+    yearly = sinks.replace_table(stats.yearly_stats_typed(typed_rows.select("Year", "Magnitude")), paths["quake_freq"], fmt)
 
-    stored = src.read_catalog(spark, paths["quakes"], fmt)
+    stored = src.read_catalog(spark, quakes, fmt)
     train = ml.model_frame(stored)
     test = ml.model_frame(C.harmonize_feed(feed))
     model = ml.fit(train, model_name)
-    sinks.save_model(model, paths["model"])
+    saved = sinks.replace_model(model, paths["model"])
 
     err = ml.rmse(model, test)
-    sinks.write_table(ml.prediction_table(model, test, prediction_year, err), paths["pred_results"], fmt)
-    return EtlResult(paths["quakes"], paths["quake_freq"], paths["pred_results"], paths["model"], err)
+    predicted = sinks.replace_table(ml.prediction_table(model, test, prediction_year, err), paths["pred_results"], fmt)
+    return EtlResult(quakes, yearly, predicted, saved, err)
 
 
 def run_etl_csv(spark: SparkSession, catalog_csv: str, feed_csv: str, out_dir: str, **kw) -> EtlResult:

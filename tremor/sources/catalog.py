@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tremor import schema
 from tremor.functions.parse import to_double
 from tremor.operators import trees
+from tremor.sources import versions
 
 
 def read_raw_csv(spark: SparkSession, path: str, raw_schema=None) -> DataFrame:
@@ -39,8 +40,11 @@ def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, path: str, fmt: str = "parquet", options: dict | None = None) -> DataFrame:
-    """Full scan of a stored catalogue; the store's own ``_id`` key is dropped if present."""
-    df = spark.read.format(fmt).options(**(options or {})).load(path)
+    """Full scan of a stored catalogue; the store's own ``_id`` key is dropped if present.
+
+    Of a versioned table (``sources.versions``) the current version is read.
+    """
+    df = spark.read.format(fmt).options(**(options or {})).load(versions.current(spark, path))
     return df.drop("_id")
 
 
@@ -57,9 +61,10 @@ def points_frame(spark: SparkSession, rows) -> DataFrame:
 
 
 def load_model(path: str):
-    """What ``save_model`` wrote: a node table or a Spark ML pipeline."""
+    """What ``save_model`` or ``replace_model`` wrote: a node table or a Spark ML pipeline."""
     from pyspark.ml import PipelineModel
 
+    path = versions.current(SparkSession.active(), path)
     try:
         SparkSession.active().read.parquet(f"{path}/nodes")
     except AnalysisException:  # no node table there
