@@ -199,3 +199,72 @@ def test_a_hot_year_is_spread_over_tasks(spark, tmp_dir):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = [f for f in os.listdir(f"{tmp_dir}/q/Year=1999") if f.endswith(".parquet")]
     assert len(files) >= 4
+
+
+DOCUMENT = "ID string, Magnitude double, Type string, Year int"
+
+
+@pytest.fixture()
+def documents_of(spark, tmp_dir):
+    import json
+
+    from tremor.sources import documents
+
+    def made(rows, split):
+        os.makedirs(f"{tmp_dir}/d/deep")
+        for k, part in enumerate((rows[::2], rows[1::2])):
+            with open(f"{tmp_dir}/d/{'deep/' * k}part-{k}.json", "w") as f:
+                f.write("\n".join(json.dumps(r) for r in part) + "\n" * (k + 1))
+        open(f"{tmp_dir}/d/_SUCCESS", "w").close()
+        with open(f"{tmp_dir}/d/.hidden.json", "w") as f:
+            f.write("no json")
+        documents.register(spark)
+        return spark.read.format(documents.FORMAT).schema(DOCUMENT).option("splitBytes", split).load(f"{tmp_dir}/d")
+
+    return made
+
+
+def test_document_source_reads_each_line_once(documents_of):
+    rows = [{"ID": f"é{i}" * (1 + i % 40), "Magnitude": None if i % 9 == 0 else i / 7, "Type": "Earthquake" if i % 3 else "Blast", "Other": i} for i in range(60)]
+    df = documents_of(rows, 900)
+    assert df.rdd.getNumPartitions() > 4
+    got = df.collect()
+    assert len(got) == 60 and {(r.ID, r.Magnitude, r.Type, r.Year) for r in got} == {(r["ID"], r["Magnitude"], r["Type"], None) for r in rows}
+
+
+@pytest.mark.parametrize("text", [b"", b"a", b"a\n", b"\n\n", b"one\ntwo\n\nthree", b"x" * 9000 + b"\ny\n" + b"z" * 5000])
+def test_every_line_is_in_one_range(text):
+    import io
+
+    from tremor.sources.documents import whole_lines
+
+    for width in (1, 2, 3, 7, 4095, 4096, 4097, 20_000):
+        if len(text) / width > 4000:
+            continue
+        parts = [b"".join(whole_lines(io.BytesIO(text), a, min(a + width, len(text)), 5)) for a in range(0, len(text), width)]
+        assert b"".join(parts) == text
+        assert all(p.endswith(b"\n") for p in [p for p in parts if p][:-1])
+
+
+def test_document_source_gets_the_filters(spark, documents_of):
+    rows = [{"ID": str(i), "Magnitude": i / 10, "Type": ["Earthquake", "Blast", None][i % 3], "Year": 1990 + i % 20} for i in range(200)]
+    df = documents_of(rows, 500)
+    typed = df.where("Type = 'Earthquake' and Magnitude >= 5 and Year in (1995, 1996, 1999) and ID like '%4%'")
+    want = [r["ID"] for r in rows if r["Type"] == "Earthquake" and r["Magnitude"] >= 5 and r["Year"] in (1995, 1996, 1999) and "4" in r["ID"]]
+    assert sorted(r.ID for r in typed.collect()) == sorted(want)
+    plan = typed._jdf.queryExecution().executedPlan().toString()
+    above = [line for line in plan.splitlines() if "Filter " in line and "BatchScan" not in line]
+    assert not any("Earthquake" in line or "5.0" in line for line in above), plan  # Spark has no such filter left
+    assert df.where("Type <> 'Blast'").count() == sum(r["Type"] == "Earthquake" for r in rows)
+    assert df.where("Type is null").count() == sum(r["Type"] is None for r in rows)
+
+
+def test_document_source_says_what_it_takes():
+    from pyspark.sql import datasource as ds
+
+    from tremor.sources import documents
+
+    reader = documents.DocumentReader(schema.QUAKE, {"path": "/nowhere"})
+    asked = [ds.EqualTo(("Type",), "Earthquake"), ds.StringContains(("ID",), "x"), ds.IsNotNull(("Type",)), ds.EqualTo(("a", "b"), 1)]
+    assert list(reader.pushFilters(asked)) == [asked[1], asked[3]]
+    assert reader.filters == [asked[0], asked[2]]

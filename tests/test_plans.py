@@ -23,7 +23,7 @@ def final_plan(df) -> str:
 
 
 ML = {"rf_predict", "lr_predict", "dt_predict", "gbt_predict", "model_compare", "model_select", "prediction_table", "score_points",
-      "lr_metrics", "lr_prediction_table", "lr_score_points", "stored_predictions", "stored_model", "stored_forest"}
+      "lr_metrics", "lr_prediction_table", "lr_score_points", "stored_predictions", "stored_model", "stored_forest", "document_scan"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - ML))

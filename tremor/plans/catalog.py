@@ -25,7 +25,7 @@ from tremor.operators import clusters, geo, ml, stats, trends
 from tremor.plans import store
 from tremor.session import shared_dir
 from tremor.sources import catalog as read
-from tremor.sources import fixture, sinks
+from tremor.sources import documents, fixture, sinks
 from tremor.sources.sinks import preview as preview_rows
 
 
@@ -444,6 +444,16 @@ def q_store_key_dropped(spark, d):
     return rounded(read.read_catalog(spark, at))
 
 
+def q_document_scan(spark, d):
+    """Written as JSON lines, read by the document source with the type filter sent to its reader."""
+    at = place(spark, "documents")
+    documents.register(spark)
+    rows = curated(spark, d)
+    sinks.write_table(rows, at, "json")
+    found = spark.read.format(documents.FORMAT).schema(rows.schema).option("splitBytes", 1 << 20).load(at)
+    return rounded(found.where(F.col("Type") == "Earthquake"))
+
+
 def q_strict_cast(spark, d):
     text = curated(spark, d).select("ID", *[F.col(c).cast("string").alias(c) for c in schema.NUMERIC_COLUMNS])
     return rounded(C.strict_numeric(text))
@@ -518,5 +528,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_model": q_stored_model,
     "stored_forest": q_stored_forest,
     "store_key_dropped": q_store_key_dropped,
+    "document_scan": q_document_scan,
     "strict_cast": q_strict_cast,
 }

@@ -376,6 +376,7 @@ SQL["extremes_labelled"] = f"""SELECT role, "ID", "Date", {_r('"Magnitude"')} AS
 SQL["trend_line_all"] = SQL["trend_line"].replace("FROM in_range", "FROM base")
 
 # Round trips through files give back what went in.
+SQL["document_scan"] = SQL["scan_type_filter"]
 SQL["csv_strings"] = 'SELECT "ID", "Date", "Latitude", "Longitude", "Depth", "Magnitude", "Type", "Network" FROM raw'
 SQL["csv_typed"] = f"""SELECT "ID", "Date", {_r(_dbl('"Latitude"'))} AS "Latitude", {_r(_dbl('"Longitude"'))} AS "Longitude",
     {_r(_dbl('"Depth"'))} AS "Depth", {_r(_dbl('"Magnitude"'))} AS "Magnitude", "Type", "Network" FROM raw"""
