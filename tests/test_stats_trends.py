@@ -147,3 +147,25 @@ def test_exact_mean_keeps_all_decimals(spark):
     df = spark.createDataFrame([(1.000049, 3.0, 5.5), (1.000049, 3.0, 5.5)], "Latitude double, Longitude double, Magnitude double")
     assert float(trends.top_centroid(df, exact_scale=12).first().avg_latitude) == 1.000049
     assert trends.top_centroid(df).first().avg_latitude == pytest.approx(1.000049, abs=1e-15)
+
+
+@pytest.mark.parametrize(
+    "values,width",
+    [
+        ([i / 10 for i in range(1000)], 10.0),  # 2 * 50 / 10
+        ([5 + i / 100_000 for i in range(1000)], 0.001),
+        ([7.0] * 30, 1.0),
+        ([7.0] * 30 + [9.0], 0.2),  # equal quartiles: 2 / (1 + log2(31)) = 0.335
+        ([3.0], 1.0),
+        ([], 1.0),
+    ],
+)
+def test_histogram_width_follows_the_data(spark, values, width):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "Magnitude double")
+    got = trends.fitted_width(df).first()["width"]
+    assert got == pytest.approx(width)
+    rows = trends.fitted_histogram(df).collect()
+    assert sum(r.Count for r in rows) == len(values)
+    assert all(r.bin_end - r.bin_start == pytest.approx(width) for r in rows)
+    for r in rows:
+        assert r.Count == sum(r.bin == int(round(v / width, 9) // 1) for v in values)

@@ -240,6 +240,10 @@ def q_magnitude_histogram(spark, d):
     return rounded(trends.magnitude_histogram(base(spark, d)))
 
 
+def q_histogram_fitted(spark, d):
+    return rounded(trends.fitted_histogram(base(spark, d)))
+
+
 def q_trend_line(spark, d):
     return rounded(trends.trend_line(in_range(spark, d)), wide=("slope", "intercept"))
 
@@ -489,6 +493,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_remaining": q_top_remaining,
     "top_centroid": q_top_centroid,
     "magnitude_histogram": q_magnitude_histogram,
+    "histogram_fitted": q_histogram_fitted,
     "trend_line": q_trend_line,
     "trend_fitted": q_trend_fitted,
     "trend_rmse": q_trend_rmse,

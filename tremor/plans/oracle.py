@@ -184,6 +184,16 @@ SQL: dict[str, str] = {
     "magnitude_histogram": f"""SELECT bin, {_r('bin * 0.1e0')} AS bin_start, {_r('(bin + 1) * 0.1e0')} AS bin_end, count(*) AS "Count"
         FROM (SELECT CAST(floor(round("Magnitude" / 0.1e0, 9)) AS BIGINT) AS bin FROM base WHERE "Magnitude" IS NOT NULL)
         GROUP BY bin""",
+    "histogram_fitted": f"""SELECT bin, {_r('bin * width')} AS bin_start, {_r('(bin + 1) * width')} AS bin_end, count(*) AS "Count"
+        FROM (SELECT CAST(floor(round(x / width, 9)) AS BIGINT) AS bin, width
+              FROM (SELECT "Magnitude" AS x FROM base WHERE "Magnitude" IS NOT NULL), (
+                SELECT unit * CASE WHEN raw / unit < 1.5e0 THEN 1e0 WHEN raw / unit < 3.5e0 THEN 2e0 WHEN raw / unit < 7.5e0 THEN 5e0 ELSE 10e0 END AS width
+                FROM (SELECT raw, pow(10e0, floor(log10(raw))) AS unit FROM (
+                  SELECT CASE WHEN q3 > q1 THEN 2e0 * (q3 - q1) / pow(n::DOUBLE, 1e0 / 3e0)
+                              WHEN high > low THEN (high - low) / (1e0 + log2(n::DOUBLE)) ELSE 1e0 END AS raw
+                  FROM (SELECT count(*) AS n, quantile_disc("Magnitude", 0.25) AS q1, quantile_disc("Magnitude", 0.75) AS q3,
+                               min("Magnitude") AS low, max("Magnitude") AS high FROM base WHERE "Magnitude" IS NOT NULL)))))
+        GROUP BY bin, width""",
     "trend_line": f"""SELECT {_r('regr_slope("Magnitude", "Longitude")', 9)} AS slope,
         {_r('regr_intercept("Magnitude", "Longitude")', 9)} AS intercept,
         CAST(regr_count("Magnitude", "Longitude") AS BIGINT) AS n FROM in_range""",
