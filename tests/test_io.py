@@ -265,6 +265,6 @@ def test_document_source_says_what_it_takes():
     from tremor.sources import documents
 
     reader = documents.DocumentReader(schema.QUAKE, {"path": "/nowhere"})
-    asked = [ds.EqualTo(("Type",), "Earthquake"), ds.StringContains(("ID",), "x"), ds.IsNotNull(("Type",)), ds.EqualTo(("a", "b"), 1)]
-    assert list(reader.pushFilters(asked)) == [asked[1], asked[3]]
+    asked = [ds.EqualTo(("Type",), "Earthquake"), ds.StringContains(("ID",), "x"), ds.IsNotNull(("Type",)), ds.EqualTo(("a", "b"), 1), ds.Not(ds.EqualTo(("Type",), "x"))]
+    assert list(reader.pushFilters(asked)) == [asked[1], asked[3], asked[4]]
     assert reader.filters == [asked[0], asked[2]]

@@ -87,7 +87,7 @@ class DocumentReader(ds.DataSourceReader):
 
     def pushFilters(self, filters: list[ds.Filter]) -> Iterator[ds.Filter]:
         for f in filters:
-            if len(f.attribute) == 1 and isinstance(f, (*COMPARISONS, ds.In, ds.IsNotNull)):
+            if isinstance(f, (*COMPARISONS, ds.In, ds.IsNotNull)) and len(f.attribute) == 1:
                 self.filters.append(f)
             else:
                 yield f
