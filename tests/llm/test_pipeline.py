@@ -35,7 +35,7 @@ def test_language_stage_drops_what_has_no_letters(spark):
 
 def test_line_stage(spark):
     rows = [r for r in texts() if r[0] is not None]
-    gone = {r[0]: (r[1], g) for r, g in brute_lines(rows, 2).items()}
+    gone = {r[0]: (r[1], g) for r, g in brute_lines(rows, P.MIN_LINES).items()}
     want = set()
     for doc, (text, lines) in gone.items():
         left = None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in lines)
@@ -52,7 +52,7 @@ def test_whole_run(spark):
     best = np.argmax(x, axis=1)
     docs = [d for d, b, c in zip(docs, best, x) if langid.has_letter(d[1]) and c[b] >= model.least[b]]
     left = []
-    for (doc, text), lines in brute_lines(docs, 2).items():
+    for (doc, text), lines in brute_lines(docs, P.MIN_LINES).items():
         now = "\n".join(y for k, y in enumerate(text.split("\n")) if k not in lines)
         if not lines or now.strip(" "):
             left.append((doc, now))

@@ -155,16 +155,71 @@ def test_lines_oracle(spark):
     assert rows_of(got, *names) == sorted(want.fetchall(), key=repr)
 
 
-@pytest.mark.parametrize("least,level", [(1, 0), (2, 1), (5, 2)])
+@pytest.mark.parametrize("least,level", [(1, 1), (2, 1), (5, 2)])
 def test_lines_are_doubled_as_far_as_they_are_read(spark, monkeypatch, least, level):
     made, doubling = [], lines.prefix_doubling
     monkeypatch.setattr(lines, "prefix_doubling", lambda *a: made.append(doubling(*a)) or made[-1])
+    monkeypatch.setattr(lines.Repeats, "drop", lambda self: None)  # the tables are read below
     rows = [(i, "\n".join(f"line {k}" for k in range(20))) for i in range(3)]
     got = lines.dedup_lines(frame(spark, rows), min_lines=least).collect()
     assert sorted((r.doc_id, r.line_dedup.n_runs, r.line_dedup.longest_run) for r in got) == [(0, 0, 0), (1, 1, 20), (2, 1, 20)]
     assert {r.level for r in made[0].intervals.collect()} == set(range(level + 1))
 
 
+def brute_runs(rows, least):
+    """Per document id the lengths of the deleted runs: neighbours that one window with an earlier copy covers."""
+    width, seen, out = max(least, 2), set(), {}
+    gone = brute_lines(rows, least)
+    for doc, text in sorted(set(rows)):
+        seq = [(k, x) for k, x in enumerate((text or "").split("\n")) if x.strip(" ")] if text is not None else []
+        linked = set()
+        for i in range(len(seq) - width + 1):
+            window = tuple(x for _, x in seq[i : i + width])
+            if window in seen:
+                linked.update(range(i + 1, i + width))
+            seen.add(window)
+        runs = []
+        for i, (k, _) in enumerate(seq):
+            if k in gone[(doc, text)]:
+                if i in linked:
+                    runs[-1] += 1
+                else:
+                    runs.append(1)
+        out[doc] = runs
+    return out
+
+
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_runs_that_only_touch_are_counted_apart(spark, least):
+    glued = [(1, "a a\nb b"), (2, "c c\nd d"), (3, "a a\nb b\nc c\nd d"), (4, "b b\n \nc c\nx"), (5, "x\nx\n\nx"), (6, "")]
+    shared = [(10 + i, "\n".join(f"s{(i * 7 + k * (i % 4 + 1)) % 9}" for k in range(12))) for i in range(30)]
+    got = lines.dedup_lines(frame(spark, glued + shared), min_lines=least).collect()
+    want = brute_runs(glued + shared, least)
+    assert {r.doc_id: (r.line_dedup.n_runs, r.line_dedup.longest_run) for r in got} == {d: (len(x), max(x, default=0)) for d, x in want.items()}
+    if least < 3:
+        assert want[3] == [2, 2]
+
+
+@pytest.mark.parametrize("words", [1, 4, 1 << 18])
+def test_texts_meet_their_lists_at_any_filter_size(spark, monkeypatch, words):
+    from tremor.llm import common
+
+    monkeypatch.setattr(common, "FILTER_WORDS", words)
+    docs = frame(spark)
+    lists = docs.where("doc_id % 3 = 0 or doc_id is null").dropDuplicates(["doc_id", "text"])
+    lists = lists.select("doc_id", common.text_hash(common.col("text")).alias("th"), (lists.doc_id + 1).alias("_l"))
+    got = common.join_listed(docs, common.stage_table(lists, "lists"), "doc_id", "text", "_l")
+    assert got.columns == [*docs.columns, "_l"]
+    want = [(r.doc_id, r.text, r.doc_id + 1 if r.doc_id is not None and r.doc_id % 3 == 0 else None) for r in docs.collect()]
+    assert rows_of(got, "doc_id", "text", "_l") == sorted(want, key=repr)
+
+
+def test_a_footer_stays_once(spark):
+    rows = [(i, f"page {i}\nFOOT of every page") for i in range(4)]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(frame(spark, rows), min_lines=1).collect()}
+    assert got == {i: f"page {i}" + ("\nFOOT of every page" if i == 0 else "") for i in range(4)}
+
+
 # ---- units -------------------------------------------------------------------
 
 

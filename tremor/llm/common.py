@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tremor.scratch import drop_scratch as drop_staged
 from tremor.scratch import scratch_table
 
-__all__ = ["col", "drop_staged", "fresh", "hot_pieces", "stage_table", "text_hash", "worker_cache"]
+__all__ = ["col", "drop_staged", "fresh", "hot_pieces", "join_listed", "stage_table", "text_hash", "worker_cache"]
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -34,6 +34,36 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+# Words of 64 bits in the filter of ``join_listed``: its size is bounded by this, whatever the input.
+FILTER_WORDS = 1 << 18
+
+
+def join_listed(docs: DataFrame, lists: DataFrame, doc_id: str, text: str, carry: str) -> DataFrame:
+    """``docs`` with the column ``carry`` of ``lists`` (null without one), of which few texts are shuffled.
+
+    ``lists`` is a staged table with at most one row per (``doc_id``, ``th``),
+    the row key of some documents.  Their hashes set bits in a filter of at most
+    FILTER_WORDS words, which is broadcast.  A document whose bit is not set has
+    no list and passes by; only the others, with their texts, go through the
+    join.  The more rows ``lists`` has, the more documents without a list go
+    through it too, up to all of them: the rows are the same.
+    """
+    w, b, i, h = (fresh(docs, name) for name in ("_word", "_bits", "_i", "_h"))
+    word = lambda k: F.pmod(F.shiftright(k, 6), F.lit(FILTER_WORDS))
+    bit = lambda k: F.pmod(k, F.lit(64)).cast("int")
+    listed = F.xxhash64("doc_id", "th")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit(listed))
+    words = lists.select(word(listed).alias(w), one.alias(b)).groupBy(w).agg(F.bit_or(b).alias(b))
+    key = F.xxhash64(col(doc_id).cast(lists.schema["doc_id"].dataType), text_hash(col(text)))
+    marked = docs.withColumn(w, word(key)).join(F.broadcast(words), w, "left")
+    maybe = F.coalesce(F.getbit(F.col(b), bit(key)) == 1, F.lit(False))
+    lists = lists.select(F.col("doc_id").alias(i), F.col("th").alias(h), carry)
+    same = col(doc_id).eqNullSafe(F.col(i)) & (text_hash(col(text)) == F.col(h))
+    met = marked.where(maybe).drop(w, b).join(lists, same, "left").drop(i, h)
+    passed = marked.where(~maybe).drop(w, b).withColumn(carry, F.lit(None).cast(lists.schema[carry].dataType))
+    return met.unionByName(passed)
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker (function globals sent by value do not)."""
     return sys.__dict__.setdefault("_tremor_llm_cache", {})

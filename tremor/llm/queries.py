@@ -9,7 +9,7 @@ from tremor.llm import decontam, divergence, infill, langid, lines, oracle, pack
 # the number of shards.
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
-MIN_LINES = 2
+MIN_LINES = 1
 SHARDS = 16
 
 
@@ -137,19 +137,23 @@ QUERIES = {
     )
 }
 
-# Line dedup: windows of MIN_LINES non-blank lines that occur at an earlier place cover what goes.
+# Line dedup: a non-blank line that occurs at an earlier place goes; neighbours that go are one run
+# if the pair of them occurs at an earlier place.
 ORACLE_SQL = {
     "op2_line_dedup": """
 WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
 raw AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM d),
 li AS (SELECT doc_id, text, x, line, row_number() OVER (PARTITION BY doc_id, text ORDER BY line) AS seq FROM raw WHERE trim(x, ' ') <> ''),
-w AS (SELECT doc_id, text, line, seq, x, lead(x) OVER (PARTITION BY doc_id, text ORDER BY seq) AS y FROM li),
-rep AS (SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY doc_id NULLS FIRST, seq) AS nth FROM w WHERE y IS NOT NULL),
+w AS (SELECT *, lead(x) OVER (PARTITION BY doc_id, text ORDER BY seq) AS y FROM li),
+rep AS (
+  SELECT *, row_number() OVER (PARTITION BY x ORDER BY doc_id NULLS FIRST, seq) > 1 AS later,
+    y IS NOT NULL AND row_number() OVER (PARTITION BY x, y ORDER BY doc_id NULLS FIRST, seq) > 1 AS pair_later
+  FROM w),
+link AS (SELECT *, coalesce(lag(pair_later) OVER (PARTITION BY doc_id, text ORDER BY seq), false) AS linked FROM rep),
 gone AS (
-  SELECT DISTINCT w.doc_id, w.text, w.line, w.seq
-  FROM w JOIN rep r ON w.doc_id = r.doc_id AND w.text = r.text AND (w.seq = r.seq OR w.seq = r.seq + 1) WHERE r.nth > 1),
-isl AS (SELECT *, seq - row_number() OVER (PARTITION BY doc_id, text ORDER BY seq) AS run FROM gone),
-runs AS (SELECT doc_id, text, run, count(*) AS n FROM isl GROUP BY ALL),
+  SELECT doc_id, text, line, seq, sum(CASE WHEN linked THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, text ORDER BY seq) AS run
+  FROM link WHERE later),
+runs AS (SELECT doc_id, text, run, count(*) AS n FROM gone GROUP BY ALL),
 per AS (SELECT doc_id, text, sum(n)::BIGINT AS n_deleted, count(*) AS n_runs, max(n) AS longest_run FROM runs GROUP BY ALL),
 kept AS (
   SELECT raw.doc_id, raw.text, string_agg(raw.x, chr(10) ORDER BY raw.line) AS t
