@@ -18,9 +18,13 @@ class MissingColumns(ValueError):
     """A plan asked for columns its input does not have."""
 
 
+def missing_columns(df: DataFrame, columns) -> list[str]:
+    return [c for c in columns if c not in df.columns]
+
+
 def require_columns(df: DataFrame, columns) -> DataFrame:
     """Fail before planning when an expected column is absent."""
-    missing = [c for c in columns if c not in df.columns]
+    missing = missing_columns(df, columns)
     if missing:
         raise MissingColumns(f"missing columns: {missing}; have {df.columns}")
     return df

@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
 from tremor import schema
-from tremor.functions import display
+from tremor.functions import dates, display
 from tremor.operators import clean as C
-from tremor.operators import clusters, geo, ml, stats, trends
+from tremor.operators import clusters, geo, ml, sketches, stats, trends
 from tremor.plans import store
+from tremor.scratch import scratch_table
 from tremor.session import shared_dir
 from tremor.sources import catalog as read
-from tremor.sources import documents, fixture, sinks
+from tremor.sources import documents, fixture, infer, sinks
 from tremor.sources.sinks import preview as preview_rows
 
 
@@ -153,6 +154,36 @@ def q_preview(spark, d):
     return rounded(preview_rows(curated(spark, d), 5, ["ID"]))
 
 
+def q_dates_any(spark, d):
+    """Every network's own date layout, day and month in the order that its rows vote for."""
+    out = dates.parse_dates(fixture.raw_any_dates(spark, d), source="Network", out="at")
+    return out.select("ID", "Date", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("Instant"), F.year("at").alias("Year"))
+
+
+def q_date_votes(spark, d):
+    return dates.date_votes(fixture.raw_any_dates(spark, d), "Date", "Network")
+
+
+def q_inferred_types(spark, d):
+    return infer.type_counts(fixture.raw_loose(spark, d)).withColumnRenamed("column", "name")
+
+
+def q_column_guard(spark, d):
+    """What the guard says of the catalogue, of one without two of its columns, and of the feed; rows where it lets pass."""
+    whole = raw(spark, d)
+    inputs = {"catalogue": whole, "without two": whole.drop("Depth", "Type"), "feed": fixture.raw_feed(spark, d, holdout=False)}
+    out = None
+    for name, rows in inputs.items():
+        missing = C.missing_columns(rows, schema.CATALOG_COLUMNS)
+        try:
+            passed = C.catalog_columns(rows).agg(F.count(F.lit(1)).alias("passed"))
+        except C.MissingColumns:
+            passed = rows.agg(F.lit(0).cast("long").alias("passed"))
+        part = passed.select(F.lit(name).alias("input"), F.lit(",".join(missing)).alias("missing"), "passed")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---- statistics --------------------------------------------------------------
 
 
@@ -201,6 +232,15 @@ def q_kpi_text(spark, d):
     return stats.kpi_text(stats.kpi(curated(spark, d)))
 
 
+def q_distinct_sketch(spark, d):
+    """Distinct values in every span of three years from stored yearly sketches; few values are
+    counted exactly, the many IDs within four standard errors of the events (each has its own)."""
+    yearly = scratch_table(sketches.yearly_sketches(base(spark, d), ("ID", "Network", "Type")), "sketches")
+    bound = F.lit(4 * sketches.standard_error()) * F.col("Events")
+    found = sketches.distinct_by_window(yearly, 3)
+    return found.select("First", "Events", "Network", "Type", (F.abs(F.col("ID") - F.col("Events")) <= bound).alias("ids_within"))
+
+
 def q_year_options(spark, d):
     return stats.year_options(store.year_counts(spark, d))
 
@@ -407,6 +447,18 @@ def q_csv_typed(spark, d):
     return rounded(read.read_typed_csv(spark, at))
 
 
+def q_csv_inferred(spark, d):
+    """A column of every type written as text; the types come from all values."""
+    at = place(spark, "landing")
+    sinks.export_csv(fixture.raw_loose(spark, d).select(*_RAW, *fixture.LOOSE_SQL), at)
+    return rounded(read_day(infer.read_inferred_csv(spark, at)))
+
+
+def read_day(df):
+    """Days and instants as text, which every engine writes alike."""
+    return df.withColumn("Day", F.col("Day").cast("string")).withColumn("Seen", F.date_format("Seen", "yyyy-MM-dd HH:mm:ss"))
+
+
 def q_csv_export(spark, d):
     at = place(spark, "export")
     sinks.export_csv(latest(spark, d), at)
@@ -535,4 +587,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_key_dropped": q_store_key_dropped,
     "document_scan": q_document_scan,
     "strict_cast": q_strict_cast,
+    "dates_any": q_dates_any,
+    "date_votes": q_date_votes,
+    "inferred_types": q_inferred_types,
+    "csv_inferred": q_csv_inferred,
+    "column_guard": q_column_guard,
+    "distinct_sketch": q_distinct_sketch,
 }

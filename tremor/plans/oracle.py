@@ -8,7 +8,9 @@ rounds them.  Tree models are trained in SQL too (``oracle_trees``).
 
 from __future__ import annotations
 
+from tremor import schema
 from tremor.plans import oracle_trees as trees
+from tremor.plans.oracle_types import type_sql
 
 
 def _dbl(x: str) -> str:
@@ -481,4 +483,5 @@ def oracle_sql() -> dict[str, str]:
     rec = BASE.replace("WITH\n", "WITH RECURSIVE\n", 1).rstrip()
     out.update({k: rec + v for k, v in RECURSIVE_SQL.items()})
     out.update({k: BASE.rstrip() + v for k, v in {**LR_SQL, **TREE_SQL}.items()})
+    out.update(type_sql(_raw_select, BASE, _r, schema.CATALOG_COLUMNS))
     return out

@@ -107,6 +107,40 @@ def raw_feed(spark: SparkSession, sf_dir: str, holdout: bool = True) -> DataFram
     )
 
 
+# Dates as sources write them (the layout follows the network), and columns of
+# every type as text, with the missing values that files use.
+ANY_DATE_SQL = (
+    "case when o_orderkey % 101 = 0 then '31/31/1999' when o_orderkey % 103 = 0 then cast(null as string) "
+    "when o_orderkey % 109 = 0 then 'soon' when o_orderkey % 13 = 0 then date_format(o_orderdate, 'yyyyMMdd') "
+    "when o_custkey % 11 < 4 then date_format(o_orderdate, 'dd/MM/yyyy') "
+    "when o_custkey % 11 < 6 then date_format(o_orderdate, 'MM/dd/yyyy') "
+    "when o_custkey % 11 = 6 then date_format(o_orderdate, 'yyyy-MM-dd') "
+    "when o_custkey % 11 = 7 then concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T23:30:00-02:00') "
+    "when o_custkey % 11 = 8 then date_format(o_orderdate, 'd MMM yyyy') "
+    "when o_custkey % 11 = 9 then date_format(o_orderdate, 'dd/MM/yy') "
+    "else date_format(o_orderdate, 'MMMM d, yyyy') end"
+)
+LOOSE_SQL = {
+    "Key": "cast(o_orderkey as string)",
+    "Day": "case when o_orderkey % 5 = 0 then 'NA' else date_format(o_orderdate, 'yyyy-MM-dd') end",
+    "Seen": "concat(date_format(o_orderdate, 'yyyy-MM-dd'), case when o_orderkey % 2 = 0 then ' 12:30:00' else '' end)",
+    "Felt": "case o_orderkey % 3 when 0 then 'true' when 1 then 'False' else 'n/a' end",
+    "Odd": "case when o_orderkey % 1000 = 7 then '1,5' else cast(o_orderkey as string) end",
+    "Blank": "' '",
+}
+
+
+def raw_any_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ID, Network, Date`` with each network's own date layout."""
+    return table(spark, sf_dir, "orders").select(F.expr(RAW_SQL["ID"]).alias("ID"), F.expr(RAW_SQL["Network"]).alias("Network"), F.expr(ANY_DATE_SQL).alias("Date"))
+
+
+def raw_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw catalogue with a column of every type, all as text."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(*_raw_columns(o), *[F.expr(sql).alias(name) for name, sql in LOOSE_SQL.items()])
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query points (``point_id, latitude, longitude, depth``) from ``nation``."""
     k = F.col("n_nationkey").cast("long")
