@@ -200,6 +200,62 @@ def test_runs_that_only_touch_are_counted_apart(spark, least):
         assert want[3] == [2, 2]
 
 
+def brute_copies(rows, least):
+    """Per document id the copies: widest windows followed along their first copies, without those inside another."""
+    docs = sorted(set(rows))
+    seqs = {r[0]: [(k, x) for k, x in enumerate((r[1] or "").split("\n")) if x.strip(" ")] if r[1] is not None else [] for r in docs}
+    widest, n = {}, least
+    while n <= max(map(len, seqs.values())):
+        first = {}
+        for d, seq in seqs.items():
+            for i in range(len(seq) - n + 1):
+                q = first.setdefault(tuple(x for _, x in seq[i : i + n]), (d, i))
+                if q != (d, i):
+                    widest[(d, i)] = (n, q)
+        n = 1 << n.bit_length()
+    out = {}
+    for d, seq in seqs.items():
+        found = []
+        for i in range(len(seq)):
+            if (d, i) in widest:
+                n, q = widest[(d, i)]
+                if widest.get((d, i - 1)) == (n, (q[0], q[1] - 1)):
+                    found[-1][1] = i + n
+                else:
+                    found.append([i, i + n])
+        out[d] = [(seq[a][0], b - a) for k, (a, b) in enumerate(found) if all(e < b for _, e in found[:k])]
+    return out
+
+
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_copies_come_from_all_levels(spark, least):
+    text = [f"line {k}" for k in range(20)]
+    rows = [(1, "\n".join(text)), (2, "new\n" + "\n \n".join(text[3:])), (3, "a\nb"), (4, "b\nc"), (5, "a\nb\nc\n" + "\n".join(text[:11])), (6, "x\n" * 9), (7, ""), (8, None)]
+    rows += [(10 + i, "\n".join(f"s{(i * 7 + k * (i % 4 + 1)) % 9}" for k in range(12))) for i in range(30)]
+    rows += [(50, "p"), (51, "q"), (52, "p\nq")]  # first copies at the end of one text and the start of the next
+    got = lines.dedup_lines(frame(spark, rows), min_lines=least, copies=True).collect()
+    copies = {r.doc_id: [(c.line, c.lines) for c in r.line_dedup.copies] for r in got}
+    assert copies == brute_copies(rows, least)
+    assert copies[2] == [(1, 17)] and copies[5][-1] == (3, 11)
+    if least < 3:
+        assert copies[5][:2] == [(0, 2), (1, 2)]  # one run of three lines, which no earlier place holds as a whole
+    plain = lines.dedup_lines(frame(spark, rows), min_lines=least)
+    assert sorted((r.doc_id, r.text, *r.line_dedup[:5]) for r in got if r.text) == sorted((r.doc_id, r.text, *r.line_dedup) for r in plain.collect() if r.text)
+
+
+def test_query_doubles_until_nothing_repeats(spark, monkeypatch, tmp_dir):
+    from tremor.llm.queries import op2_line_dedup
+
+    made, doubling = [], lines.prefix_doubling
+    monkeypatch.setattr(lines, "prefix_doubling", lambda *a, **k: made.append(doubling(*a, **k)) or made[-1])
+    monkeypatch.setattr(lines.Repeats, "drop", lambda self: None)  # the tables are read below
+    rows = [(i, "\n".join(f"line {k}" for k in range(20))) for i in range(3)]
+    frame(spark, rows).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = op2_line_dedup(spark, str(tmp_dir)).collect()
+    assert sorted((r.doc_id, r.n_deleted, r.n_runs, r.longest_run) for r in got) == [(0, 0, 0, 0), (1, 20, 1, 20), (2, 20, 1, 20)]
+    assert {r.level for r in made[0].intervals.collect()} == {0, 1, 2, 3, 4}  # 16 lines are shared, 32 are not
+
+
 @pytest.mark.parametrize("words", [1, 4, 1 << 18])
 def test_texts_meet_their_lists_at_any_filter_size(spark, monkeypatch, words):
     from tremor.llm import common
